@@ -7,20 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import pii, quality_rules, simhash, toxicity
+from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_simhash": op6_simhash}
+    return {"op3_toxicity": op3_toxicity, "op4_quality_rules": op4_quality_rules, "op6_simhash": op6_simhash, "op9_pii": op9_pii}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_quality_rules": quality_rules.SQL}
