@@ -46,12 +46,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)) == HELD_OUT, F.lit(True))
 
 
-def clear_of(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` without the input's own columns of these names (any case), which an operator is about to add."""
-    taken = {n.lower() for n in names}
-    return df.drop(*[c for c in df.columns if c.lower() in taken])
-
-
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The whole texts of a batch; null counts as empty."""
     return ["" if x is None else x for x in batch.column(name).to_pylist()]

@@ -221,13 +221,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The document that names each component, with the columns of ``docs``; of rows that repeat its doc_id, one.
-    Rows without a doc_id that only link among themselves name nothing and all stay."""
+    Rows without a doc_id all stay if some of them have no component with a name."""
     found = near_duplicates(docs, **options)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = materialize(kept.withColumnRenamed("doc_id", "__kept"), "simhash-kept")
-    nameless = found.filter("component_id IS NULL").select("fp").limit(1).count()
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
+    kept = materialize(kept, "simhash-kept")
+    nameless = docs.filter("doc_id IS NULL").limit(1).count() and found.filter("component_id IS NULL").limit(1).count()
     rows = docs.join(kept, F.col("doc_id") == F.col("__kept"))
-    once = rows.filter("copies = 1").drop("__kept", "copies")
-    again = rows.filter("copies > 1").drop("__kept", "copies").dropDuplicates(["doc_id"])
-    out = once.unionByName(again)
+    out = rows.filter("__rows = 1").drop("__kept", "__rows")
+    if kept.filter("__rows > 1").limit(1).count():
+        out = out.unionByName(rows.filter("__rows > 1").drop("__kept", "__rows").dropDuplicates(["doc_id"]))
     return out.unionByName(docs.filter("doc_id IS NULL")) if nameless else out
