@@ -1,21 +1,335 @@
-"""Registered queries over the driver tables, and the SQL that checks them."""
+"""Registered queries over the driver tables, and the SQL that checks them.
+
+A user's events stand for a trace, the five event types (by name) for its electrodes; the grid is 30 days of one-hour
+bins. Numeric columns of the other tables stand for parameter axes, embeddings for encoded windows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracewell.functions.expr import all_finite, basename, close_to, flattened, l2_norm, to_natural, to_theta, trailing_index
+from tracewell.operators.binning import bin_counts, channel_counts, dense_grid, grid_bins, rejected
+from tracewell.operators.checks import UNIT_TOLERANCE
+from tracewell.operators.registry import SCHEMA as REGISTRY_SCHEMA
+from tracewell.operators.registry import is_log_axis, log_set_drift, roundtrip, with_rules
+from tracewell.operators.smoothing import smooth_rows
+from tracewell.operators.traces import build_traces
+from tracewell.operators.unique_join import key_violations, unique_join
+from tracewell.operators.windows import cut_windows, window_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
+TYPES = ("click", "error", "purchase", "signup", "view")
+DURATION, DT, SIGMA_BINS, WINDOW, HOP = 2_592_000.0, 3_600.0, 2.0, 240, 120
+N_E, BINS = len(TYPES), grid_bins(DURATION, DT)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _micros() -> Column:
+    return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', cast(ts AS timestamp_ntz))")
+
+
+def spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trace_id, t in seconds, ch."""
+    channel = F.coalesce(*[F.when(F.col("event_type") == t, k) for k, t in enumerate(TYPES)])
+    return _table(spark, sf_dir, "events").select(F.col("user_id").alias("trace_id"), (_micros() / 1e6).alias("t"), channel.cast("long").alias("ch"))
+
+
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_counts(spikes(spark, sf_dir), DURATION, DT, N_E)
+
+
+def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return smooth_rows(_counts(spark, sf_dir), BINS, SIGMA_BINS).withColumn("x", F.col("r") / N_E)
+
+
+def g1_bin_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(spark, sf_dir)
+
+
+def g3_dense_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dense_grid(_counts(spark, sf_dir), spikes(spark, sf_dir), BINS)
+
+
+def w1_gaussian_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return smooth_rows(_counts(spark, sf_dir), BINS, SIGMA_BINS).select("trace_id", "bin", F.round("r", 9).alias("r"))
+
+
+def g4_mean_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum and peak of the pooled and the per-electrode rate, and their ratio: the number of electrodes."""
+    r = _rates(spark, sf_dir).groupBy("trace_id").agg(F.sum("r").alias("pooled"), F.sum("x").alias("mean"), F.max("r").alias("pooled_peak"), F.max("x").alias("mean_peak"))
+    return r.select("trace_id", *[F.round(c, 9).alias(c) for c in ("pooled", "mean", "pooled_peak", "mean_peak")], F.round(F.col("pooled") / F.greatest("mean", F.lit(1e-30)), 6).alias("ratio"))
+
+
+def w1_dense_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The array path: records of whole traces, binned and smoothed in one pass; summed up again."""
+    s = spikes(spark, sf_dir).groupBy("trace_id").agg(F.collect_list("t").alias("det_t"), F.collect_list("ch").alias("det_ch")).withColumn("n_electrodes", F.lit(N_E).cast("long"))
+    total = F.aggregate("trace", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    return build_traces(s, DURATION, DT, SIGMA_BINS * DT).select("trace_id", F.size("trace").cast("long").alias("n_bins"), F.round(total * N_E).cast("long").alias("n_spikes"))
+
+
+def _windows(spark: SparkSession, sf_dir: str, stride: int) -> DataFrame:
+    rows = window_rows(_rates(spark, sf_dir), BINS, WINDOW, stride).groupBy("trace_id", "window_idx", "start").agg(F.sum("x").alias("total"), F.max("x").alias("peak"))
+    return rows.select("trace_id", "window_idx", "start", F.round("total", 9).alias("total"), F.round("peak", 9).alias("peak"))
+
+
+def w2_windows_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(spark, sf_dir, WINDOW)
+
+
+def w2_windows_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _windows(spark, sf_dir, HOP)
+
+
+def w3_window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array windows of the embeddings: 24 long, 16 apart, described by their ends."""
+    w = cut_windows(_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("trace")), 24, 16)
+    return w.select("vec_id", "window_idx", "start", F.element_at("xw", 1).cast("double").alias("first"), F.element_at("xw", -1).cast("double").alias("last"), F.size("xw").cast("long").alias("length"))
+
+
+def f3_short_trace_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces that end with their last event; those below 700 bins are short."""
+    n = _counts(spark, sf_dir).groupBy("trace_id").agg((F.max("bin") + 1).alias("n"))
+    return n.agg(F.count_if(F.col("n") >= 700).alias("n_used"), F.count_if(F.col("n") < 700).alias("n_short"))
+
+
+def f1_rejected_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a grid of 20 days and four electrodes leaves out."""
+    return rejected(spikes(spark, sf_dir), 20 * 86_400.0, DT, 4)
+
+
+def j1_unique_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = _table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey")).distinct()
+    return unique_join(users, _table(spark, sf_dir, "customer"), ["c_custkey"]).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
+def j1_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return key_violations(keys, keys.distinct(), ["l_orderkey", "l_linenumber"])
+
+
+def j3_silent_electrode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spikes of every electrode in every 240-hour window, the silent ones with zero."""
+    s = spikes(spark, sf_dir).withColumn("window_idx", F.floor(F.col("t") / (WINDOW * DT)))
+    wide = s.withColumn("trace_id", F.col("trace_id") * 10 + F.col("window_idx"))
+    users = _table(spark, sf_dir, "events").select("user_id").distinct()
+    each = users.withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(BINS // WINDOW - 1)))).withColumn("ch", F.explode(F.sequence(F.lit(0), F.lit(N_E - 1)))).select((F.col("user_id") * 10 + F.col("w")).alias("trace_id"), F.col("ch").cast("long").alias("ch"))
+    return channel_counts(wide, each).select(F.floor(F.col("trace_id") / 10).alias("trace_id"), F.pmod("trace_id", F.lit(10)).alias("window_idx"), "ch", "n")
+
+
+def _axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry from the ranges of numeric columns, one frozen axis and one of exactly a decade."""
+    found = None
+    for table, columns in (("lineitem", ("l_quantity", "l_extendedprice", "l_discount", "l_tax")), ("part", ("p_size", "p_retailprice")), ("customer", ("c_acctbal",))):
+        ranges = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi")) for c in columns])
+        aggs = [f(F.col(c).cast("double")).alias(f"{p}_{c}") for c in columns for p, f in (("lo", F.min), ("hi", F.max))]
+        rows = _table(spark, sf_dir, table).agg(*aggs).select(F.inline(ranges))
+        found = rows if found is None else found.unionByName(rows)
+    fixed = spark.createDataFrame([("frozen", 2.0, 2.0), ("decade", 0.1, 1.0)], "name string, lo double, hi double")
+    return found.unionByName(fixed).withColumn("lo", F.col("lo") + 0.0)
+
+
+def f5_log_axis_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _axes(spark, sf_dir).select("name", "lo", "hi", is_log_axis(F.col("lo"), F.col("hi")).alias("is_log"))
+
+
+def f6_frozen_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rules(_axes(spark, sf_dir)).filter("is_frozen").select("name", "lo", "hi")
+
+
+def j7_log_set_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived log set against a stored one that has an axis too many and one too few."""
+    a = _axes(spark, sf_dir).withColumnRenamed("name", "axis")
+    stored = spark.createDataFrame([("l_quantity",), ("p_size",), ("l_tax",), ("decade",)], "axis string")
+    return log_set_drift(a, stored)
+
+
+def p12_label_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active axes in the given order with their coordinates and theta bounds, then a linear tail."""
+    active = spark.createDataFrame([(0, "p_size"), (1, "l_discount"), (2, "l_extendedprice")], "pos int, name string")
+    a = with_rules(_axes(spark, sf_dir)).join(F.broadcast(active), "name")
+    head = a.select("pos", "name", F.when(F.col("is_log"), "ln").otherwise("linear").alias("coord"), *[F.round(to_theta(F.col(e), F.col("is_log")), 9).alias(e) for e in ("lo", "hi")])
+    tail = spark.createDataFrame([(3, "conn_prob", "linear", 0.1, 0.6), (4, "p0_conn", "linear", 0.1, 1.0)], "pos int, name string, coord string, lo double, hi double")
+    return head.unionByName(tail)
+
+
+def p13_to_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, size, price = _table(spark, sf_dir, "part"), F.col("p_size").cast("double"), F.col("p_retailprice")
+    yes, no = F.lit(True), F.lit(False)
+    return p.select("p_partkey", F.round(to_theta(size, yes), 9).alias("th_size"), F.round(to_theta(price, no), 9).alias("th_price"), F.round(to_natural(to_theta(size, yes), yes), 9).alias("size_back"))
+
+
+def a1_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = roundtrip(_axes(spark, sf_dir).withColumn("axis", F.lit(0)))
+    return r.select("name", "edge", F.round("v", 6).alias("v"), (F.col("off") <= 1e-9 * F.abs("v")).alias("holds"))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "lineitem").join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    theta = F.array(*[F.col(c).cast("double") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")])
+    logs = F.array(*[F.lit(x) for x in (True, True, False, False, True, False)])
+    stored = F.transform(theta, lambda v, i: to_theta(v, F.get(logs, i)))
+    active = F.array(*[F.lit(k) for k in (4, 0, 1, 2)])
+    label = F.concat(F.transform(active, lambda k: F.get(F.col("theta"), k)), F.array("l_tax", "p_retailprice"))
+    return rows.withColumn("theta", stored).select("l_orderkey", "l_linenumber", label.alias("label"))
+
+
+def p3_label_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen axes of a stored theta in their order, then a tail in natural units."""
+    names = ("th_size", "th_quantity", "th_price", "th_discount", "th_tax", "th_retail")
+    return _labels(spark, sf_dir).select("l_orderkey", "l_linenumber", *[F.round(F.get("label", F.lit(j)) + 0.0, 9).alias(n) for j, n in enumerate(names)])
+
+
+def a4_constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _table(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price"), F.lit(0.1).alias("same"))
+    flat = F.array(*[F.struct(F.lit(c).alias("name"), (F.min(c) == F.max(c)).alias("constant")) for c in p.columns])
+    return p.agg(flat.alias("x")).select(F.inline("x"))
+
+
+BOX = {"l_quantity": (5.0, 45.0), "l_extendedprice": (1_000.0, 100_000.0), "l_discount": (0.0, 0.1), "l_tax": (0.01, 0.08)}
+
+
+def a5_box_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = [F.struct(F.lit(c).alias("axis"), F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("n_outside")) for c, (lo, hi) in BOX.items()]
+    return _table(spark, sf_dir, "lineitem").agg(F.array(*n).alias("x")).select(F.inline("x"))
+
+
+def a6_coord_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose stored theta breaks the rule; every 97th is stored a little off."""
+    want = to_theta(F.col("p_size").cast("double"), F.lit(True))
+    got = want + F.when(F.col("p_partkey") % 97 == 0, 1e-6).otherwise(0.0)
+    return _table(spark, sf_dir, "part").filter(~close_to(got, want, 1e-8, 1e-10)).select("p_partkey", "p_size")
+
+
+def a7_unit_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    off = F.abs(l2_norm(F.col("embedding")) - 1.0)
+    return _table(spark, sf_dir, "embeddings").agg(F.count("*").alias("n_rows"), F.count_if(off >= UNIT_TOLERANCE).alias("n_off"), (F.max(off) < UNIT_TOLERANCE).alias("holds"))
+
+
+def a9_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with a value that is not finite; every 50th is given one."""
+    broken = F.when(F.col("vec_id") % 50 == 0, F.concat("embedding", F.array(F.lit(float("nan")).cast("float")))).when(F.col("vec_id") % 50 == 1, F.concat("embedding", F.array(F.lit(float("-inf")).cast("float")))).otherwise(F.col("embedding"))
+    return _table(spark, sf_dir, "embeddings").filter(~all_finite(broken)).select("vec_id")
+
+
+HEAD = [[((31 * j + 17 * k) % 13 - 6) / 13 for k in range(64)] for j in range(8)]
+
+
+def x1_linear_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fixed linear head: unnormalised and unit outputs, as expressions."""
+    heads = [F.aggregate(F.zip_with("embedding", F.array(*[F.lit(w) for w in row]), lambda v, w: v.cast("double") * w), F.lit(0.0), lambda a, x: a + x) for row in HEAD]
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.array(*heads).alias("zraw")).withColumn("n", l2_norm(F.col("zraw")))
+    return rows.select("vec_id", F.posexplode("zraw").alias("j", "zraw"), "n").select("vec_id", F.col("j").cast("long").alias("j"), F.round("zraw", 6).alias("zraw"), F.round(F.col("zraw") / F.col("n"), 6).alias("z"))
+
+
+def p2_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "embeddings").select("vec_id", *flattened("embedding", "z", 64, "double"))
+
+
+def p1_trailing_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", basename(F.col("url")).alias("name"), F.coalesce(trailing_index(F.col("url")), F.lit(-1)).alias("idx"))
+
+
+def s5_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+
+
+def g13_digest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s5_digest(spark, sf_dir).groupBy("sha256").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+
+
+def g12_files_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages a host and the first of them."""
+    host = F.regexp_extract("url", "://([^/]+)", 1)
+    return _table(spark, sf_dir, "pages").groupBy(host.alias("host")).agg(F.count("*").alias("n"), F.min("url").alias("first_url"))
+
+
+def l2_ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hundred events by the text of their id: 10 comes before 2."""
+    return _table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("name"), "user_id").orderBy("name").limit(100)
+
+
+def u3_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types that a user lacks in the first week."""
+    e = _table(spark, sf_dir, "events").withColumn("early", F.when(_micros() < 7 * 86_400_000_000, F.col("event_type")))
+    missing = F.array_except(F.array(*[F.lit(t) for t in TYPES]), F.collect_set("early"))
+    return e.groupBy("user_id").agg(F.array_join(F.array_sort(missing), ",").alias("missing"))
+
+
+def j5_launch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers against their orders: run, or why not."""
+    o = _table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    met = _table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return met.select("c_custkey", F.when(F.col("n") > 0, "RUN").otherwise("SKIP: no orders").alias("status"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return w2_windows_disjoint(spark, sf_dir)
+
+
+QUERIES: tuple[Query, ...] = (
+    g1_bin_counts, g3_dense_grid, w1_gaussian_smooth, w1_dense_traces, g4_mean_rate, w2_windows_disjoint, w2_windows_overlap, w3_window_slices, f3_short_trace_drop,
+    f1_rejected_spikes, j1_unique_join, j1_key_violations, j3_silent_electrode, f5_log_axis_rule, f6_frozen_axes, j7_log_set_drift, p12_label_axes, p13_to_theta, a1_roundtrip,
+    p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index, s5_digest,
+    g13_digest_audit, g12_files_per_group, l2_ordered_limit, u3_missing_keys, j5_launch_status,
+)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {q.__name__: q for q in QUERIES}
+
+
+_SPIKES = "spikes AS (SELECT user_id AS trace_id, CASE event_type " + " ".join(f"WHEN '{t}' THEN {k}" for k, t in enumerate(TYPES)) + " END AS ch, epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') AS us FROM events)"
+_COUNTS = f"{_SPIKES}, counts AS (SELECT trace_id, us // 3600000000 AS bin, count(*) AS c FROM spikes WHERE us >= 0 AND us < 2592000000000 AND ch BETWEEN 0 AND 4 GROUP BY 1, 2)"
+_RATES = f"""{_COUNTS}, k0 AS (SELECT j::BIGINT AS j, exp(-0.5 * (j / 2.0) ** 2) AS g FROM range(-8, 9) t(j)), kernel AS (SELECT j, g / (SELECT sum(g) FROM k0) AS w FROM k0),
+virtual AS (SELECT trace_id, unnest([bin, -1 - bin, {2 * BINS - 1} - bin]) AS p, c FROM counts),
+smooth AS (SELECT trace_id, p - j AS bin, sum(c * w) AS r FROM virtual, kernel WHERE p BETWEEN -8 AND {BINS + 7} AND p - j BETWEEN 0 AND {BINS - 1} GROUP BY 1, 2)"""
+_WINDOWS = f"WITH {_RATES}, starts AS (SELECT (s // {{stride}})::BIGINT AS window_idx, s::BIGINT AS start FROM range(0, {BINS - WINDOW + 1}, {{stride}}) t(s)) SELECT trace_id, window_idx, start, round(sum(r / {N_E}), 9) AS total, round(max(r / {N_E}), 9) AS peak FROM smooth JOIN starts ON bin >= start AND bin < start + {WINDOW} GROUP BY ALL"
+_RANGE = "SELECT '{c}' AS name, min({c})::DOUBLE + 0.0 AS lo, max({c})::DOUBLE AS hi FROM {t}"
+_AXES = "axes AS (" + " UNION ALL ".join(_RANGE.format(c=c, t=t) for t, cs in (("lineitem", ("l_quantity", "l_extendedprice", "l_discount", "l_tax")), ("part", ("p_size", "p_retailprice")), ("customer", ("c_acctbal",))) for c in cs) + " UNION ALL VALUES ('frozen', 2.0::DOUBLE, 2.0::DOUBLE), ('decade', 0.1::DOUBLE, 1.0::DOUBLE)), ruled AS (SELECT *, CASE WHEN lo > 0 AND hi > 0 THEN log10(hi / lo) >= 1 ELSE false END AS is_log FROM axes)"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    heads = ", ".join("[" + ", ".join(f"{w!r}::DOUBLE" for w in row) + "]" for row in HEAD)
+    return {
+        "g1_bin_counts": f"WITH {_COUNTS} SELECT * FROM counts",
+        "g3_dense_grid": f"WITH {_COUNTS} SELECT trace_id, bin, coalesce(c, 0) AS c FROM (SELECT DISTINCT trace_id FROM spikes) CROSS JOIN range(0, {BINS}) t(bin) LEFT JOIN counts USING (trace_id, bin)",
+        "w1_gaussian_smooth": f"WITH {_RATES} SELECT trace_id, bin, round(r, 9) AS r FROM smooth",
+        "w1_dense_traces": f"WITH {_COUNTS} SELECT trace_id, {BINS}::BIGINT AS n_bins, sum(c)::BIGINT AS n_spikes FROM counts GROUP BY 1",
+        "g4_mean_rate": f"WITH {_RATES} SELECT trace_id, round(sum(r), 9) AS pooled, round(sum(r / {N_E}), 9) AS mean, round(max(r), 9) AS pooled_peak, round(max(r / {N_E}), 9) AS mean_peak, round(sum(r) / greatest(sum(r / {N_E}), 1e-30), 6) AS ratio FROM smooth GROUP BY 1",
+        "w2_windows_disjoint": _WINDOWS.format(stride=WINDOW),
+        "w2_windows_overlap": _WINDOWS.format(stride=HOP),
+        "w3_window_slices": "SELECT vec_id, (s // 16)::BIGINT AS window_idx, s::BIGINT AS start, embedding[s + 1]::DOUBLE AS first, embedding[s + 24]::DOUBLE AS last, 24::BIGINT AS length FROM embeddings, range(0, 64, 16) t(s) WHERE s + 24 <= len(embedding)",
+        "f3_short_trace_drop": f"WITH {_COUNTS}, n AS (SELECT trace_id, max(bin) + 1 AS n FROM counts GROUP BY 1) SELECT count(*) FILTER (n >= 700) AS n_used, count(*) FILTER (n < 700) AS n_short FROM n",
+        "f1_rejected_spikes": f"WITH {_SPIKES}, x AS (SELECT *, NOT (us >= 0 AND us < 1728000000000) AS late FROM spikes) SELECT trace_id, count(*) FILTER (late) AS out_of_time, count(*) FILTER (NOT late AND NOT ch BETWEEN 0 AND 3) AS other_channel FROM x GROUP BY 1",
+        "j1_unique_join": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT user_id FROM events)",
+        "j1_key_violations": "SELECT l_orderkey, l_linenumber, count(*) AS n_left, 1::BIGINT AS n_right FROM lineitem GROUP BY 1, 2 HAVING count(*) <> 1",
+        "j3_silent_electrode": f"WITH {_SPIKES}, s AS (SELECT trace_id, us // 864000000000 AS window_idx, ch::BIGINT AS ch, count(*) AS n FROM spikes GROUP BY 1, 2, 3) SELECT trace_id, window_idx, ch, coalesce(n, 0) AS n FROM (SELECT DISTINCT trace_id FROM spikes) CROSS JOIN range(0, 3) w(window_idx) CROSS JOIN range(0, 5) c(ch) LEFT JOIN s USING (trace_id, window_idx, ch)",
+        "f5_log_axis_rule": f"WITH {_AXES} SELECT name, lo, hi, is_log FROM ruled",
+        "f6_frozen_axes": f"WITH {_AXES} SELECT name, lo, hi FROM axes WHERE lo = hi",
+        "j7_log_set_drift": f"WITH {_AXES}, s AS (SELECT unnest(['l_quantity', 'p_size', 'l_tax', 'decade']) AS name), d AS (SELECT name FROM ruled WHERE is_log) SELECT name AS axis, 'derived' AS only_in FROM (FROM d EXCEPT FROM s) UNION ALL SELECT name, 'stored' FROM (FROM s EXCEPT FROM d)",
+        "p12_label_axes": f"WITH {_AXES}, a AS (SELECT * FROM (VALUES (0, 'p_size'), (1, 'l_discount'), (2, 'l_extendedprice')) v(pos, name)) SELECT pos, name, CASE WHEN is_log THEN 'ln' ELSE 'linear' END AS coord, round(CASE WHEN is_log THEN ln(lo) ELSE lo END, 9) AS lo, round(CASE WHEN is_log THEN ln(hi) ELSE hi END, 9) AS hi FROM a JOIN ruled USING (name) UNION ALL VALUES (3, 'conn_prob', 'linear', 0.1::DOUBLE, 0.6::DOUBLE), (4, 'p0_conn', 'linear', 0.1::DOUBLE, 1.0::DOUBLE)",
+        "p13_to_theta": "SELECT p_partkey, round(ln(p_size::DOUBLE), 9) AS th_size, round(p_retailprice, 9) AS th_price, round(exp(ln(p_size::DOUBLE)), 9) AS size_back FROM part",
+        "a1_roundtrip": f"WITH {_AXES}, e AS (SELECT name, is_log, 'lo' AS edge, lo AS v FROM ruled UNION ALL SELECT name, is_log, 'hi', hi FROM ruled) SELECT name, edge, round(v, 6) AS v, abs(CASE WHEN is_log THEN exp(ln(v)) ELSE v END - v) <= 1e-9 * abs(v) AS holds FROM e",
+        "p3_label_assembly": "SELECT l_orderkey, l_linenumber, round(ln(p_size::DOUBLE), 9) AS th_size, round(ln(l_quantity), 9) AS th_quantity, round(ln(l_extendedprice), 9) AS th_price, round(l_discount + 0.0, 9) AS th_discount, round(l_tax + 0.0, 9) AS th_tax, round(p_retailprice, 9) AS th_retail FROM lineitem JOIN part ON l_partkey = p_partkey",
+        "a4_constant_columns": "SELECT 'size' AS name, min(p_size) = max(p_size) AS constant FROM part UNION ALL SELECT 'price', min(p_retailprice) = max(p_retailprice) FROM part UNION ALL SELECT 'same', true",
+        "a5_box_violations": " UNION ALL ".join(f"SELECT '{c}' AS axis, count(*) FILTER ({c} < {lo}::DOUBLE OR {c} > {hi}::DOUBLE) AS n_outside FROM lineitem" for c, (lo, hi) in BOX.items()),
+        "a6_coord_check": "SELECT p_partkey, p_size FROM part WHERE p_partkey % 97 = 0",
+        "a7_unit_norm": "WITH n AS (SELECT abs(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) - 1) AS off FROM embeddings) SELECT count(*) AS n_rows, count(*) FILTER (off >= 1e-5) AS n_off, max(off) < 1e-5 AS holds FROM n",
+        "a9_finite": "SELECT vec_id FROM embeddings WHERE vec_id % 50 IN (0, 1)",
+        "x1_linear_head": f"WITH h AS (SELECT vec_id, list_transform([{heads}], lambda w: list_sum(list_transform(list_zip(embedding, w), lambda p: p[1]::DOUBLE * p[2]))) AS zraw FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(zraw, lambda x: x * x))) AS n FROM h) SELECT vec_id, j::BIGINT AS j, round(zraw[j + 1], 6) AS zraw, round(zraw[j + 1] / n, 6) AS z FROM n, range(0, 8) t(j)",
+        "p2_flatten": "SELECT vec_id, " + ", ".join(f"embedding[{j + 1}]::DOUBLE AS z_{j:03d}" for j in range(64)) + " FROM embeddings",
+        "p1_trailing_index": r"SELECT page_id, list_last(string_split(url, '/')) AS name, coalesce(list_last(regexp_extract_all(list_last(string_split(url, '/')), '\d+'))::BIGINT, -1) AS idx FROM pages",
+        "s5_digest": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
+        "g13_digest_audit": "SELECT sha256(text) AS sha256, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1",
+        "g12_files_per_group": "SELECT regexp_extract(url, '://([^/]+)', 1) AS host, count(*) AS n, min(url) AS first_url FROM pages GROUP BY 1",
+        "l2_ordered_limit": "SELECT event_id::VARCHAR AS name, user_id FROM events ORDER BY name LIMIT 100",
+        "u3_missing_keys": "WITH u AS (SELECT DISTINCT user_id FROM events), r AS (SELECT user_id, unnest([" + ", ".join(f"'{t}'" for t in TYPES) + "]) AS t FROM u), m AS (FROM r EXCEPT SELECT user_id, event_type FROM events WHERE epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') < 604800000000) SELECT user_id, coalesce(string_agg(t, ',' ORDER BY t), '') AS missing FROM u LEFT JOIN m USING (user_id) GROUP BY 1",
+        "j5_launch_status": "WITH o AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT c_custkey, CASE WHEN n > 0 THEN 'RUN' ELSE 'SKIP: no orders' END AS status, coalesce(n, 0) AS n FROM customer LEFT JOIN o ON c_custkey = o_custkey",
+    }
