@@ -73,8 +73,9 @@ def export_embeddings(
         sound = F.coalesce(F.size("theta_a") == label_spec.p, F.lit(False))
         rows = rows.filter(F.when(sound, True).otherwise(F.raise_error(F.lit(f"a record has no label of {label_spec.p} entries; labelled and unlabelled rows do not mix"))).cast("boolean"))
     columns = sink.shard_columns(rows, tuple(ident_columns), encoder.embedding_dim, label_spec)
-    staging = sink.write_staged(rows.select(*columns), out_stem, single_file)
+    staging = sink.staging_path(out_stem)
     try:
+        sink.write_staged(rows.select(*columns), staging, single_file)
         staged = spark.read.parquet(staging)
         held, more = verdict(metrics(_with_vectors(staged, encoder, want_zraw, label_spec), label_spec), label_spec, encoder.l2_normalize, strict_in_box)
     except BaseException:

@@ -55,11 +55,13 @@ def merged(description: dict[str, Any], extra: Mapping[str, Any] | None) -> dict
     return out
 
 
-def write_staged(rows: DataFrame, stem: str, single_file: bool = False) -> str:
+def staging_path(stem: str) -> str:
+    return f"{stem}.staging"
+
+
+def write_staged(rows: DataFrame, staging: str, single_file: bool = False) -> None:
     """Snappy Parquet in the staging folder; one file only if that is asked for."""
-    staging = f"{stem}.staging"
     (rows.coalesce(1) if single_file else rows).write.mode("overwrite").option("compression", "snappy").parquet(staging)
-    return staging
 
 
 def publish(spark: SparkSession, stem: str, staging: str, description: Mapping[str, Any]) -> None:
