@@ -6,7 +6,7 @@ problem under one token constraint a source: they are exponential tilts of the p
 the convex dual find the tilts. Every iteration is one aggregate over cells of (source, prior), which are counted
 once; only a number or two a source comes back. Rates are rounded into whole copies by a hash of the document.
 What rounding misses a source's target by is mended the same way: two Newton corrections of the rates on the
-rounded totals, then rounds that give or take one copy of the largest document that fits the rest.
+rounded totals, then rounds that give or take one copy of the document that brings the total nearest.
 
 Sources are configuration: their table (name, weight, target, tilt) is kept on the driver and must have at most
 ``max_sources`` rows (else an error). Documents never are.
@@ -141,8 +141,9 @@ def decide(rows: DataFrame, weights: tuple[float, ...], budget: float, most: int
             continue
         wanted = F.broadcast(spark.createDataFrame(list(rest.items()), "of string, miss double"))
         room = F.when(F.col("miss") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
-        fits = now.join(wanted, F.col("source").eqNullSafe(F.col("of"))).filter(room & (F.col("size") > 0) & (F.col("size") <= F.abs("miss")) & F.col("more").isNull())
-        for r in fits.groupBy("source").agg(F.max(F.struct("size", "key")).alias("x")).collect():
+        fits = now.join(wanted, F.col("source").eqNullSafe(F.col("of"))).filter(room & (F.col("size") > 0) & (F.col("size") < 2 * F.abs("miss")) & F.col("more").isNull())
+        left = F.abs(F.abs("miss") - F.col("size")).alias("left")
+        for r in fits.groupBy("source").agg(F.min(F.struct(left, "key")).alias("x")).collect():
             mix.extra[r["x"]["key"]] = 1 if rest[r["source"]] > 0 else -1
     return mix
 
