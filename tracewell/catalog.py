@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 from tracewell.functions.expr import all_finite, basename, close_to, flattened, l2_norm, to_natural, to_theta, trailing_index
 from tracewell.operators.binning import bin_counts, channel_counts, dense_grid, grid_bins, rejected
 from tracewell.operators.checks import UNIT_TOLERANCE
-from tracewell.operators.registry import SCHEMA as REGISTRY_SCHEMA
-from tracewell.operators.registry import is_log_axis, log_set_drift, roundtrip, with_rules
+from tracewell.operators.encoder import demo_spec
+from tracewell.operators.labels import build_label_spec
+from tracewell.operators.registry import Registry, is_log_axis, log_set_drift, roundtrip, with_rules
 from tracewell.operators.smoothing import smooth_rows
 from tracewell.operators.traces import build_traces
 from tracewell.operators.unique_join import key_violations, unique_join
 from tracewell.operators.windows import cut_windows, window_rows
+from tracewell.plans.export import export_embeddings
+from tracewell.sinks.shard import read_shard
+from tracewell.sinks.store import scratch
+from tracewell.sources.synthetic import synthetic_detections
 
 Query = Callable[[SparkSession, str], DataFrame]
 TYPES = ("click", "error", "purchase", "signup", "view")
@@ -69,9 +74,30 @@ def g4_mean_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def w1_dense_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The array path: records of whole traces, binned and smoothed in one pass; summed up again."""
-    s = spikes(spark, sf_dir).groupBy("trace_id").agg(F.collect_list("t").alias("det_t"), F.collect_list("ch").alias("det_ch")).withColumn("n_electrodes", F.lit(N_E).cast("long"))
     total = F.aggregate("trace", F.lit(0.0), lambda a, v: a + v.cast("double"))
-    return build_traces(s, DURATION, DT, SIGMA_BINS * DT).select("trace_id", F.size("trace").cast("long").alias("n_bins"), F.round(total * N_E).cast("long").alias("n_spikes"))
+    return _user_traces(spark, sf_dir).select("trace_id", F.size("trace").cast("long").alias("n_bins"), F.round(total * N_E).cast("long").alias("n_spikes"))
+
+
+def _user_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = spikes(spark, sf_dir).groupBy("trace_id").agg(F.collect_list("t").alias("det_t"), F.collect_list("ch").alias("det_ch")).withColumn("n_electrodes", F.lit(N_E).cast("long"))
+    return build_traces(s, DURATION, DT, SIGMA_BINS * DT)
+
+
+def k1_export_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User traces through windows, the demonstration encoder, constraints and the sinks, and read back."""
+    stem = scratch(spark, "shard")
+    export_embeddings(demo_spec(WINDOW * DT, DT), _user_traces(spark, sf_dir), stem, ident_columns=("trace_id",))
+    rows, description = read_shard(spark, stem)
+    return rows.select("trace_id", "window_idx", F.size("zraw").cast("long").alias("width"), (F.abs(l2_norm(F.col("z")) - 1) < UNIT_TOLERANCE).alias("unit"), F.lit(description["n_rows"]).cast("long").alias("n_rows"))
+
+
+def s8_synthetic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Made-up records over the axes of this catalogue: sizes of what was drawn."""
+    axes = [(r["name"], r["lo"], r["hi"]) for r in _axes(spark, sf_dir).filter("lo < hi").orderBy("name").collect()]
+    bounds = [(lo, hi) for _, lo, hi in axes]
+    registry = Registry([n for n, _, _ in axes], ["-"] * len(axes), bounds, bounds, [(0.1, 1.0), (50.0, 500.0), (0.5, 3.0)])
+    made = synthetic_detections(spark, build_label_spec(registry, [0, 2, 3]), 32, 20.0)
+    return made.select("iter_idx", "topo_idx", "seed_run", F.size("det_t").cast("long").alias("n_spikes"), F.array_max("det_ch").alias("last_channel"), F.array_max("det_t").alias("last_time"))
 
 
 def _windows(spark: SparkSession, sf_dir: str, stride: int) -> DataFrame:
@@ -277,7 +303,7 @@ QUERIES: tuple[Query, ...] = (
     g1_bin_counts, g3_dense_grid, w1_gaussian_smooth, w1_dense_traces, g4_mean_rate, w2_windows_disjoint, w2_windows_overlap, w3_window_slices, f3_short_trace_drop,
     f1_rejected_spikes, j1_unique_join, j1_key_violations, j3_silent_electrode, f5_log_axis_rule, f6_frozen_axes, j7_log_set_drift, p12_label_axes, p13_to_theta, a1_roundtrip,
     p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index, s5_digest,
-    g13_digest_audit, g12_files_per_group, l2_ordered_limit, u3_missing_keys, j5_launch_status,
+    g13_digest_audit, g12_files_per_group, l2_ordered_limit, u3_missing_keys, j5_launch_status, k1_export_shard, s8_synthetic_source,
 )
 
 
@@ -296,6 +322,7 @@ _AXES = "axes AS (" + " UNION ALL ".join(_RANGE.format(c=c, t=t) for t, cs in ((
 
 
 def oracle_sql() -> dict[str, str]:
+    """All but the queries that write shards or draw random records, which tests check instead."""
     heads = ", ".join("[" + ", ".join(f"{w!r}::DOUBLE" for w in row) + "]" for row in HEAD)
     return {
         "g1_bin_counts": f"WITH {_COUNTS} SELECT * FROM counts",

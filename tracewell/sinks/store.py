@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``); where the session has
+    none, as in single-machine runs, in a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tracewell-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 class Store:
     def __init__(self, spark: SparkSession):
         self._jvm = spark._jvm
