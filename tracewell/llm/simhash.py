@@ -17,9 +17,9 @@ Only distinct fingerprints are joined, so exact copies cost one row. A cell with
 into blocks, and pairs of blocks are compared in separate tasks that return a spanning forest, never all pairs.
 
 Edge cases: null and empty texts, and texts of white space, get fingerprint zero and link like any other;
-texts of fewer words than a shingle are one shingle; repeated rows keep one row each in the result; a null
-``doc_id`` gets a row, takes part in links, but never names a component (a component of nulls alone has a null
-name); an empty table gives an empty result; other columns of the input are not read.
+texts of fewer words than a shingle are one shingle; repeated rows keep one row each in ``near_duplicates`` and
+one in all in ``keep_one``; a null ``doc_id`` gets a row, takes part in links, but never names a component (a
+component of nulls alone has a null name); an empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -64,15 +64,20 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash that names a row by its id and whole text."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the fingerprint as a (signed) long, one row per row of ``docs``."""
+    """doc_id, row key and the fingerprint as a (signed) long, one row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in texts_of(b)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(fp)], ["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text")).mapInArrow(run, "doc_id long, key long, fp long")
 
 
 def _signed(x: int) -> Column:
@@ -208,26 +213,49 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
-    """doc_id, fp (long) and component_id for every row of ``docs``."""
+    """doc_id, key, fp (long), component_id and keeper_key for every row of ``docs``. The keeper of a component is its
+    row with the smallest doc_id (null last) and, of rows with the same id and different texts, the smallest key."""
     prints = materialize(fingerprints(docs, shingle), "simhash-prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
+    first = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "key")
+    distinct = materialize(prints.groupBy("fp").agg(F.min(first).alias("first")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), radius, segments, dense))
-    mapped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    mapped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     mapped = materialize(mapped, "simhash-roots")
-    named = mapped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_print = mapped.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+    named = mapped.groupBy("root").agg(F.min("first").alias("keeper"))
+    of_print = mapped.select("fp", "root").join(named, "root").select("fp", "keeper")
+    component = F.when(F.col("keeper.id") != _NO_ID, F.col("keeper.id"))
+    return prints.join(of_print, "fp").select("doc_id", "key", "fp", component.alias("component_id"), F.col("keeper.key").alias("keeper_key"))
+
+
+#: Stands for a null id where ids are ordered.
+_NO_ID = (1 << 63) - 1
+#: Bits of the sieve; 2^26 bits are 8 MB, which bounds what is broadcast.
+SIEVE_BITS = 26
+
+
+def _sieve(rows: DataFrame, doubtful: DataFrame) -> DataFrame:
+    """``rows`` (with __key) with __hit: false only where the key is for certain none of the doubtful ones. The
+    sieve is one bitmap of fixed size, so it is broadcast whatever the number of keys."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SIEVE_BITS)) + 1
+    bits = doubtful.select(slot("key").alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits"))
+    at = F.bitmap_bit_position(slot("__key")).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1, F.lit(False))
+    return rows.withColumn("__bucket", F.bitmap_bucket_number(slot("__key"))).join(F.broadcast(bits), "__bucket", "left").withColumn("__hit", hit).drop("__bucket", "__bits")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The document that names each component, with the columns of ``docs``; of rows that repeat its doc_id, one.
-    Rows without a doc_id all stay if some of them have no component with a name."""
+    """The keeper of each component, with the columns of ``docs``; of equal rows, one.
+
+    Keepers that are the only row of their key pass without a shuffle of their text: a sieve of fixed size tells
+    them from the doubtful keys (other rows, and keepers with equal rows). Only what it holds back, the doubtful and
+    a few that share their bit, is joined exactly.
+    """
     found = near_duplicates(docs, **options)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
-    kept = materialize(kept, "simhash-kept")
-    nameless = docs.filter("doc_id IS NULL").limit(1).count() and found.filter("component_id IS NULL").limit(1).count()
-    rows = docs.join(kept, F.col("doc_id") == F.col("__kept"))
-    out = rows.filter("__rows = 1").drop("__kept", "__rows")
-    if kept.filter("__rows > 1").limit(1).count():
-        out = out.unionByName(rows.filter("__rows > 1").drop("__kept", "__rows").dropDuplicates(["doc_id"]))
-    return out.unionByName(docs.filter("doc_id IS NULL")) if nameless else out
+    by_key = found.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("key") == F.col("keeper_key")).alias("keeper"))
+    doubtful = materialize(by_key.filter("n > 1 OR NOT keeper"), "simhash-doubtful")
+    own = [docs[c] for c in docs.columns]
+    rows = _sieve(docs.select(F.struct(*own).alias("__row"), row_key(docs).alias("__key")), doubtful)
+    held = rows.filter("__hit").join(doubtful, F.col("__key") == F.col("key"), "left").filter("key IS NULL OR keeper")
+    once = held.filter("key IS NULL").select("__row").unionByName(held.filter("keeper").groupBy("__key").agg(F.first("__row").alias("__row")).select("__row"))
+    return rows.filter("NOT __hit").select("__row").unionByName(once).select("__row.*")
