@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tracewell.functions.expr import edge_bin, gaussian_weights, trailing_index
 from tracewell.operators.binning import bin_counts, channel_counts, dense_grid, grid_bins, rejected, window_samples
 from tracewell.operators.smoothing import smooth_dense, smooth_rows
-from tracewell.operators.traces import build_traces, pooled_counts, rate
+from tracewell.operators.traces import build_traces, pooled_counts, rate, traces_from_counts
 from tracewell.operators.windows import cut_windows, window_rows
 
 
@@ -129,6 +129,8 @@ def test_array_path_equals_row_path(spark):
     records = spark.createDataFrame([(1, t.tolist(), c.tolist(), 3)], "trace_id int, det_t array<double>, det_ch array<long>, n_electrodes long")
     trace = np.array(build_traces(records, 10.0).first()["trace"])
     spikes = spark.createDataFrame([(1, float(x), int(y)) for x, y in zip(t, c)], "trace_id int, t double, ch long")
+    counted = np.array(traces_from_counts(bin_counts(spikes, 10.0, 0.02, 3), 500, 3, 2.0).first()["trace"])
+    assert np.abs(trace - counted).max() == 0
     rows = np.zeros(500)
     for r in smooth_rows(bin_counts(spikes, 10.0, 0.02, 3), 500, 2.0).collect():
         rows[r["bin"]] = r["r"] / 3

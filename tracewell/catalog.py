@@ -18,7 +18,7 @@ from tracewell.operators.encoder import demo_spec
 from tracewell.operators.labels import build_label_spec
 from tracewell.operators.registry import Registry, is_log_axis, log_set_drift, roundtrip, with_rules
 from tracewell.operators.smoothing import smooth_rows
-from tracewell.operators.traces import build_traces
+from tracewell.operators.traces import traces_from_counts
 from tracewell.operators.unique_join import key_violations, unique_join
 from tracewell.operators.windows import cut_windows, window_rows
 from tracewell.plans.export import export_embeddings
@@ -73,14 +73,13 @@ def g4_mean_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def w1_dense_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The array path: records of whole traces, binned and smoothed in one pass; summed up again."""
+    """The array path: whole traces, smoothed in one pass; summed up again."""
     total = F.aggregate("trace", F.lit(0.0), lambda a, v: a + v.cast("double"))
     return _user_traces(spark, sf_dir).select("trace_id", F.size("trace").cast("long").alias("n_bins"), F.round(total * N_E).cast("long").alias("n_spikes"))
 
 
 def _user_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = spikes(spark, sf_dir).groupBy("trace_id").agg(F.collect_list("t").alias("det_t"), F.collect_list("ch").alias("det_ch")).withColumn("n_electrodes", F.lit(N_E).cast("long"))
-    return build_traces(s, DURATION, DT, SIGMA_BINS * DT)
+    return traces_from_counts(_counts(spark, sf_dir), BINS, N_E, SIGMA_BINS)
 
 
 def k1_export_shard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Whole detection records to rate traces, one Arrow pass without a shuffle.
+"""Rate traces as arrays, from whole detection records or from counted bins.
 
 A detection record holds all spikes of its trace, so binning, smoothing and the division by the number of member
-electrodes need no other row. Silent electrodes are members: the divisor is the declared number.
+electrodes need no other row: one Arrow pass without a shuffle. Spikes that lie in rows of their own are counted
+first; then a trace is at most one cell a bin, however many spikes it has. Silent electrodes are members: the divisor
+is the declared number.
 """
 
 from __future__ import annotations
@@ -56,3 +58,24 @@ def build_traces(detections: DataFrame, duration: float, dt: float = 0.02, sigma
     whole = F.when(F.col("det_t").isNotNull() & F.col("det_ch").isNotNull() & F.col("n_electrodes").isNotNull(), True)
     sound = whole.otherwise(F.raise_error(F.lit("a detection record lacks det_t, det_ch or its number of electrodes")).cast("boolean"))
     return detections.filter(sound).mapInArrow(run, schema)
+
+
+def traces_from_counts(counts: DataFrame, bins: int, n_electrodes: int, sigma_bins: float) -> DataFrame:
+    """(trace_id, n_electrodes, trace) from (trace_id, bin, c); what is gathered for a trace is bounded by its bins."""
+    if n_electrodes < 1:
+        raise ValueError(f"n_electrodes must be at least 1, got {n_electrodes}")
+    kind = counts.schema["trace_id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            traces = []
+            for cells, values in zip(b.column("bins"), b.column("counts")):
+                dense = np.zeros(bins)
+                dense[cells.values.to_numpy(zero_copy_only=False)] = values.values.to_numpy(zero_copy_only=False)
+                traces.append((smooth_dense(dense, sigma_bins) / n_electrodes).astype(np.float32))
+            members = pa.array([n_electrodes] * b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("trace_id"), members, pa.array(traces, pa.list_(pa.float32()))], ["trace_id", "n_electrodes", "trace"])
+
+    gathered = counts.groupBy("trace_id").agg(F.collect_list(F.struct("bin", "c")).alias("cells")).select("trace_id", F.col("cells.bin").alias("bins"), F.col("cells.c").alias("counts"))
+    schema = T.StructType([T.StructField("trace_id", kind), T.StructField("n_electrodes", T.LongType()), T.StructField("trace", T.ArrayType(T.FloatType()))])
+    return gathered.mapInArrow(run, schema)
