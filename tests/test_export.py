@@ -14,7 +14,7 @@ from tracewell.operators.encoder import EncoderSpec, LinearHead, demo_spec, dig,
 from tracewell.operators.labels import assemble_labels, build_label_spec
 from tracewell.operators.traces import build_traces
 from tracewell.plans import audit
-from tracewell.plans.campaign import IDENT, campaign_records, launch_plan, pending
+from tracewell.plans.campaign import IDENT, campaign_records, export_campaigns, launch_plan, pending
 from tracewell.plans.export import export_embeddings
 from tracewell.sinks.shard import is_complete, read_shard
 from tracewell.sources.inventory import inventory
@@ -206,6 +206,11 @@ def test_inventory_and_launch_plan(spark, tmp_path):
     plan = launch_plan(inventory(spark, str(root)), inventory(spark, str(root)))
     assert {(r["campaign"], r["status"], r["reason"]) for r in plan.collect()} == {("good", "RUN", None), ("no_sweep", "SKIP", "no sweep output")}
     assert pending(spark, plan, str(tmp_path)) == ["good"]
+    spec = build_label_spec(registry(), ACTIVE)
+    run = lambda: export_campaigns(spark, plan, str(tmp_path), demo_spec(2.0), lambda _: spec, lambda _: 2.0, single_file=True, order_by=["path"])
+    assert {k: v.n_rows for k, v in run().items()} == {"good": 6} and run() == {}
+    rows = spark.read.parquet(str(tmp_path / "good.parquet"))
+    assert len(rows.inputFiles()) == 1 and [(r["topo_idx"], r["iter_idx"]) for r in rows.collect()] == [(k, i) for k in (1, 2) for i in range(3)]
 
 
 def test_half_written_shards_are_not_complete(spark, tmp_path):

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.operators.encoder import EncoderSpec
 from tracewell.operators.labels import LabelSpec, assemble_labels
 from tracewell.operators.traces import build_traces
 from tracewell.operators.unique_join import unique_join
+from tracewell.plans.export import ExportResult, export_embeddings
 from tracewell.sinks.shard import is_complete
 from tracewell.sources.npz import read_detections, read_topology
 
@@ -60,3 +62,14 @@ def description_extra(campaign_id: str, duration: float, sweep_group: str, n_ele
             "launch_flags": dict(job_args),
         },
     }
+
+
+def export_campaigns(spark: SparkSession, plan: DataFrame, out_root: str, encoder: EncoderSpec, spec_of: Callable[[str], LabelSpec], duration_of: Callable[[str], float], **options: Any) -> dict[str, ExportResult]:
+    """A shard for every campaign of a launch plan that is to run and not complete, from all of its trees; the first
+    campaign that breaks a constraint stops the run, and finished ones are skipped when it is started again."""
+    out = {}
+    for name in pending(spark, plan, out_root):
+        row = plan.filter(F.col("campaign") == name).first()
+        records = campaign_records(spark, row["topology_trees"], row["detection_trees"], spec_of(name), duration_of(name), name, dt=encoder.dt, sigma_s=encoder.sigma_s)
+        out[name] = export_embeddings(encoder, records, f"{out_root.rstrip('/')}/{name}", spec_of(name), IDENT, {"campaign_id": name}, **options)
+    return out

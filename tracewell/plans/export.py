@@ -52,11 +52,14 @@ def export_embeddings(
     want_zraw: bool = True,
     strict_in_box: bool = True,
     single_file: bool = False,
+    order_by: Sequence[str] = (),
 ) -> ExportResult:
     """Publish ``records`` (trace, identity columns, theta_a if labelled) as ``out_stem``.parquet and .json.
 
     The encoder runs once: rows go to a staging folder while traces are counted, the constraints are an aggregate
     over the staged shard, and only a shard that holds them is moved into place; otherwise staging is removed.
+    ``order_by`` names columns of the records (such as their path, as text) that give the order of the rows; it is
+    applied before the encoder, so that sampling for the sort never encodes.
     """
     spark = records.sparkSession
     stride = check_window(encoder.window_length, window_stride)
@@ -65,6 +68,8 @@ def export_embeddings(
         notes.append(f"stride {stride} is below the window of {encoder.window_length} samples: windows overlap and rows are not independent")
     if label_spec is not None and "theta_a" not in records.columns:
         raise ValueError("a label spec is given but the records have no theta_a")
+    if order_by:
+        records = records.orderBy(*order_by)
     seen = Observation("traces")
     short = samples(records) < encoder.window_length
     counted = records.observe(seen, F.count("*").alias("n"), F.count_if(short).alias("short"))
