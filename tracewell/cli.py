@@ -8,7 +8,6 @@ from __future__ import annotations
 import argparse
 import importlib
 import json
-import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -30,8 +29,8 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tracewell", description=__doc__)
     p.add_argument("--mode", choices=("synthetic", "campaign", "inventory"), default="synthetic")
     p.add_argument("--out", help="path of the shard without extension")
-    p.add_argument("--sim_dir", default=os.environ.get("SIM_MAIN_DIR"), help="folder with registry.parquet and registry.json (kernel_bounds, sweep_groups, log_params)")
-    p.add_argument("--dsn_main_dir", default=os.environ.get("DSN_MAIN_DIR"), help="folder put on the import path for --checkpoint")
+    p.add_argument("--sim_dir", help="folder with registry.parquet and registry.json (kernel_bounds, sweep_groups, log_params)")
+    p.add_argument("--dsn_main_dir", help="folder put on the import path for --checkpoint")
     p.add_argument("--checkpoint", help="module:function that returns an EncoderSpec")
     p.add_argument("--campaign", help="folder with the sweep output; for inventory, the root of all campaigns")
     p.add_argument("--mea_out", help="folder with the detections")
