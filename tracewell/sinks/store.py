@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,13 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``); where the session has
-    none, as in single-machine runs, in a temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tracewell-")
+    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``); single-machine sessions
+    that have none use a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="tracewell-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
