@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     (single-machine sessions such as the tests) a fresh temporary folder that is remembered in the session."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tracewell.shared.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tracewell-")
         spark.conf.set("tracewell.shared.dir", found)
     return found.rstrip("/")
@@ -46,6 +50,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)) == HELD_OUT, F.lit(True))
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker holds the Python objects of few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The whole texts of a batch; null counts as empty."""
     return ["" if x is None else x for x in batch.column(name).to_pylist()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, texts_of
+from .common import held_out, small, texts_of
 
 MAX_ROWS, BITS, RIDGE, STEPS, SALTS = 2_400, 12, 1e-4, 300, 8
 # Families of common languages.
@@ -136,7 +136,7 @@ def learn(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
-        for b in batches:
+        for b in small(batches):
             rows = [(i, la, f.tobytes()) for i, la, t in zip(b.column("doc_id").to_pylist(), b.column("lang").to_pylist(), texts_of(b)) if (f := features(t, is_letter)) is not None]
             ids, langs, vectors = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "x": pa.array(vectors, pa.binary())})
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
-        for b in batches:
+        for b in small(batches):
             found = [(UNKNOWN, 0.0) if model is None or (f := features(t, is_letter)) is None else model.predict(f) for t in texts_of(b)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["doc_id", "lang_pred", "score"])
 

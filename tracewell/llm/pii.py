@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, texts_of
+from .common import materialize, small, texts_of
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("account", "iban", "national_phone", "secret")
@@ -152,7 +152,7 @@ def scan(docs: DataFrame) -> DataFrame:
     seen = pa.struct([("kind", pa.int32()), ("votes", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             columns: tuple[list, list, list] = ([], [], [])
             for t in texts_of(b):
                 base = base_spans(t)
@@ -231,7 +231,7 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     chosen = {k for k, p in fit(scanned).items() if p >= threshold}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             rows = []
             for base, more in zip(b.column("base").to_pylist(), b.column("proposed").to_pylist()):
                 spans = [(s["kind"], s["at"], s["upto"]) for s in base]
@@ -276,7 +276,7 @@ def map_text(docs: DataFrame, change: Callable[[str], str]) -> DataFrame:
     long_type = docs.schema["n_chars"].dataType.simpleString() if size is not None else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             texts = [None if t is None else change(t) for t in b.column(at).to_pylist()]
             columns = list(b.columns)
             columns[at] = pa.array(texts, pa.string())

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import small, texts_of
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -91,7 +91,7 @@ def clean_lines(docs: DataFrame, max_lost: int = MAX_LOST) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in SCHEMA.split(", ")]
         types = [{"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}[x.split()[1]] for x in SCHEMA.split(", ")]
-        for b in batches:
+        for b in small(batches):
             rows = [judge(t, max_lost) for t in texts_of(b)]
             columns = list(zip(*rows)) if rows else [[] for _ in names[1:]]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types[1:]))], names)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, texts_of
+from .common import held_out, small, texts_of
 
 MAX_ROWS, MAX_TERMS, THRESHOLD = 8_000, 1_500, 0.3
 #: A learned terminal's least count and share of toxic texts, least log-odds, and least log-odds over their error.
@@ -77,7 +77,7 @@ class Reader(dict):
         self.weights = grammar.weights
 
     def __missing__(self, word: str):
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         best = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in self.sizes if len(word) > n)])
         self[word] = found = best or self.fixed.get(word.replace("’", "'"), 0)
@@ -154,7 +154,7 @@ def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int, max_terms: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
         found = (Counter(), Counter())
-        for b in batches:
+        for b in small(batches):
             for t, toxic in zip(texts_of(b), b.column("toxic").to_pylist()):
                 words = set(word.findall(t.lower()))
                 terms = {w for w in words if len(w) > 2}
@@ -211,7 +211,7 @@ def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = grammar.reader()
-        for b in batches:
+        for b in small(batches):
             x = np.array([reader.outputs(t) for t in texts_of(b)]).reshape(-1, len(OUTPUTS))
             yield pa.RecordBatch.from_pydict({"toxic": b.column("toxic").cast(pa.int32()), "x": pa.array(x.tolist(), pa.list_(pa.float64()))})
 
@@ -235,7 +235,7 @@ def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = grammar.reader()
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([reader.score(t) for t in texts_of(b)], pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
@@ -247,7 +247,7 @@ def keep_clean(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = grammar.reader()
-        for b in batches:
+        for b in small(batches):
             yield b.filter(pa.array([reader.score("" if t is None else t) < threshold for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
