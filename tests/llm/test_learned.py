@@ -194,3 +194,9 @@ def test_overlapping_spans_are_redacted_once():
 @pytest.mark.parametrize("text", ["x" * 200_000 + "@", "1 " * 100_000, "1." * 50_000])
 def test_very_long_texts(text):
     pii.base_spans(text)
+
+
+def test_addresses_with_long_runs_of_digits():
+    zeros = "0" * 5_000
+    assert pii.base_spans(f"{zeros}1.2.3.{zeros}") == [(1, 0, 10_006)]
+    assert [s for s in pii.base_spans("7" * 200_000 + ".1.1.1") if s[0] == 1] == []
