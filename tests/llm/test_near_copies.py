@@ -1,0 +1,77 @@
+"""The pipeline's near-duplicate stage against exact similarities."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from tests.llm.helpers import awkward, empty
+from tracewell.llm import near_copies
+
+
+def grams(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def brute_keepers(rows):
+    """Smallest id of each component of rows (id, text) with a similarity of 0.8 or more."""
+    sets, root = [grams(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {rows[find(i)][0] for i in range(len(rows))}
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for at in rng.sample(range(len(out)), n):
+        out[at] = f"new{rng.randrange(10**6)}"
+    return out
+
+
+def corpus():
+    """Chains of edited copies with similarities on both sides of 0.8, one large group, and texts by themselves."""
+    rng, texts = random.Random(7), []
+    for _ in range(25):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        texts += [base, edited(rng, base, 2), edited(rng, base, 3), edited(rng, base, 4), edited(rng, base, 6)]
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts += [edited(rng, base, rng.randrange(5)) for _ in range(80)]
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("dense,block", [(64, 256), (3, 4)])
+def test_stage_keeps_one_of_each_group_of_similar_texts(spark, dense, block):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = near_copies.keep_one(docs, dense=dense, block=block)
+    assert {r["doc_id"] for r in kept.collect()} == brute_keepers(rows)
+
+
+def test_stage_drops_a_copy_at_the_threshold(spark, sf):
+    words = [f"w{i}" for i in range(94)]
+    near = words[:30] + ["x"] + words[31:60] + ["y"] + words[61:]  # 80 of 100 shingles
+    far = words[:30] + ["x"] + words[31:60] + ["y"] + words[61:80] + ["z"] + words[81:]
+    rows = [(1, " ".join(words)), (2, " ".join(near))]
+    assert len(grams(rows[0][1]) & grams(rows[1][1])) * 5 == 4 * len(grams(rows[0][1]) | grams(rows[1][1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()] == [1]
+    docs = spark.createDataFrame([rows[0], (2, " ".join(far))], "doc_id long, text string")
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, sf).count() == 2
+
+
+def test_awkward_rows(spark):
+    docs, _ = awkward(spark)
+    kept = near_copies.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 5, 7]
+    assert near_copies.keep_one(empty(spark)).count() == 0

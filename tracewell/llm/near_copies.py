@@ -1,0 +1,161 @@
+"""Near copies: rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+Candidates come from MinHash: the least of ``BANDS`` x ``ROWS`` hash functions over a set, cut into bands; two sets
+meet in the cell of each band in which they agree. A pair at the threshold of 0.8 meets in no cell with a probability
+of (1 - 0.8^5)^25 = 5e-5, a more similar pair with less. Every candidate is then verified: two sets are linked only
+if their exact similarity, from their shingle hashes, reaches the threshold.
+
+Rows with equal sets count once. In cells of up to ``dense`` members all pairs are candidates. In larger cells each
+member is first verified against one of them, the leader. Members that are in the leader's component after that are
+connected; the others are compared with all members of the cell, block by block in separate tasks that return a
+spanning forest. So links connect all that the cells bring together, and no cell makes rows by the square.
+
+Edge cases: words, null, empty and short texts, repeated rows and null ids are as in ``simhash``; empty texts
+are copies of one another.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialize, small, texts_of
+from .simhash import _forest_of, _sieve, components, keep, name_components, pivot, row_key
+
+SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
+BANDS, ROWS = 25, 5
+#: Members of a cell up to which all pairs are candidates, and of a block of a larger cell.
+DENSE, BLOCK = 64, 256
+_CHUNK = 1_024
+
+
+def shingles(text: str) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles; at least one."""
+    words, digest = text.encode("utf-8", "surrogatepass").lower().split(), xxhash.xxh64_intdigest
+    n = max(1, len(words) - SHINGLE + 1)
+    return np.unique(np.fromiter((digest(b" ".join(words[i : i + SHINGLE]), SEED) for i in range(n)), np.uint64, n))
+
+
+def set_id(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
+
+
+def cells_of(hashes: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The cell of each band, for factors of the hash functions."""
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), _CHUNK):
+        np.minimum(least, (hashes[at : at + _CHUNK, None] * factors).min(0), out=least)
+    bands = least.reshape(BANDS, ROWS)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(bands)], np.uint64)
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, row key, fp (the id of the set), n (its size) and cells of every row."""
+    factors = np.array([pivot(1_000 + k) | 1 for k in range(BANDS * ROWS)], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            fp, n, cells = [], [], []
+            for t in texts_of(b):
+                h = shingles(t)
+                fp.append(set_id(h))
+                n.append(len(h))
+                cells.append(cells_of(h, factors).view(np.int64))
+            fps = pa.array(np.array(fp, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), fps, pa.array(n, pa.int32()), pa.array(cells, pa.list_(pa.int64()))], ["doc_id", "key", "fp", "n", "cells"])
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key long, fp long, n int, cells array<long>")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """fp and hashes of the rows with the wanted keys (and of a few that share their bit of the sieve), once a set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches, 64):
+            sets = [shingles(t) for t in texts_of(b)]
+            fps = pa.array(np.array([set_id(h) for h in sets], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([fps, pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], ["fp", "hashes"])
+
+    rows = _sieve(docs.select(docs["text"].alias("text"), row_key(docs).alias("__key")), wanted).filter("__hit").select("text")
+    return rows.mapInArrow(run, "fp long, hashes array<long>").dropDuplicates(["fp"])
+
+
+def _similar(inter: Column | np.ndarray, a: Column | np.ndarray, b: Column | np.ndarray) -> Column | np.ndarray:
+    """Jaccard of at least 4/5, in integers."""
+    return 5 * inter >= 4 * (a + b - inter)
+
+
+def _compare(g: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest of the links between two blocks, or within one."""
+    fp, sizes = g["fp"].to_numpy(np.int64), np.array([len(h) for h in g["hashes"]])
+    one = g["lo"].iat[0] == g["hi"].iat[0]
+    right = np.arange(len(g)) if one else np.flatnonzero(g["side"].to_numpy() == 1)
+    left = right if one else np.flatnonzero(g["side"].to_numpy() == 0)
+    pairs: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        _, ids = np.unique(np.concatenate(g["hashes"].to_list()), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        met = np.concatenate([ids[starts[j] : starts[j] + sizes[j]] for j in right])
+        at, mark = np.cumsum(sizes[right]) - sizes[right], np.zeros(len(ids), np.int64)
+
+        def near(i: int) -> np.ndarray:
+            own = ids[starts[i] : starts[i] + sizes[i]]
+            mark[own] = 1
+            inter = np.add.reduceat(mark[met], at)
+            mark[own] = 0
+            return right[_similar(inter, sizes[i], sizes[right])]
+
+        pairs = _forest_of(len(g), left, near)
+    return pd.DataFrame({"a": [fp[i] for i, _ in pairs], "b": [fp[j] for _, j in pairs]}, dtype="int64")
+
+
+def links(docs: DataFrame, distinct: DataFrame, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
+    """(a, b): verified links between the sets of ``distinct`` that connect all that meet in cells."""
+    cells = distinct.select(F.explode("cells").alias("cell"), "fp", "n", F.col("first.key").alias("key"))
+    shared = cells.groupBy("cell").agg(F.count("*").alias("count"), F.min("fp").alias("leader")).filter("count > 1")
+    shared = materialize(shared, "copies-shared")
+    met = materialize(cells.join(shared, "cell"), "copies-met")
+    few, many = met.filter(F.col("count") <= dense), met.filter(F.col("count") > dense)
+    a, b = few.alias("a"), few.alias("b")
+    lengths = lambda x, y: 5 * F.least(x, y) >= 4 * F.greatest(x, y)
+    plain = a.join(b, (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp")) & lengths(F.col("a.n"), F.col("b.n"))).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    led = many.filter("fp <> leader").select(F.col("leader").alias("a"), F.col("fp").alias("b"))
+    pairs = materialize(plain.unionByName(led).distinct(), "copies-pairs")
+    in_pair = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    sets = materialize(shingle_sets(docs, distinct.join(in_pair, "fp").select(F.col("first.key").alias("key"))), "copies-sets")
+    x, y = (sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"{c}_set")) for c in "ab")
+    inter = F.size(F.array_intersect("a_set", "b_set"))
+    found = pairs.join(x, "a").join(y, "b").filter(_similar(inter, F.size("a_set"), F.size("b_set"))).select("a", "b")
+    found = materialize(found, "copies-links")
+    if many.isEmpty():
+        return found
+
+    roots = materialize(components(found).distinct(), "copies-first-roots")
+    own = many.join(roots, many.fp == roots.node, "left").select("cell", "fp", "leader", F.coalesce("root", "fp").alias("root"))
+    of_leader = own.filter("fp = leader").select("cell", F.col("root").alias("leader_root"))
+    own = materialize(own.join(of_leader, "cell").select("cell", "fp", (F.col("root") != F.col("leader_root")).alias("apart")), "copies-many")
+    parts = own.groupBy("cell").agg(F.ceil(F.count_if("apart") / block).cast("int").alias("u"), F.ceil(F.count_if(~F.col("apart")) / block).cast("int").alias("k")).filter("u > 0")
+    place = lambda n: F.pmod(F.xxhash64("fp"), n).cast("int")
+    blocks = own.join(parts, "cell").withColumn("own", F.when(F.col("apart"), place(F.col("u"))).otherwise(F.col("u") + place(F.col("k"))))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("apart"), F.col("u") + F.col("k")).otherwise(F.col("u")) - 1)))
+    tasks = blocks.select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "fp")
+    rest = tasks.join(sets, "fp").groupBy("cell", "lo", "hi").applyInPandas(_compare, "a long, b long")
+    return found.unionByName(rest).distinct()
+
+
+def near_copies(docs: DataFrame, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
+    """doc_id, key, fp, component_id and keeper_key for every row, as ``simhash.near_duplicates`` gives them."""
+    prints = materialize(signatures(docs), "copies-prints")
+    return name_components(prints, lambda distinct: links(docs, distinct, dense, block), "n", "cells")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The keeper of each component, with the columns of ``docs``; of equal rows, one."""
+    return keep(docs, near_copies(docs, **options))

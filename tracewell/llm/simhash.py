@@ -24,7 +24,7 @@ component of nulls alone has a null name); an empty table gives an empty result;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -125,9 +125,9 @@ def _within(a: Column, b: Column, radius: int) -> Column:
     return ok
 
 
-def _forest(fp: np.ndarray, coords: np.ndarray, side: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links between the two sides (within one side if there is no other)."""
-    root = list(range(len(fp)))
+def _forest_of(n: int, left: Iterable[int], near: Callable[[int], Iterable[int]]) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links from each of ``left`` to what is near it, among n members."""
+    root = list(range(n))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -135,19 +135,28 @@ def _forest(fp: np.ndarray, coords: np.ndarray, side: np.ndarray, radius: int) -
             i = root[i]
         return i
 
-    left = np.flatnonzero(side == 0)
-    right = np.flatnonzero(side == 1) if (side == 1).any() else left
     out = []
-    tables = coords.view(np.uint8).reshape(len(fp), 8).astype(np.int16)
     for i in left:
-        near = right[np.abs(tables[right] - tables[i]).max(1) <= radius]
-        for j in near[np.bitwise_count(fp[near] ^ fp[i]) <= radius]:
+        for j in near(i):
             if (a := find(int(i))) != (b := find(int(j))):
                 root[max(a, b)] = min(a, b)
                 out.append((int(i), int(j)))
     return out
 
 
+def _forest(fp: np.ndarray, coords: np.ndarray, side: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links between the two sides (within one side if there is no other)."""
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if (side == 1).any() else left
+    tables = coords.view(np.uint8).reshape(len(fp), 8).astype(np.int16)
+
+    def near(i: int) -> np.ndarray:
+        close = right[np.abs(tables[right] - tables[i]).max(1) <= radius]
+        return close[np.bitwise_count(fp[close] ^ fp[i]) <= radius]
+
+    return _forest_of(len(fp), left, near)
+
+
 def links(prints: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
     """(a, b): links between distinct fingerprints that connect all that are within the radius. From cells of at
     most ``dense`` members come all links, from larger cells a spanning forest for each pair of blocks."""
@@ -216,9 +225,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """doc_id, key, fp (long), component_id and keeper_key for every row of ``docs``. The keeper of a component is its
     row with the smallest doc_id (null last) and, of rows with the same id and different texts, the smallest key."""
     prints = materialize(fingerprints(docs, shingle), "simhash-prints")
+    return name_components(prints, lambda distinct: links(distinct.select("fp"), radius, segments, dense))
+
+
+def name_components(prints: DataFrame, linked: Callable[[DataFrame], DataFrame], *same: str) -> DataFrame:
+    """What ``near_duplicates`` returns, for rows with doc_id, key and fp. ``linked`` takes the distinct fp, with their
+    first row and the columns that are the ``same`` for equal fp, to links (a, b)."""
     first = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "key")
-    distinct = materialize(prints.groupBy("fp").agg(F.min(first).alias("first")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), radius, segments, dense))
+    distinct = materialize(prints.groupBy("fp").agg(F.min(first).alias("first"), *[F.first(c).alias(c) for c in same]), "simhash-distinct")
+    roots = components(linked(distinct))
     mapped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     mapped = materialize(mapped, "simhash-roots")
     named = mapped.groupBy("root").agg(F.min("first").alias("keeper"))
@@ -251,7 +266,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     them from the doubtful keys (other rows, and keepers with equal rows). Only what it holds back, the doubtful and
     a few that share their bit, is joined exactly.
     """
-    found = near_duplicates(docs, **options)
+    return keep(docs, near_duplicates(docs, **options))
+
+
+def keep(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are keepers by ``found``."""
     by_key = found.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("key") == F.col("keeper_key")).alias("keeper"))
     doubtful = materialize(by_key.filter("n > 1 OR NOT keeper"), "simhash-doubtful")
     own = [docs[c] for c in docs.columns]
