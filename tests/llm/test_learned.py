@@ -200,3 +200,19 @@ def test_addresses_with_long_runs_of_digits():
     zeros = "0" * 5_000
     assert pii.base_spans(f"{zeros}1.2.3.{zeros}") == [(1, 0, 10_006)]
     assert [s for s in pii.base_spans("7" * 200_000 + ".1.1.1") if s[0] == 1] == []
+
+
+def test_numbers_at_the_end_of_a_sentence_are_proposed():
+    spans = lambda t: [(pii.KINDS[k], t[a:b]) for k, a, b in pii.proposed_spans(t, [])]
+    assert spans("my account 1234567890.") == spans("my account 1234567890 is") == spans("my account 1234567890. It is") == [("account", "1234567890")]
+    assert spans("the ratio 1234567890.5 is") == []
+    assert spans("password=hunter2") == [("secret", "hunter2")] and spans('"password": "swordfish".') == [("secret", "swordfish")]
+    assert spans("passport: C01X00T4.") == [("secret", "C01X00T4")]
+    assert spans("A note: nothing") == spans("Contact: Monday") == spans("https://example.org") == []
+
+
+def test_assigned_values_and_last_numbers_are_redacted(spark):
+    rows = [(i, f"My account {1234567890 + 7919 * i}. The password={w} here, and page 2{i:08d} km.") for i, w in enumerate(["hunter2", "swordfish", "letmein", "qwerty"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    red = [r["text"] for r in pii.redact(docs).collect()]
+    assert all("account [ACCOUNT]. The password=[SECRET] here" in t and " km" in t for t in red)

@@ -1,7 +1,7 @@
 """Personal data by weak supervision.
 
 Base patterns find e-mail addresses, IPv4 addresses, card numbers and phone numbers. Broader patterns propose
-further spans (account numbers, IBANs, national phone numbers, secrets). Labelers of three sorts vote on every
+further spans (account numbers, IBANs, national phone numbers, secrets, and what is assigned to a private word). Labelers of three sorts vote on every
 span, base or proposed: *regex* (strict shape, length, check digits, character mix), *gazetteer* (words that
 name private fields, words that name harmless numbers) and *context* (assignment or quotes before the span,
 units after it). The votes of the whole corpus are counted by pattern; expectation-maximisation over these
@@ -45,11 +45,16 @@ _PROPOSED = {
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
     "national_phone": re.compile(r"(?<![\w+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?!\w)"),
     "secret": re.compile(r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*[0-9])(?=[0-9_+/=-]*[A-Za-z])[A-Za-z0-9_+/-]{12,}={0,2}"),
-    "account": re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){7,}(?![\w.])"),
+    "account": re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){7,}(?!\w)(?!\.[0-9])"),
 }
+#: What is assigned, without the marks that end a sentence.
+_ASSIGNED = re.compile(r"[=:]+\s*[\"']?([^\s\"'`<>,;=:]{3,256}[^\s\"'`<>,;=:.!?)\]}])")
+_ASSIGNED_TO = re.compile(r"([A-Za-z]+)[\"']?\s*$")
 
 # Words that name a private field, and words that name a harmless number.
 PRIVATE_WORDS = frozenset("token password passwd pwd secret key apikey api auth bearer credential tel telephone phone call mobile fax cell whatsapp iban account konto cuenta compte card visa ssn passport license email mail contact login".split())
+#: Private words whose values may be of letters alone; values of the others have a digit.
+SECRET_WORDS = frozenset("token password passwd pwd secret key apikey api auth bearer credential login".split())
 HARMLESS_WORDS = frozenset("version v page pages isbn issn doi fig figure chapter section table year vol volume no nr issue build commit revision rfc http https www".split())
 _BEFORE_WORDS = re.compile(r"[A-Za-z]+")
 _UNIT = re.compile(r"\s?(?:%|€|\$|£|km|kg|m\b|cm|mm|px|ms\b|°)")
@@ -101,13 +106,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def assigned_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Values that are assigned to a private word."""
+    for m in _ASSIGNED.finditer(text):
+        word = _ASSIGNED_TO.search(text[max(0, m.start() - 24) : m.start()])
+        if word and ((w := word.group(1).lower()) in SECRET_WORDS or w in PRIVATE_WORDS and len(m.group(1)) > 4 and _DIGIT.search(m.group(1))):
+            yield m.span(1)
+
+
 def proposed_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of the broader patterns that meet no base span and no earlier proposal."""
-    if not _DIGIT.search(text):
-        return []
+    digits = _DIGIT.search(text) is not None
     used, out = sorted((a, b) for _, a, b in taken), []
-    for name, pattern in _PROPOSED.items():
-        found = [(m.start(), m.end()) for m in pattern.finditer(text)]
+    proposals = [(name, (m.span() for m in pattern.finditer(text))) for name, pattern in _PROPOSED.items() if digits]
+    for name, spans in [*proposals, ("secret", assigned_spans(text))]:
+        found = list(spans)
         fresh, k, used = [], 0, sorted(used)
         reach = -1  # the furthest end of the spans that start before a
         for a, b in found:
