@@ -216,3 +216,22 @@ def test_assigned_values_and_last_numbers_are_redacted(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     red = [r["text"] for r in pii.redact(docs).collect()]
     assert all("account [ACCOUNT]. The password=[SECRET] here" in t and " km" in t for t in red)
+
+
+@pytest.mark.parametrize("text", ['He said "this' + " word" * 60 + " idiot", 'He said 5" pipe\nidiot', "He said „well“ and then left" + " word" * 9 + " idiot", "He said “well” and” left" + " word" * 9 + " idiot"])
+def test_a_lone_quotation_mark_hides_no_later_insult(text):
+    got = dict(zip(toxicity.OUTPUTS, grammar().reader().outputs(text)))
+    assert got["insult"] > 0 and got["strongest"] > 0 and got["reported"] == 0
+
+
+@pytest.mark.parametrize("text", ['He said "well, now this, all of it, goes to the idiot" and left', "He said “well, now this, all of it, goes to the idiot” and left", "Er sagte „well, now this, all of it, goes to the idiot“ and left"])
+def test_closed_quotations_are_reported(text):
+    got = dict(zip(toxicity.OUTPUTS, grammar().reader().outputs(text)))
+    assert got["reported"] > 0 and got["insult"] == 0
+
+
+def test_outputs_without_cases_keep_their_default_weight(spark):
+    rows = spark.createDataFrame([(1, "you idiot"), (0, "a fine day")] * 20, "toxic int, text string")
+    w = dict(zip(toxicity.OUTPUTS, toxicity.output_weights(rows, {"idiot": 8.0})))
+    default = dict(zip(toxicity.OUTPUTS, toxicity.DEFAULT_WEIGHTS))
+    assert all(abs(w[k] - default[k]) < 1e-6 for k in toxicity.RARE)

@@ -4,7 +4,8 @@ Texts are read as clauses of lower-case words. Each word is a terminal of the gr
 or a word beginning, with a weight), a *threat*, a *target*, a *negation* or a *report* (said, quoted ...); all
 else is a filler. Small transducers run over a clause together: the insult transducer takes an insult's weight;
 the target transducer doubles for insults and threats near a target; the negation transducer moves an insult
-after a negation, and the report transducer one that is quoted or reported, to outputs of their own. So the
+after a negation, and the report transducer one that is quoted or reported, to outputs of their own. A quotation
+ends at its closing mark, at the end of the line or after ``REACH_QUOTE`` words, so a lone mark hides little. So the
 score of a document comes from its matched clauses by kind of match, never from isolated words alone.
 
 The insult terminals and the weights of the outputs are learned from labelled rows: at most ``max_rows`` of them
@@ -37,8 +38,8 @@ MAX_ROWS, MAX_TERMS, THRESHOLD = 8_000, 1_500, 0.3
 #: A learned terminal's least count and share of toxic texts, least log-odds, and least log-odds over their error.
 MIN_TOXIC, MIN_SHARE, MIN_ODDS, MIN_SURE = 4, 0.015, 3.0, 3.2
 STEMS = range(3, 9)
-#: Words after a negation, around a target, after a report.
-REACH_NEGATION, REACH_TARGET, REACH_REPORT = 3, 4, 8
+#: Words after a negation, around a target, after a report, in a quotation.
+REACH_NEGATION, REACH_TARGET, REACH_REPORT, REACH_QUOTE = 3, 4, 8, 40
 
 # Terminals known without labels.
 INSULTS = "idiot moron stupid worthless pathetic disgusting scum loser trash clown imbecile dumbass scumbag".split()
@@ -46,10 +47,12 @@ THREATS = "kill hurt destroy beat shoot stab burn strangle murder umbringen töt
 TARGETS = "you your yours u he she they him her them these those du dich dir ihr euch sie tu toi te vous vos usted ustedes ellos ti".split()
 NEGATIONS = "not never no isn't aren't wasn't don't nicht kein keine nie pas jamais ne nunca jamás ni".split()
 REPORTS = "said says say called calls wrote reported quoted claimed alleged sagte nannte dit écrit dijo llamó".split()
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n…\"“”«»]")
-_END = frozenset(".!?;:\n…")
-_QUOTE = frozenset('"“”«»')
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n…\"„“”«»]")
+_END = frozenset(".!?;:…")
+_QUOTE = frozenset('"„“”«»')
 OUTPUTS = ("insult", "negated", "reported", "targeted", "threat", "strongest", "rate", "one")
+#: Outputs that few training rows may hold; they are shrunk towards their default weights, all others towards zero.
+RARE = ("negated", "reported")
 DEFAULT_WEIGHTS = np.array([1.6, 0.2, 0.2, 0.4, 0.6, 2.5, 0.5, -3.5])
 
 
@@ -65,7 +68,7 @@ class Grammar:
 
 
 class Reader(dict):
-    """Tokens to terminals: 0 filler, "." end, "q" quote, "n" negation, "t" target, "r" report, "k" threat, or an
+    """Tokens to terminals: 0 filler, "." end, "\\n" end of a line, a quotation mark itself, "n" negation, "t" target, "r" report, "k" threat, or an
     insult's weight. Remembers what it has seen, up to a bound."""
 
     def __init__(self, grammar: Grammar):
@@ -73,7 +76,7 @@ class Reader(dict):
         self.words = {w: v for w, v in grammar.insults.items() if not w.endswith("*")}
         self.stems = {w[:-1]: v for w, v in grammar.insults.items() if w.endswith("*")}
         self.sizes = sorted({len(s) for s in self.stems})
-        self.fixed = {c: "." for c in _END} | {c: "q" for c in _QUOTE} | {w: "n" for w in NEGATIONS} | {w: "t" for w in TARGETS} | {w: "r" for w in REPORTS} | {w: "k" for w in THREATS}
+        self.fixed = {c: "." for c in _END} | {c: c for c in (*_QUOTE, "\n")} | {w: "n" for w in NEGATIONS} | {w: "t" for w in TARGETS} | {w: "r" for w in REPORTS} | {w: "k" for w in THREATS}
         self.weights = grammar.weights
 
     def __missing__(self, word: str):
@@ -96,17 +99,20 @@ class Reader(dict):
         sums, strongest, clauses, hit = [0.0] * 5, 0.0, 1, 0
         negated = reported = targeted = 0  # tokens for which the state still holds
         threat = waiting = 0.0  # a threat or insult that a target may still follow
-        quoted = False
+        quoted, opened = 0, ""  # words for which a quotation still holds, and the mark that opened it
         for m in marks:
-            if m == ".":
+            if m == "." or m == "\n":
+                if m == "\n":
+                    quoted = 0
                 clauses += 1
                 negated = reported = targeted = 0
                 threat = waiting = 0.0
                 continue
-            if m == "q":
-                quoted = not quoted and reported > 0
+            if m in _QUOTE:
+                closes = m == "”" or quoted and (m not in "„“" or m == "“" and opened == "„")
+                quoted, opened = 0 if closes or not reported else REACH_QUOTE + 1, m
                 continue
-            negated, reported, targeted = max(negated - 1, 0), max(reported - 1, 0), max(targeted - 1, 0)
+            negated, reported, targeted, quoted = max(negated - 1, 0), max(reported - 1, 0), max(targeted - 1, 0), max(quoted - 1, 0)
             if m == "n":
                 negated = REACH_NEGATION + 1
             elif m == "r":
@@ -206,7 +212,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Gramm
 
 def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
     """Ridge-penalised logistic regression on the clause sums; each text counts once, so a third of the
-    probability marks the point where a toxic label is half as likely as a clean one."""
+    probability marks the point where a toxic label is half as likely as a clean one. RARE outputs, whose cases the
+    rows may lack, are shrunk towards their default weights."""
     grammar = Grammar(insults, DEFAULT_WEIGHTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,11 +226,12 @@ def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
     x, y = np.array(got["x"].to_pylist()), got["toxic"].to_numpy().astype(float)
     order = np.lexsort((*x.T, y))
     x, y = x[order], y[order]
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1.0)
+    prior = np.where(np.isin(OUTPUTS, RARE), DEFAULT_WEIGHTS, 0.0)
+    w, ridge = prior.copy(), np.full(x.shape[1], 1.0)
     ridge[-1] = 0.01
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * (w - prior))
         w -= step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
             break
