@@ -36,24 +36,97 @@ def test_toxicity_on_the_held_out_fold(spark):
 
 
 def grammar():
-    return toxicity.Grammar({"idiot": 8.0, "vequ*": 6.0}, toxicity.DEFAULT_WEIGHTS)
+    return toxicity.Grammar({"idiot": 8.0, "clown": 5.0, "vequ*": 7.0}, toxicity.DEFAULT_WEIGHTS)
 
 
 def outputs(text):
-    return dict(zip(toxicity.OUTPUTS, grammar().reader().outputs(text).round(6)))
-
-
-def test_transducers():
-    plain, denied, said = outputs("what an idiot"), outputs("he is not an idiot"), outputs("they called him idiot")
-    assert plain["insult"] > 0 and plain["negated"] == plain["reported"] == 0
-    assert denied["insult"] == 0 and denied["negated"] > 0
-    assert said["reported"] > 0 and said["insult"] == 0
-    assert outputs("you idiot")["targeted"] > 0 and outputs("idiot, you")["targeted"] > 0 and plain["targeted"] == 0
-    assert outputs("not today. an idiot")["insult"] > 0  # a clause ends what a negation reaches
-    assert outputs("i will kill you")["threat"] > 0 and outputs("kill the process")["threat"] == 0 and outputs("i will not kill you")["threat"] == 0
-    assert outputs("vequette")["insult"] > 0 and outputs("vequ")["insult"] == 0
-    order = [grammar().reader().score(t) for t in ("a fine day", "he is not an idiot", "what an idiot", "you idiot")]
-    assert order == sorted(order) and order[0] < 0.3 <= order[3]
+    return dict(zip(toxicity.MATCHES, grammar().reader().matches(text)[0]))
+
+
+@pytest.mark.parametrize(
+    "text, kind, weight",
+    [
+        ("You are an idiot.", "addressed", 8),
+        ("an idiot, you", "addressed", 8),
+        ("vequette, you", "addressed", 8),
+        ("i will kill you", "addressed", 8),
+        ("what a clown of an idiot", "piled", 8),
+        ("an idiot. a fine day. a clown.", "piled", 5),
+        ("you are not an idiot", "negated", 8),
+        ("i will not kill you", "negated", 8),
+        ("not today. you idiot", "addressed", 8),
+        ("they called him idiot", "reported", 8),
+        ("He said he will kill you.", "reported", 8),
+        ('He said "well, now this, all of it, goes to you idiot" and left', "reported", 8),
+        ("He said “well, now this, all of it, goes to you idiot” and left", "reported", 8),
+        ("Er sagte „well, now this, all of it, goes to you idiot“ and left", "reported", 8),
+        ('He said " hello. You idiot.', "addressed", 8),
+        ('He said 5" pipe\nyou idiot', "addressed", 8),
+        ("He said „well“ and then left" + " word" * 9 + " you idiot", "addressed", 8),
+        ("He said “well” and” left" + " word" * 9 + " you idiot", "addressed", 8),
+    ],
+)
+def test_matches(text, kind, weight):
+    assert outputs(text) == dict.fromkeys(toxicity.MATCHES, 0) | {kind: weight}
+    assert (grammar().reader().score(text) >= 0.3) == (kind in ("addressed", "piled"))
+
+
+@pytest.mark.parametrize("text", ["", "idiot", "The idiot board game is fun.", "vequ, you", "kill the process", "he left. an idiot"])
+def test_isolated_words_do_not_match(text):
+    assert not any(outputs(text).values()) and grammar().reader().score(text) < 0.3
+
+
+def enumerated(symbols):
+    """Matches of a text by looking at the surroundings of every attack, without any transducer."""
+    out, clauses, seen = [], [[]], False
+    for a in symbols:
+        if a == ".":
+            clauses.append([])
+        else:
+            clauses[-1].append(a)
+    for c in clauses:
+        words, opened, reach = [], "", 0  # (symbol, reported) of the words; quotation marks are no words
+        for a in c:
+            if a in toxicity.QUOTES:
+                if opened and (a == "“" if opened == "„" else a in '"”»'):
+                    opened, reach = "", 0
+                elif not opened and reach and a in '"„“«':
+                    opened, reach = a, 0
+                continue
+            words.append((a, bool(opened or reach)))
+            reach = 0 if opened else toxicity.REACH_REPORT if a == "r" else max(reach - 1, 0)
+        near = lambda k, n, a: any(x == a for x, _ in words[max(0, k - n) : k])
+        attacks = [k for k, (a, _) in enumerate(words) if a in toxicity.ATTACKS]
+        kind = {k: "r" if words[k][1] else "n" if near(k, toxicity.REACH_NEGATION, "n") else "b" for k in attacks}
+        plain = [k for k in attacks if kind[k] == "b"]
+        for k in plain:
+            coming = [i for i in range(k + 1, min(len(words), k + toxicity.REACH_TARGET + 1)) if words[i][0] == "t" or i in plain]
+            if near(k, toxicity.REACH_TARGET, "t") or coming and words[coming[0]][0] == "t":
+                kind[k] = "a"
+        for k in attacks:
+            a = words[k][0]
+            if kind[k] != "b":
+                out.append(kind[k] + a)
+            elif a != "k" and seen:
+                out.append("p" + a)
+            seen |= kind[k] in "ab" and a != "k"
+    return sorted(out)
+
+
+@settings(max_examples=1_000, deadline=None)
+@given(st.lists(st.sampled_from([*"xxxxtnr.", '"', "“", "”", "„", "i0", "i1", "k"]), max_size=24))
+def test_composed_transducers_against_enumeration_and_cascade(symbols):
+    got = MACHINE.read([*symbols, "."])
+    assert sorted(x for x in got if x[1:] in toxicity.ATTACKS) == enumerated(symbols)
+    stream = [*symbols, "."]
+    for machine in CASCADE:
+        stream = machine.read(stream)
+    assert stream == got
+
+
+MACHINE = toxicity.grammar_machine()
+_ALL = [*toxicity.TERMINALS, *(c + a for c in "rnab" for a in toxicity.ATTACKS)]
+CASCADE = [toxicity.Transducer.build(s, f, _ALL) for s, f in (((0, ""), toxicity._report), (0, toxicity._negation), ((0, ""), toxicity._target), (False, toxicity._pile))]
 
 
 def test_toxicity_without_labels_and_on_awkward_rows(spark):
@@ -218,20 +291,15 @@ def test_assigned_values_and_last_numbers_are_redacted(spark):
     assert all("account [ACCOUNT]. The password=[SECRET] here" in t and " km" in t for t in red)
 
 
-@pytest.mark.parametrize("text", ['He said "this' + " word" * 60 + " idiot", 'He said 5" pipe\nidiot', "He said „well“ and then left" + " word" * 9 + " idiot", "He said “well” and” left" + " word" * 9 + " idiot"])
-def test_a_lone_quotation_mark_hides_no_later_insult(text):
-    got = dict(zip(toxicity.OUTPUTS, grammar().reader().outputs(text)))
-    assert got["insult"] > 0 and got["strongest"] > 0 and got["reported"] == 0
-
-
-@pytest.mark.parametrize("text", ['He said "well, now this, all of it, goes to the idiot" and left', "He said “well, now this, all of it, goes to the idiot” and left", "Er sagte „well, now this, all of it, goes to the idiot“ and left"])
-def test_closed_quotations_are_reported(text):
-    got = dict(zip(toxicity.OUTPUTS, grammar().reader().outputs(text)))
-    assert got["reported"] > 0 and got["insult"] == 0
+def test_matches_without_cases_keep_their_sense(spark):
+    rows = spark.createDataFrame([(1, "you idiot")] * 20 + [(0, "a fine day")] * 200, "toxic int, text string")
+    insults = dict.fromkeys(toxicity.INSULTS, 5.0)
+    read = toxicity.Grammar(insults, toxicity.output_weights(rows, insults)).reader()
+    high, low = ("You idiot.", "I will kill you.", "what an idiot clown"), ("idiot", "not you idiot", "he said you idiot", "he said he will kill you")
+    assert all(read.score(t) >= 0.3 for t in high) and all(read.score(t) < 0.3 for t in low)
 
 
-def test_outputs_without_cases_keep_their_default_weight(spark):
-    rows = spark.createDataFrame([(1, "you idiot"), (0, "a fine day")] * 20, "toxic int, text string")
-    w = dict(zip(toxicity.OUTPUTS, toxicity.output_weights(rows, {"idiot": 8.0})))
-    default = dict(zip(toxicity.OUTPUTS, toxicity.DEFAULT_WEIGHTS))
-    assert all(abs(w[k] - default[k]) < 1e-6 for k in toxicity.RARE)
+def test_training_rows_are_bounded_where_ids_repeat(spark):
+    docs = spark.range(300).select(F.lit(4).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    assert not out_of_fold(4)
+    assert toxicity.training_rows(docs, spark.createDataFrame([(4, 1, 1)], TOXIC), max_rows=50).count() == 50

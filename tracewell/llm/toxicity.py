@@ -1,17 +1,24 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Texts are read as clauses of lower-case words. Each word is a terminal of the grammar: an *insult* (a whole word
-or a word beginning, with a weight), a *threat*, a *target*, a *negation* or a *report* (said, quoted ...); all
-else is a filler. Small transducers run over a clause together: the insult transducer takes an insult's weight;
-the target transducer doubles for insults and threats near a target; the negation transducer moves an insult
-after a negation, and the report transducer one that is quoted or reported, to outputs of their own. A quotation
-ends at its closing mark, at the end of the line or after ``REACH_QUOTE`` words, so a lone mark hides little. So the
-score of a document comes from its matched clauses by kind of match, never from isolated words alone.
+A text is read as clauses of lower-case words. Each word is a terminal of the grammar: an *insult* (a whole word or a
+word beginning) of one of three strengths, a *threat*, a *target*, a *negation* or a *report* (said, quoted ...);
+all else is a filler. Four sequential transducers, each a table of (state, symbol) to (state, symbols out), are
+composed into one by the product of their states:
+
+* *report* marks insults and threats that follow a report word, or stand in a quotation that one opened;
+* *negation* marks those after a negation;
+* *target* marks those near a target, before or after, as addressed, and the other insults as bare;
+* *pile* drops the first bare insult of a text and passes on each one that follows another insult.
+
+The composed machine turns a text into weighted matches: addressed (insults and threats at a target), piled, negated
+and reported ones. A clause ends all marks, quotations included. So a lone insult without a target is no match, and
+a score comes from matched clauses, never from isolated words.
 
 The insult terminals and the weights of the outputs are learned from labelled rows: at most ``max_rows`` of them
-(chosen by a hash of the id, whatever the size of the corpus) and never from the held-out fold. Terminals are
-words and word beginnings whose log-odds of standing in a toxic text are certain enough; the output weights are a
-logistic regression on the clause sums. Only ``text`` is an input of a score.
+(chosen by a hash, whatever the size of the corpus) and never from the held-out fold. Terminals are words and word
+beginnings whose log-odds of standing in a toxic text are certain enough; the output weights are a logistic
+regression on the matches of a text, with ``PRIOR`` clauses as further rows, so that kinds of match that the labels
+never show keep their sense. Only ``text`` is an input of a score.
 
 Edge cases: null and empty texts have no clause and get the score of a text without a match; without labelled
 rows (or with one label only) the listed terminals and default output weights hold; texts of any length are read
@@ -24,8 +31,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +41,14 @@ from pyspark.sql import functions as F
 
 from .common import held_out, small, texts_of
 
-MAX_ROWS, MAX_TERMS, THRESHOLD = 8_000, 1_500, 0.3
+MAX_ROWS, THRESHOLD = 8_000, 0.3
 #: A learned terminal's least count and share of toxic texts, least log-odds, and least log-odds over their error.
 MIN_TOXIC, MIN_SHARE, MIN_ODDS, MIN_SURE = 4, 0.015, 3.0, 3.2
 STEMS = range(3, 9)
-#: Words after a negation, around a target, after a report, in a quotation.
-REACH_NEGATION, REACH_TARGET, REACH_REPORT, REACH_QUOTE = 3, 4, 8, 40
+#: Words of a clause after a negation, on either side of a target, after a report.
+REACH_NEGATION, REACH_TARGET, REACH_REPORT = 3, 4, 8
+#: Weights of the insult terminals i0, i1 and i2, with the least log-odds of each, and of a threat.
+STRENGTHS, LEAST_ODDS, THREAT = (3.0, 5.0, 8.0), (0.0, 4.0, 6.5), 8.0
 
 # Terminals known without labels.
 INSULTS = "idiot moron stupid worthless pathetic disgusting scum loser trash clown imbecile dumbass scumbag".split()
@@ -47,115 +56,222 @@ THREATS = "kill hurt destroy beat shoot stab burn strangle murder umbringen töt
 TARGETS = "you your yours u he she they him her them these those du dich dir ihr euch sie tu toi te vous vos usted ustedes ellos ti".split()
 NEGATIONS = "not never no isn't aren't wasn't don't nicht kein keine nie pas jamais ne nunca jamás ni".split()
 REPORTS = "said says say called calls wrote reported quoted claimed alleged sagte nannte dit écrit dijo llamó".split()
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n…\"„“”«»]")
-_END = frozenset(".!?;:…")
-_QUOTE = frozenset('"„“”«»')
-OUTPUTS = ("insult", "negated", "reported", "targeted", "threat", "strongest", "rate", "one")
-#: Outputs that few training rows may hold; they are shrunk towards their default weights, all others towards zero.
-RARE = ("negated", "reported")
-DEFAULT_WEIGHTS = np.array([1.6, 0.2, 0.2, 0.4, 0.6, 2.5, 0.5, -3.5])
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;\n…\"„“”«»]")
+_END = frozenset(".!?;\n…")
+QUOTES = '"„“”«»'
+ATTACKS = ("i0", "i1", "i2", "k")
+#: What the grammar reads: filler, target, negation, report, end of a clause, quotation marks, insults and a threat.
+TERMINALS = ("x", "t", "n", "r", ".", *QUOTES, *ATTACKS)
+OUTPUTS = ("addressed", "piled", "negated", "reported", "rate", "one")
+MATCHES = OUTPUTS[:4]
+DEFAULT_WEIGHTS = np.array([2.4, 1.5, 0.1, 0.2, 0.3, -3.0])
+#: Clauses of known sense that stand beside the labelled rows, each with this share of their weight.
+PRIOR = (("you idiot", 1), ("we will kill you", 1), ("idiot idiot", 1), ("not you idiot", 0), ("said you idiot", 0), ("said we will kill you", 0), ("never kill you", 0), ("", 0))
+PRIOR_SHARE = 0.02
+
+State, Symbol = object, str
+Step = Callable[[State, Symbol], tuple[State, tuple[Symbol, ...]]]
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A sequential transducer as a table; it starts in state 0."""
+
+    arcs: dict[tuple[int, Symbol], tuple[int, tuple[Symbol, ...]]]
+
+    @classmethod
+    def build(cls, start: State, step: Step, symbols: Iterable[Symbol]) -> Transducer:
+        """The table of a step rule over all states that ``symbols`` reach."""
+        symbols, number, todo, arcs = tuple(symbols), {start: 0}, [start], {}
+        while todo:
+            state = todo.pop()
+            for a in symbols:
+                after, out = step(state, a)
+                if after not in number:
+                    number[after] = len(number)
+                    todo.append(after)
+                arcs[number[state], a] = (number[after], out)
+        return cls(arcs)
+
+    def symbols(self) -> list[Symbol]:
+        return sorted({a for _, a in self.arcs})
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: what this one puts out, the other reads."""
+
+        def step(state: tuple[int, int], a: Symbol) -> tuple[tuple[int, int], tuple[Symbol, ...]]:
+            first, passed = self.arcs[state[0], a]
+            second, out = state[1], ()
+            for b in passed:
+                second, more = other.arcs[second, b]
+                out += more
+            return (first, second), out
+
+        return Transducer.build((0, 0), step, self.symbols())
+
+    def read(self, text: Iterable[Symbol]) -> list[Symbol]:
+        state, out = 0, []
+        for a in text:
+            state, more = self.arcs[state, a]
+            out += more
+        return out
+
+
+def _report(state: tuple[int, str], a: Symbol) -> tuple[tuple[int, str], tuple[Symbol, ...]]:
+    """State: words for which a report still holds, and the mark that opened a quotation. Puts out r + attack."""
+    reach, opened = state
+    if a == ".":
+        return (0, ""), (a,)
+    if a in QUOTES:
+        if opened:
+            closes = a == "“" if opened == "„" else a not in "„“«"
+            return ((0, "") if closes else state), ()
+        return ((0, "„" if a == "„" else '"') if reach and a not in "”»" else state), ()
+    held = bool(reach or opened)
+    after = (0 if opened else max(reach - 1, 0), opened)
+    if a == "r":
+        return (after if opened else (REACH_REPORT, "")), ("x",)
+    return after, ("r" + a if held and a in ATTACKS else a,)
+
+
+def _negation(reach: int, a: Symbol) -> tuple[int, tuple[Symbol, ...]]:
+    """State: words for which a negation still holds. Puts out n + attack."""
+    if a == ".":
+        return 0, (a,)
+    if a == "n":
+        return REACH_NEGATION, ("x",)
+    return max(reach - 1, 0), ("n" + a if reach and a in ATTACKS else a,)
+
+
+def _target(state: tuple[int, str], a: Symbol) -> tuple[tuple[int, str], tuple[Symbol, ...]]:
+    """State: words for which a target or a waiting attack still holds, and that attack. Puts out a + attack where it
+    is addressed, b + insult where it is bare."""
+    reach, waiting = state
+    lapsed = ("b" + waiting,) if waiting.startswith("i") else ()
+    if a == ".":
+        return (0, ""), (*lapsed, a)
+    if a == "t":
+        return (REACH_TARGET, ""), ("a" + waiting,) if waiting else ()
+    if a in ATTACKS:
+        if reach and not waiting:
+            return (reach - 1, ""), ("a" + a,)
+        return (REACH_TARGET, a), lapsed
+    out = () if a == "x" else (a,)
+    if reach > 1:
+        return (reach - 1, waiting), out
+    return (0, ""), (*(lapsed if reach else ()), *out)
+
+
+def _pile(seen: bool, a: Symbol) -> tuple[bool, tuple[Symbol, ...]]:
+    """State: whether the text had an insult that is neither negated nor reported. Puts out p + insult."""
+    if a[0] == "b":
+        return True, ("p" + a[1:],) if seen else ()
+    return seen or a[:2] == "ai", (a,)
+
+
+def grammar_machine() -> Transducer:
+    """The four transducers composed."""
+    machine = Transducer.build((0, ""), _report, TERMINALS)
+    marked = [*TERMINALS, *["r" + a for a in ATTACKS]]
+    for start, step in ((0, _negation), ((0, ""), _target), (False, _pile)):
+        machine = machine.then(Transducer.build(start, step, marked))
+        marked += [c + a for a in ATTACKS for c in "nab" if c + a not in marked]
+    return machine
+
+
+def _tables() -> tuple[list[int], list[tuple]]:
+    """The composed machine by state * symbols + symbol: next state (times symbols), and (output, weight) pairs. A few
+    thousand entries, which travel to the tasks with a reader's grammar."""
+    machine, width = grammar_machine(), len(TERMINALS)
+    weight = dict(zip(ATTACKS, (*STRENGTHS, THREAT)))
+    output = {"a": 0, "p": 1, "n": 2, "r": 3}
+    size = width * (1 + max(s for s, _ in machine.arcs))
+    after, put = [0] * size, [()] * size
+    for (state, a), (to, out) in machine.arcs.items():
+        at = state * width + TERMINALS.index(a)
+        after[at], put[at] = to * width, tuple((output[b[0]], weight[b[1:]]) for b in out if b[1:] in weight)
+    return after, put
+
+
+def strength(odds: float) -> int:
+    """The insult terminal of a word with these log-odds."""
+    return max(k for k, least in enumerate(LEAST_ODDS) if odds >= least)
 
 
 @dataclass(frozen=True)
 class Grammar:
-    """Insult terminals (words, and beginnings that end in *) with weights, and the weights of the outputs."""
+    """Insult terminals (words, and beginnings that end in *) with log-odds, and the weights of the outputs."""
 
     insults: dict[str, float]
     weights: np.ndarray
+    tables: tuple[list[int], list[tuple]] = field(default_factory=_tables, repr=False)
 
     def reader(self) -> Reader:
         return Reader(self)
 
 
 class Reader(dict):
-    """Tokens to terminals: 0 filler, "." end, "\\n" end of a line, a quotation mark itself, "n" negation, "t" target, "r" report, "k" threat, or an
-    insult's weight. Remembers what it has seen, up to a bound."""
+    """Words to places in TERMINALS. Remembers what it has seen, up to a bound."""
 
     def __init__(self, grammar: Grammar):
         super().__init__()
         self.words = {w: v for w, v in grammar.insults.items() if not w.endswith("*")}
         self.stems = {w[:-1]: v for w, v in grammar.insults.items() if w.endswith("*")}
         self.sizes = sorted({len(s) for s in self.stems})
-        self.fixed = {c: "." for c in _END} | {c: c for c in (*_QUOTE, "\n")} | {w: "n" for w in NEGATIONS} | {w: "t" for w in TARGETS} | {w: "r" for w in REPORTS} | {w: "k" for w in THREATS}
+        listed = {"n": NEGATIONS, "t": TARGETS, "r": REPORTS, "k": THREATS, ".": _END}
+        self.fixed = {w: TERMINALS.index(a) for a, words in listed.items() for w in words} | {c: TERMINALS.index(c) for c in QUOTES}
         self.weights = grammar.weights
+        self.first_attack, self.end = TERMINALS.index(ATTACKS[0]), TERMINALS.index(".")
+        self.after, self.put = grammar.tables
 
-    def __missing__(self, word: str):
+    def __missing__(self, word: str) -> int:
         if len(self) > 100_000:
             self.clear()
         best = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in self.sizes if len(word) > n)])
-        self[word] = found = best or self.fixed.get(word.replace("’", "'"), 0)
+        found = TERMINALS.index(ATTACKS[strength(best)]) if best else self.fixed.get(word.replace("’", "'"), 0)
+        self[word] = found
         return found
 
-    def outputs(self, text: str) -> np.ndarray:
-        """The clause sums of a text, by OUTPUTS."""
+    def matches(self, text: str) -> tuple[list[float], int, int]:
+        """Weight of the matches by MATCHES, number of addressed and piled ones, and number of clauses."""
         marks = [self[w] for w in _TOKEN.findall(text.lower())]
-        if any(m.__class__ is float or m == "k" for m in marks):
-            return self._run(marks)
-        out = np.zeros(len(OUTPUTS))
-        out[-1] = 1
-        return out
-
-    def _run(self, marks: list) -> np.ndarray:
-        sums, strongest, clauses, hit = [0.0] * 5, 0.0, 1, 0
-        negated = reported = targeted = 0  # tokens for which the state still holds
-        threat = waiting = 0.0  # a threat or insult that a target may still follow
-        quoted, opened = 0, ""  # words for which a quotation still holds, and the mark that opened it
+        sums, hits = [0.0] * len(MATCHES), 0
+        if max(marks, default=0) < self.first_attack:
+            return sums, 0, 1
+        after, put, at = self.after, self.put, 0
+        marks.append(self.end)
         for m in marks:
-            if m == "." or m == "\n":
-                if m == "\n":
-                    quoted = 0
-                clauses += 1
-                negated = reported = targeted = 0
-                threat = waiting = 0.0
-                continue
-            if m in _QUOTE:
-                closes = m == "”" or quoted and (m not in "„“" or m == "“" and opened == "„")
-                quoted, opened = 0 if closes or not reported else REACH_QUOTE + 1, m
-                continue
-            negated, reported, targeted, quoted = max(negated - 1, 0), max(reported - 1, 0), max(targeted - 1, 0), max(quoted - 1, 0)
-            if m == "n":
-                negated = REACH_NEGATION + 1
-            elif m == "r":
-                reported = REACH_REPORT + 1
-            elif m == "t":
-                targeted = REACH_TARGET + 1
-                sums[3] += waiting
-                sums[4] += threat
-                waiting = threat = 0.0
-            elif m == "k":
-                if targeted and not negated:
-                    sums[4] += 1
-                elif not negated:
-                    threat = 1.0
-            elif m.__class__ is float:
-                if negated:
-                    sums[1] += m
-                elif quoted or reported:
-                    sums[2] += m
-                else:
-                    sums[0] += m
-                    strongest, hit = max(strongest, m), hit + 1
-                    if targeted:
-                        sums[3] += m
-                    else:
-                        waiting = m
-        return np.array([*map(math.log1p, sums), strongest / 4, math.log1p(20 * hit / clauses), 1.0])
+            m += at
+            at = after[m]
+            if put[m]:
+                for k, w in put[m]:
+                    sums[k] += w
+                    hits += k < 2
+        return sums, hits, marks.count(self.end)
+
+    def outputs(self, text: str) -> np.ndarray:
+        """By OUTPUTS: the logarithms of the weights of matches and of the matches a clause, and one."""
+        sums, hits, clauses = self.matches(text)
+        return np.array([*map(math.log1p, sums), math.log1p(20 * hits / clauses), 1.0])
 
     def score(self, text: str) -> float:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(self.outputs(text) @ self.weights))))))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text and toxic of at most ``max_rows`` labelled documents outside the held-out fold, first by a hash of
-    their ids; exact copies of a text count once."""
-    marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    """text and toxic of at most ``max_rows`` labelled rows outside the held-out fold, first by a hash of their ids and
+    texts; exact copies of a text count once."""
+    marked = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     ids = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    return texts.groupBy(F.xxhash64("text").alias("h")).agg(F.max(F.struct("toxic", "text")).alias("x")).select("x.toxic", F.coalesce("x.text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    # ids that repeat with other texts must not pass the bound: a second limit, by digests, which combine before the shuffle
+    once = rows.groupBy(F.sha2("text", 256).alias("h")).agg(F.max(F.struct("toxic", "text")).alias("x"))
+    return once.orderBy("h").limit(max_rows).select("x.toxic", "x.text")
 
 
-def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int, max_terms: int = MAX_TERMS) -> dict[str, float]:
-    """Words and beginnings that stand in toxic texts for certain more often than in others, with their log-odds."""
+def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
+    """Words and beginnings that stand in toxic texts for certain more often than in others, with their log-odds. What
+    is collected is bounded by the rows: each term stands in ``MIN_SHARE`` of the toxic texts at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -172,7 +288,7 @@ def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int, max_terms: int =
     counts = rows.mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter(F.col("a") >= max(MIN_TOXIC, MIN_SHARE * n_toxic))
     odds = F.log((F.col("a") + 0.5) / (n_toxic - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (n_clean - F.col("b") + 0.5))
     sure = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    found = counts.select("term", "a", "b", odds.alias("odds"), sure.alias("sure")).filter((F.col("sure") >= MIN_SURE) & (F.col("odds") >= MIN_ODDS)).orderBy(F.desc("sure"), "term").limit(4 * max_terms).collect()
+    found = counts.select("term", "a", "b", odds.alias("odds"), sure.alias("sure")).filter((F.col("sure") >= MIN_SURE) & (F.col("odds") >= MIN_ODDS)).orderBy(F.desc("sure"), "term").collect()
     by = {r["term"]: r for r in found}
     dropped = set()
     for r in found:  # of nested terms with nearly the same toxic texts the longer stays, else the longer goes unless it is clearly surer
@@ -193,27 +309,27 @@ def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int, max_terms: int =
         rest = math.log(a / (n_toxic - a + 1)) - math.log(b / (n_clean - b + 1))
         if inner and (rest < MIN_ODDS or rest / math.sqrt(1 / a + 1 / b) < MIN_SURE):
             dropped.add(s["term"])
-    kept = [r for r in found if r["term"] not in dropped][:max_terms]
+    kept = [r for r in found if r["term"] not in dropped]
     return {r["term"]: round(min(float(r["odds"]), 8.0), 4) for r in kept}
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Grammar:
     rows = training_rows(docs, labels, max_rows).cache()
     try:
-        n = {r["toxic"]: r["count"] for r in rows.filter("toxic IN (0, 1)").groupBy("toxic").count().collect()}
-        listed = {w: 3.0 for w in INSULTS}
+        n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+        listed = dict.fromkeys(INSULTS, 5.0)
         if not n.get(0) or not n.get(1):
             return Grammar(listed, DEFAULT_WEIGHTS)
-        insults = listed | learned_terms(rows.filter("toxic IN (0, 1)"), n[1], n[0])
-        return Grammar(insults, output_weights(rows.filter("toxic IN (0, 1)"), insults))
+        insults = listed | learned_terms(rows, n[1], n[0])
+        return Grammar(insults, output_weights(rows, insults))
     finally:
         rows.unpersist()
 
 
 def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
-    """Ridge-penalised logistic regression on the clause sums; each text counts once, so a third of the
-    probability marks the point where a toxic label is half as likely as a clean one. RARE outputs, whose cases the
-    rows may lack, are shrunk towards their default weights."""
+    """Ridge-penalised logistic regression on the matches of the rows and of the PRIOR clauses, shrunk towards the
+    default weights; each text counts once, so a third of the probability marks the point where a toxic label is half
+    as likely as a clean one."""
     grammar = Grammar(insults, DEFAULT_WEIGHTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,16 +338,19 @@ def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
             x = np.array([reader.outputs(t) for t in texts_of(b)]).reshape(-1, len(OUTPUTS))
             yield pa.RecordBatch.from_pydict({"toxic": b.column("toxic").cast(pa.int32()), "x": pa.array(x.tolist(), pa.list_(pa.float64()))})
 
-    got = rows.mapInArrow(run, "toxic int, x array<double>").toArrow()
-    x, y = np.array(got["x"].to_pylist()), got["toxic"].to_numpy().astype(float)
+    got = rows.mapInArrow(run, "toxic int, x array<double>").groupBy("toxic", "x").count().toArrow()
+    reader = Grammar(dict.fromkeys(INSULTS, 5.0), DEFAULT_WEIGHTS).reader()
+    x = np.array([*got["x"].to_pylist(), *(reader.outputs(t) for t, _ in PRIOR)])
+    y = np.array([*got["toxic"].to_pylist(), *(label for _, label in PRIOR)], float)
+    counts = np.array(got["count"].to_pylist(), float)
+    counts = np.concatenate([counts, np.full(len(PRIOR), max(1.0, PRIOR_SHARE * counts.sum()))])
     order = np.lexsort((*x.T, y))
-    x, y = x[order], y[order]
-    prior = np.where(np.isin(OUTPUTS, RARE), DEFAULT_WEIGHTS, 0.0)
-    w, ridge = prior.copy(), np.full(x.shape[1], 1.0)
+    x, y, counts = x[order], y[order], counts[order]
+    w, ridge = DEFAULT_WEIGHTS.copy(), np.full(x.shape[1], 1.0)
     ridge[-1] = 0.01
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * (w - prior))
+        step = np.linalg.solve((x * (counts * p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (counts * (p - y)) + ridge * (w - DEFAULT_WEIGHTS))
         w -= step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-9:
             break
