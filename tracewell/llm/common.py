@@ -60,3 +60,18 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The whole texts of a batch; null counts as empty."""
     return ["" if x is None else x for x in batch.column(name).to_pylist()]
+
+
+#: Bits of the sieve; 2^26 bits are 8 MB, which bounds what is broadcast.
+SIEVE_BITS = 26
+
+
+def sieve(rows: DataFrame, wanted: DataFrame, on: str = "key") -> DataFrame:
+    """``rows`` with __hit: false only where ``on`` is for certain none of the wanted ones (column ``key``). The sieve
+    is one bitmap of fixed size, so it is broadcast whatever the number of keys."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SIEVE_BITS)) + 1
+    bits = wanted.select(slot("key").alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits"))
+    at = F.bitmap_bit_position(slot(on)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1, F.lit(False))
+    return rows.withColumn("__bucket", F.bitmap_bucket_number(slot(on))).join(F.broadcast(bits), "__bucket", "left").withColumn("__hit", hit).drop("__bucket", "__bits")

@@ -266,7 +266,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
     # ids that repeat with other texts must not pass the bound: a second limit, by digests, which combine before the shuffle
     once = rows.groupBy(F.sha2("text", 256).alias("h")).agg(F.max(F.struct("toxic", "text")).alias("x"))
-    return once.orderBy("h").limit(max_rows).select("x.toxic", "x.text")
+    return once.orderBy("h").limit(max_rows).repartition(16).select("x.toxic", "x.text")
 
 
 def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
