@@ -1,6 +1,7 @@
 """Top-k search, mixing, packing and the pipeline."""
 
 import importlib
+import math
 
 import numpy as np
 import pytest
@@ -15,27 +16,42 @@ VECTORS = "vec_id long, embedding array<float>, label int"
 
 
 def brute_top(rows, k, scale=1024):
-    ok = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
-    out = set()
-    for q in {i for i, _ in ok if i % 100 == 0}:
-        v = min(x for i, x in ok if i == q)
-        scored = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok if i != q and len(w) == len(v)))[:k]
-        out |= {(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)}
-    return out
+    ok = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for at, (q, v) in enumerate(ok):
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for j, (i, w) in enumerate(ok) if j != at and len(w) == len(v))[:k]
+            out += [(q, r, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(scored, 1)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("chunk", [1, 4_096])
 def test_top_k_with_ties_and_awkward_vectors(spark, chunk):
     rng = np.random.default_rng(5)
-    rows = [(i, rng.standard_normal(40).round(1).tolist()) for i in range(150)]
-    rows += [(i, rows[3][1]) for i in range(150, 180)] + [(200, rows[0][1]), (201, None), (202, []), (203, [float("nan")] * 40), (204, [None] * 40), (205, [float("inf")] * 40), (None, rows[0][1]), (300, [1.0, 2.0]), (301, [2.0, -1.0]), (302, [0.5])]
+    rows = [(i, rng.standard_normal(40).round(1).tolist()) for i in range(120)]
+    rows += [(i, rows[3][1]) for i in range(120, 150)] + [(201, None), (202, []), (203, [float("nan")] * 40), (204, [None] * 40), (205, [float("inf")] * 40), (None, rows[0][1]), (300, [1.0, 2.0]), (301, [2.0, -1.0]), (302, [0.5])]
+    rows += [(0, rng.standard_normal(40).round(1).tolist()), (7, rows[7][1]), (7, rows[8][1])]  # ids that repeat, a query's among them
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).repartition(3)
     rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     got = topk_search.top_k(df, F.col("vec_id") % 100 == 0, 10, chunk_queries=chunk)
-    assert {tuple(r) for r in got.collect()} == brute_top(rows, 10)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 10)
     assert got.count() == 10 * 3 + 1
 
 
+def test_top_k_of_very_large_components(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.standard_normal(8) * 10.0 ** rng.integers(-2, 20)).tolist()) for i in range(300)]
+    rows += [(300, [2.0e6] * 8), (301, [2.0e6] * 8), (302, [-2.0e6] * 8), (400, [3.0e6] * 8), (401, [3.0e38] * 8), (402, [2.9e38] * 8)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).repartition(3)
+    assert sorted(tuple(r) for r in topk_search.top_k(df, F.col("vec_id") % 100 == 0, 10).collect()) == brute_top(rows, 10)
+
+
+@given(st.lists(st.integers(-(10**30), 10**30), max_size=20))
+def test_texts_that_sort_as_scores(scores):
+    assert sorted(scores, key=topk_search.ordered) == sorted(scores)
+
+
 def test_top_k_of_nothing(spark):
     none = spark.createDataFrame([], VECTORS)
     assert topk_search.top_k(none, F.col("vec_id") % 100 == 0).count() == 0
