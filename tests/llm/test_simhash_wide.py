@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from tests.llm.helpers import awkward, empty
-from tracewell.llm import near_copies
+from tracewell.llm import simhash_wide
 
 
 def grams(text):
@@ -53,7 +54,7 @@ def corpus():
 def test_stage_keeps_one_of_each_group_of_similar_texts(spark, dense, block):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = near_copies.keep_one(docs, dense=dense, block=block)
+    kept = simhash_wide.keep_one(docs, dense=dense, block=block)
     assert {r["doc_id"] for r in kept.collect()} == brute_keepers(rows)
 
 
@@ -71,7 +72,40 @@ def test_stage_drops_a_copy_at_the_threshold(spark, sf):
 
 def test_awkward_rows(spark):
     docs, _ = awkward(spark)
-    kept = near_copies.keep_one(docs)
+    kept = simhash_wide.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 5, 7]
-    assert near_copies.keep_one(empty(spark)).count() == 0
+    assert simhash_wide.keep_one(empty(spark)).count() == 0
+
+
+def test_recall_and_precision_on_whole_documents(spark, sf):
+    """Every pair of documents with a similarity of 0.8 or more, by brute force over all pairs that share a shingle."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/../sf0.01/documents.parquet").collect()}
+    sets, holders = {d: grams(t) for d, t in texts.items()}, {}
+    for d, g in sets.items():
+        for x in g:
+            holders.setdefault(x, []).append(d)
+    pairs = {(a, b) for h in holders.values() for i, a in enumerate(h) for b in h[i + 1 :] if sets[a] != sets[b]}
+    want = {frozenset(p) for p in pairs if 5 * len(sets[p[0]] & sets[p[1]]) >= 4 * len(sets[p[0]] | sets[p[1]])}
+    docs = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet")
+    of = {r["doc_id"]: r["component_id"] for r in simhash_wide.near_copies(docs).collect()}
+    assert len(want) >= 10 and sum(of[a] == of[b] for a, b in map(tuple, want)) >= 0.9 * len(want)
+
+
+def test_tables_bring_pairs_at_the_threshold_together(spark):
+    rng = np.random.default_rng(4)
+    rows, pairs = [], 400
+    for i in range(pairs):
+        own = rng.integers(0, 2**63, 200 + 25, dtype=np.uint64)
+        for j, h in enumerate((own[:200], own[25:])):  # 175 of 225 in common
+            rows.append((2 * i + j, np.unique(h)))
+    near = [len(np.intersect1d(rows[2 * i][1], rows[2 * i + 1][1])) / len(np.union1d(rows[2 * i][1], rows[2 * i + 1][1])) for i in range(pairs)]
+    assert 0.77 < min(near) <= max(near) < 0.79  # a little below the threshold, so what follows is a lower bound
+    df = spark.createDataFrame([(i, len(h), bytearray(simhash_wide.fingerprint(h).tobytes())) for i, h in rows], "fp long, n int, print binary")
+    bits, tables = simhash_wide.tables_for(1_000_000)
+    cells = {}
+    for r in simhash_wide.pivot_tables(df, bits, tables).collect():
+        cells.setdefault((r["table"], r["cell"]), set()).add(r["fp"])
+    met = {frozenset(x) for c in cells.values() for x in [(a, b) for a in c for b in c if a < b]}
+    assert sum(frozenset((2 * i, 2 * i + 1)) in met for i in range(pairs)) >= 0.9 * pairs
+    assert len(met) < 3 * pairs

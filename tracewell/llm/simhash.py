@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small, texts_of
+from .common import materialize, sieve, small, texts_of
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 SEGMENTS, DENSE = 6, 1_000
@@ -65,8 +65,9 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def row_key(docs: DataFrame) -> Column:
-    """A hash that names a row by its id and whole text."""
-    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+    """Two hashes, 128 bits, that name a row by its id and whole text."""
+    doc_id, text = docs["doc_id"].cast("long"), docs["text"]
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(F.lit("b"), text, doc_id).alias("b"))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -77,7 +78,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fp = np.array([fingerprint(t, shingle) for t in texts_of(b)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(fp)], ["doc_id", "key", "fp"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text")).mapInArrow(run, "doc_id long, key long, fp long")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("key"), docs["text"].alias("text")).mapInArrow(run, "doc_id long, key struct<a:long,b:long>, fp long")
 
 
 def _signed(x: int) -> Column:
@@ -231,34 +232,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def name_components(prints: DataFrame, linked: Callable[[DataFrame], DataFrame], *same: str) -> DataFrame:
     """What ``near_duplicates`` returns, for rows with doc_id, key and fp. ``linked`` takes the distinct fp, with their
     first row and the columns that are the ``same`` for equal fp, to links (a, b)."""
-    first = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "key")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "key")
     distinct = materialize(prints.groupBy("fp").agg(F.min(first).alias("first"), *[F.first(c).alias(c) for c in same]), "simhash-distinct")
     roots = components(linked(distinct))
     mapped = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     mapped = materialize(mapped, "simhash-roots")
     named = mapped.groupBy("root").agg(F.min("first").alias("keeper"))
     of_print = mapped.select("fp", "root").join(named, "root").select("fp", "keeper")
-    component = F.when(F.col("keeper.id") != _NO_ID, F.col("keeper.id"))
+    component = F.when(~F.col("keeper.none"), F.col("keeper.id"))
     return prints.join(of_print, "fp").select("doc_id", "key", "fp", component.alias("component_id"), F.col("keeper.key").alias("keeper_key"))
 
 
-#: Stands for a null id where ids are ordered.
-_NO_ID = (1 << 63) - 1
-#: Bits of the sieve; 2^26 bits are 8 MB, which bounds what is broadcast.
-SIEVE_BITS = 26
-
-
-def _sieve(rows: DataFrame, doubtful: DataFrame) -> DataFrame:
-    """``rows`` (with __key) with __hit: false only where the key is for certain none of the doubtful ones. The
-    sieve is one bitmap of fixed size, so it is broadcast whatever the number of keys."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SIEVE_BITS)) + 1
-    bits = doubtful.select(slot("key").alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits"))
-    at = F.bitmap_bit_position(slot("__key")).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1, F.lit(False))
-    return rows.withColumn("__bucket", F.bitmap_bucket_number(slot("__key"))).join(F.broadcast(bits), "__bucket", "left").withColumn("__hit", hit).drop("__bucket", "__bits")
-
-
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The keeper of each component, with the columns of ``docs``; of equal rows, one.
 
@@ -274,7 +258,7 @@ def keep(docs: DataFrame, found: DataFrame) -> DataFrame:
     by_key = found.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("key") == F.col("keeper_key")).alias("keeper"))
     doubtful = materialize(by_key.filter("n > 1 OR NOT keeper"), "simhash-doubtful")
     own = [docs[c] for c in docs.columns]
-    rows = _sieve(docs.select(F.struct(*own).alias("__row"), row_key(docs).alias("__key")), doubtful)
+    rows = sieve(docs.select(F.struct(*own).alias("__row"), row_key(docs).alias("__key")), doubtful, "__key")
     held = rows.filter("__hit").join(doubtful, F.col("__key") == F.col("key"), "left").filter("key IS NULL OR keeper")
     once = held.filter("key IS NULL").select("__row").unionByName(held.filter("keeper").groupBy("__key").agg(F.first("__row").alias("__row")).select("__row"))
     return rows.filter("NOT __hit").select("__row").unionByName(once).select("__row.*")
