@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import mixing, near_copies, packing, pii, toxicity
+from tracewell.llm import mixing, packing, pii, simhash_wide, toxicity
 from tracewell.llm.common import shared_dir, table
 
 
@@ -18,7 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (0.8 or more of their five-word shingles): the one with the
     smallest id."""
-    return near_copies.keep_one(docs)
+    return simhash_wide.keep_one(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
