@@ -8,16 +8,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import ACTIVE, registry, write_campaign
-from tracewell import cli
+from tracewell import cli, submit
 from tracewell.operators.checks import metrics, verdict
-from tracewell.operators.encoder import EncoderSpec, LinearHead, demo_spec, dig, encode, file_digests, spec_from_config
+from tracewell.operators.encoder import EncoderSpec, LinearHead, demo_spec, config_drift, config_rows, dig, encode, file_digests, spec_from_config
 from tracewell.operators.labels import assemble_labels, build_label_spec
 from tracewell.operators.traces import build_traces
 from tracewell.plans import audit
-from tracewell.plans.campaign import IDENT, campaign_records, export_campaigns, launch_plan, pending
+from tracewell.plans.campaign import IDENT, campaign_records, campaign_runs, export_campaigns, launch_plan, pending, pooled_records, write_pooled
 from tracewell.plans.export import export_embeddings
-from tracewell.sinks.shard import is_complete, read_shard
-from tracewell.sources.inventory import inventory
+from tracewell.sinks.shard import is_complete, read_shard, restore_previous
+from tracewell.sinks.store import Store
+from tracewell.sources.inventory import detailed, inventory
 from tracewell.sources.npz import read_detections, read_topology
 from tracewell.sources.synthetic import synthetic_detections
 from tracewell.streaming.ingest import streamed_counts, write_counts
@@ -72,7 +73,7 @@ def test_several_channels(spark):
     assert encode(two, spec).first()["zraw"] == [12.0] * 4
 
 
-def test_spec_from_config():
+def test_spec_from_config(spark):
     head = LinearHead(np.ones((16, 64)))
     config = {"data": {"window_s": 180.0}}
     spec = spec_from_config(head, config, 16)
@@ -85,6 +86,10 @@ def test_spec_from_config():
         spec_from_config(head, config, 16, expected=other, strict=True)
     assert any("less than one bin" in w for w in spec_from_config(head, config | {"cohort": {"w_size": 0.1, "gaussian_window": 0.04}}, 16).warnings)
     assert dig({"a": {"b": None}}, "a", "b", default=3) == 3
+    with pytest.raises(ValueError, match="window_s"):
+        spec_from_config(head, config, 16, expected={"data": {"window_s": 180.7}}, strict=True)
+    rows = config_drift(config_rows(spark, {"a": {"b": 1, "c": 2.0, "x": "y"}}), config_rows(spark, {"a": {"b": 1.0 + 1e-12, "c": 2.5, "d": None, "e": 7}})).collect()
+    assert sorted((r["key"], r["only_in"]) for r in rows) == sorted([("a.c", None), ("a.e", "want"), ("a.x", "have")])
 
 
 def synthetic(spark, n=24, duration=10.0, **spec_options):
@@ -206,11 +211,27 @@ def test_inventory_and_launch_plan(spark, tmp_path):
     plan = launch_plan(inventory(spark, str(root)), inventory(spark, str(root)))
     assert {(r["campaign"], r["status"], r["reason"]) for r in plan.collect()} == {("good", "RUN", None), ("no_sweep", "SKIP", "no sweep output")}
     assert pending(spark, plan, str(tmp_path)) == ["good"]
-    spec = build_label_spec(registry(), ACTIVE)
-    run = lambda: export_campaigns(spark, plan, str(tmp_path), demo_spec(2.0), lambda _: spec, lambda _: 2.0, single_file=True, order_by=["path"])
+    more = detailed(spark, str(root))
+    good = more.filter("campaign = 'good'").first()
+    assert (good["simtime"], good["conn_prob_lo"], good["conn_prob_hi"], good["conn_rule"], good["n_active"], good["manifest_version"]) == (2.0, 0.05, None, "weibull", len(ACTIVE), "3")
+    assert good["detection_missing"] == good["topology_missing"] == [] and (good["theta_width"], good["n_electrodes"]) == (7, 4) and "simtime" in good["detection_keys"]
+    assert more.filter("campaign = 'no_sweep'").first()["topology_keys"] is None
+    runs = campaign_runs(plan, more, registry(), ["good"])
+    run = lambda: export_campaigns(spark, [r for r in runs if r.name in pending(spark, plan, str(tmp_path))], str(tmp_path), demo_spec(2.0), single_file=True, order_by=["path"])
     assert {k: v.n_rows for k, v in run().items()} == {"good": 6} and run() == {}
+    side = json.loads((tmp_path / "good.json").read_text())
+    assert side["simulation"]["conn_rule"] == "weibull" and side["provenance"]["n_attempted"] == 6 and side["observable"]["n_electrodes"] == 4
     rows = spark.read.parquet(str(tmp_path / "good.parquet"))
     assert len(rows.inputFiles()) == 1 and [(r["topo_idx"], r["iter_idx"]) for r in rows.collect()] == [(k, i) for k in (1, 2) for i in range(3)]
+    write_pooled(pooled_records(spark, runs), str(tmp_path / "pooled"))
+    assert spark.read.parquet(str(tmp_path / "pooled")).filter("campaign_id = 'good'").count() == 6 and os.path.isdir(tmp_path / "pooled" / "campaign_id=good")
+
+
+def test_every_archive_is_opened_once(spark, tmp_path):
+    base = write_campaign(tmp_path)
+    plan = campaign_records(spark, base, base, build_label_spec(registry(), ACTIVE), 2.0, "a")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("content#") and sum("Relation" in x and "content#" in x and "binaryFile" in x for x in plan.splitlines()) <= 3
+    assert plan.count("MapInArrow") == 3  # detections, connectivity, traces
 
 
 def test_half_written_shards_are_not_complete(spark, tmp_path):
@@ -221,6 +242,30 @@ def test_half_written_shards_are_not_complete(spark, tmp_path):
     assert not is_complete(spark, stem)
     export_embeddings(demo_spec(10.0), records, stem)
     assert is_complete(spark, stem) and spark.read.parquet(f"{stem}.parquet").count() == 2
+    assert not [f for f in os.listdir(tmp_path) if "staging" in f or "previous" in f]
+
+
+@pytest.mark.parametrize("breaks", ["move", "write_text"])
+def test_the_old_shard_stays_where_a_publication_breaks_off(spark, tmp_path, monkeypatch, breaks):
+    _, records = synthetic(spark, 3)
+    stem = str(tmp_path / "good")
+    export_embeddings(demo_spec(10.0), records, stem)
+    before = (tmp_path / "good.json").read_text()
+    usual, calls = getattr(Store, breaks), []
+
+    def broken(self, *args):
+        calls.append(args)
+        if breaks == "write_text" or len(calls) == 3:  # the third move puts the new data into place
+            raise OSError("lost")
+        return usual(self, *args)
+
+    monkeypatch.setattr(Store, breaks, broken)
+    with pytest.raises(OSError, match="lost"):
+        export_embeddings(demo_spec(10.0), records.limit(1), stem)
+    monkeypatch.undo()
+    assert is_complete(spark, stem) and (tmp_path / "good.json").read_text() == before and spark.read.parquet(f"{stem}.parquet").count() == 3
+    os.rename(f"{stem}.json", f"{stem}.json.previous")  # as if the driver had been lost after the first step
+    assert not is_complete(spark, stem) and restore_previous(spark, stem) and is_complete(spark, stem)
 
 
 def test_audit(spark, tmp_path):
@@ -269,10 +314,30 @@ def test_command_line(spark, tmp_path, capsys):
     assert side["n_rows"] == 6 and side["observable"]["n_electrodes"] == 4 and side["provenance"]["n_attempted"] == 6
     bounds = dict(zip(side["param_names"], side["bounds_theta"]))
     assert bounds["conn_prob"] == [0.05, 0.6] and bounds["p0_conn"] == [0.1, 1.5]
+    many = ["--mode", "campaigns", "--checkpoint", "my_encoder:make", "--dsn_main_dir", str(tmp_path), "--campaign", str(tmp_path / "c"), *common, str(tmp_path / "many")]
+    assert "held: " in capsys.readouterr().out
+    assert cli.main([*many, "--dry_run"], spark) == 0 and "campaign_a: run" in capsys.readouterr().out and not (tmp_path / "many").exists()
+    assert cli.main(many, spark) == 0 and json.loads((tmp_path / "many" / "campaign_a.json").read_text())["provenance"]["n_attempted"] == 6
+    assert cli.main(many, spark) == 0 and "already exported" in capsys.readouterr().out
+    assert cli.main([*many, "--glob", "other*"], spark) == 4
     assert cli.main(["--mode", "inventory", "--campaign", str(tmp_path / "c")], spark) == 0
     assert cli.main(["--mode", "inventory", "--campaign", str(tmp_path / "gone")], spark) == 3
     with pytest.raises(SystemExit):
         cli.main(["--mode", "campaign"], spark)
     with pytest.raises(SystemExit, match="below the encoder's window"):
         cli.main([*campaign, "--simtime", "1", *common, str(tmp_path / "x")], spark)
-    assert "held: " in capsys.readouterr().out
+
+
+def test_digest_of_the_weights(spark, tmp_path):
+    (tmp_path / "weights.bin").write_bytes(b"abc")
+    (tmp_path / "weighted.py").write_text(f"import dataclasses\nfrom tracewell.operators.encoder import demo_spec\ndef make(device):\n    return dataclasses.replace(demo_spec(2.0), path={str(tmp_path / 'weights.bin')!r})\ndef wrong(device):\n    return dataclasses.replace(make(device), digest='f' * 64)\n")
+    assert cli.load_encoder(spark, "weighted:make", str(tmp_path), "cpu").digest.startswith("ba7816bf")
+    with pytest.raises(SystemExit, match="claims the digest"):
+        cli.load_encoder(spark, "weighted:wrong", str(tmp_path), "cpu")
+
+
+def test_submit_prints_its_command(capsys):
+    assert submit.main(["--dry_run", "--master", "local[2]", "--shared", "/shared", "--", "--mode", "synthetic"]) == 0
+    said = capsys.readouterr().out
+    assert "spark.executorEnv.OMP_NUM_THREADS=1" in said and said.rstrip().endswith("cli.py --mode synthetic") and "spark.checkpoint.dir=/shared" in said
+    assert submit.missing("/bin/false") == list(submit.NEEDED)

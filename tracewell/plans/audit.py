@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Parts of a description that must agree before shards are pooled.
@@ -33,7 +33,9 @@ def compatibility(described: DataFrame) -> DataFrame:
     """part, number of different values, and one shard of each of the first ones; A10 holds if all counts are one."""
     parts = F.array(*[F.struct(F.lit(p).alias("part"), F.coalesce(F.get_json_object("text", f"$.{p}"), F.lit("")).alias("value")) for p in COMPARED])
     by_value = described.select("path", F.inline(parts)).groupBy("part", "value").agg(F.min("path").alias("path"))
-    return by_value.groupBy("part").agg(F.count("*").alias("n_values"), F.slice(F.array_sort(F.collect_list("path")), 1, 10).alias("examples"))
+    counts = by_value.groupBy("part").agg(F.count("*").alias("n_values"))
+    first = by_value.withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy("path"))).filter(F.col("k") <= 10)
+    return counts.join(first.groupBy("part").agg(F.array_sort(F.collect_list("path")).alias("examples")), "part")
 
 
 def assert_compatible(described: DataFrame) -> None:

@@ -2,32 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import json
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.operators.encoder import EncoderSpec
-from tracewell.operators.labels import LabelSpec, assemble_labels
+from tracewell.operators.labels import LabelSpec, assemble_labels, build_label_spec
+from tracewell.operators.registry import Registry
 from tracewell.operators.traces import build_traces
 from tracewell.operators.unique_join import unique_join
 from tracewell.plans.export import ExportResult, export_embeddings
-from tracewell.sinks.shard import is_complete
-from tracewell.sources.npz import read_detections, read_topology
+from tracewell.sinks.shard import is_complete, restore_previous
+from tracewell.sources import settings
+from tracewell.sources.npz import first_files, listed, read_detections, read_topology
 
 IDENT = ("campaign_id", "topo_idx", "iter_idx", "seed_run")
 
 
-def labelled_detections(detections: DataFrame, topology: DataFrame, spec: LabelSpec, verify_coords: bool = True) -> DataFrame:
-    """Each detection record with its one sweep record (by folder and file number, unique on both sides) and label."""
-    return assemble_labels(unique_join(detections, topology, ["topo_dir", "iter_idx"]), spec, verify_coords)
+def labelled_detections(detections: DataFrame, topology: DataFrame, spec: LabelSpec, verify_coords: bool = True, keys: DataFrame | None = None) -> DataFrame:
+    """Each detection record with its one sweep record (by folder and file number, unique on both sides) and label.
+    ``keys`` (topo_dir, iter_idx) of the detections, from their listing, spare the shuffle of the records for the count."""
+    return assemble_labels(unique_join(detections, topology, ["topo_dir", "iter_idx"], left_keys=keys), spec, verify_coords)
 
 
 def campaign_records(spark: SparkSession, campaign_dirs: str | list[str], mea_out_dirs: str | list[str], spec: LabelSpec, duration: float, campaign_id: str, n_electrodes: int | None = None, dt: float = 0.02, sigma_s: float = 0.04, verify_coords: bool = True, max_records: int | None = None) -> DataFrame:
-    """Records ready for export. All sweep folders of a campaign may be given at once. ``path`` is their order."""
-    detections = read_detections(spark, mea_out_dirs, n_electrodes, max_records)
-    rows = labelled_detections(detections, read_topology(spark, campaign_dirs), spec, verify_coords)
+    """Records ready for export. All sweep folders of a campaign may be given at once. ``path`` is their order. Every
+    archive is opened once: that keys are unique is checked on the listing."""
+    detections, found = read_detections(spark, mea_out_dirs, n_electrodes, max_records), listed(spark, mea_out_dirs)
+    keys = (found if max_records is None else first_files(found, max_records)).select("topo_dir", "iter_idx")
+    rows = labelled_detections(detections, read_topology(spark, campaign_dirs), spec, verify_coords, keys)
     kept = rows.select(F.lit(campaign_id).alias("campaign_id"), "path", "topo_idx", "iter_idx", "seed_run", "n_electrodes", "theta_a", "det_t", "det_ch")
     return build_traces(kept, duration, dt, sigma_s)
 
@@ -43,9 +52,12 @@ def launch_plan(detections: DataFrame, sweeps: DataFrame) -> DataFrame:
 
 
 def pending(spark: SparkSession, plan: DataFrame, out_root: str) -> list[str]:
-    """Campaigns to run whose shard is not complete yet."""
+    """Campaigns to run whose shard is not complete yet. A publication that broke off is undone first."""
     names = [r["campaign"] for r in plan.filter("status = 'RUN'").select("campaign").orderBy("campaign").collect()]
-    return [n for n in names if not is_complete(spark, f"{out_root.rstrip('/')}/{n}")]
+    stems = {n: f"{out_root.rstrip('/')}/{n}" for n in names}
+    for stem in stems.values():
+        restore_previous(spark, stem)
+    return [n for n in names if not is_complete(spark, stems[n])]
 
 
 def description_extra(campaign_id: str, duration: float, sweep_group: str, n_electrodes: int | None, manifest: Mapping[str, Any], job_args: Mapping[str, Any]) -> dict[str, Any]:
@@ -64,12 +76,64 @@ def description_extra(campaign_id: str, duration: float, sweep_group: str, n_ele
     }
 
 
-def export_campaigns(spark: SparkSession, plan: DataFrame, out_root: str, encoder: EncoderSpec, spec_of: Callable[[str], LabelSpec], duration_of: Callable[[str], float], **options: Any) -> dict[str, ExportResult]:
-    """A shard for every campaign of a launch plan that is to run and not complete, from all of its trees; the first
-    campaign that breaks a constraint stops the run, and finished ones are skipped when it is started again."""
-    out = {}
-    for name in pending(spark, plan, out_root):
-        row = plan.filter(F.col("campaign") == name).first()
-        records = campaign_records(spark, row["topology_trees"], row["detection_trees"], spec_of(name), duration_of(name), name, dt=encoder.dt, sigma_s=encoder.sigma_s)
-        out[name] = export_embeddings(encoder, records, f"{out_root.rstrip('/')}/{name}", spec_of(name), IDENT, {"campaign_id": name}, **options)
+@dataclass(frozen=True)
+class CampaignRun:
+    """One campaign as it is to be exported."""
+
+    name: str
+    topology_trees: list[str]
+    detection_trees: list[str]
+    spec: LabelSpec
+    duration: float
+    extra: dict[str, Any]
+    n_electrodes: int | None = None
+
+
+def campaign_runs(plan: DataFrame, found: DataFrame, registry: Registry, names: Sequence[str], simtime: float | None = None, sweep_group: str = "neuron_synapse", n_electrodes: int | None = None) -> list[CampaignRun]:
+    """The runs of some campaigns of a launch plan, with label, duration and description from their settings, which
+    come with the detailed inventory of the sweeps. One row a campaign comes to the driver."""
+    settings_of = found.select("campaign", "manifest_text", "job_args_text")
+    rows = {r["campaign"]: r for r in plan.filter("status = 'RUN'").join(settings_of, "campaign", "left").collect()}
+    out = []
+    for name in names:
+        r = rows[name]
+        manifest, job_args = (json.loads(r[k] or "{}") for k in ("manifest_text", "job_args_text"))
+        axes, group = settings.active_axes(manifest, registry, sweep_group)
+        spec = build_label_spec(registry, axes, group, settings.conn_prob_bounds(job_args), settings.kernel_bounds(job_args, registry.kernel_bounds))
+        duration = settings.duration(job_args, simtime)
+        out.append(CampaignRun(name, r["topology_trees"], r["detection_trees"], spec, duration, description_extra(name, duration, group, n_electrodes, manifest, job_args), n_electrodes))
     return out
+
+
+def export_campaigns(spark: SparkSession, runs: Sequence[CampaignRun], out_root: str, encoder: EncoderSpec, at_once: int = 4, max_records: int | None = None, **options: Any) -> dict[str, ExportResult]:
+    """A shard for every run, ``at_once`` of them side by side on the same executors. The first campaign that breaks a
+    constraint stops those that haven't begun; finished shards stay, and ``pending`` leaves them out next time."""
+
+    def one(run: CampaignRun) -> ExportResult:
+        if run.duration < encoder.window_s:
+            raise ValueError(f"{run.name}: the duration of {run.duration} s is below the encoder's window of {encoder.window_s} s")
+        records = campaign_records(spark, run.topology_trees, run.detection_trees, run.spec, run.duration, run.name, run.n_electrodes, encoder.dt, encoder.sigma_s, max_records=max_records)
+        extra = dict(run.extra)
+        if run.n_electrodes is None:
+            example = read_detections(spark, run.detection_trees, max_records=1).first()
+            extra["observable"] = {**extra.get("observable", {}), "n_electrodes": example["n_electrodes"] if example else None}
+        return export_embeddings(encoder, records, f"{out_root.rstrip('/')}/{run.name}", run.spec, IDENT, extra, **options)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        futures = [pool.submit(one, run) for run in runs]
+        try:
+            return {run.name: f.result() for run, f in zip(runs, futures)}
+        finally:
+            for f in futures:
+                f.cancel()
+
+
+def pooled_records(spark: SparkSession, runs: Sequence[CampaignRun], dt: float = 0.02, sigma_s: float = 0.04) -> DataFrame:
+    """Records of many sweep folders or campaigns as one table, to be partitioned by ``campaign_id``."""
+    tables = [campaign_records(spark, r.topology_trees, r.detection_trees, r.spec, r.duration, r.name, r.n_electrodes, dt, sigma_s) for r in runs]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def write_pooled(records: DataFrame, path: str) -> None:
+    """One folder a campaign below ``path``; a reader of one campaign opens no other's files."""
+    records.write.partitionBy("campaign_id").parquet(path)

@@ -7,6 +7,7 @@ the shard as complete. A shard whose description is missing counts as absent and
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 from typing import Any
 
@@ -56,7 +57,8 @@ def merged(description: dict[str, Any], extra: Mapping[str, Any] | None) -> dict
 
 
 def staging_path(stem: str) -> str:
-    return f"{stem}.staging"
+    """A place of its own for every writer."""
+    return f"{stem}.staging-{uuid.uuid4().hex}"
 
 
 def write_staged(rows: DataFrame, staging: str, single_file: bool = False) -> None:
@@ -64,13 +66,43 @@ def write_staged(rows: DataFrame, staging: str, single_file: bool = False) -> No
     (rows.coalesce(1) if single_file else rows).write.mode("overwrite").option("compression", "snappy").parquet(staging)
 
 
+def _parts(stem: str) -> list[tuple[str, str]]:
+    """Data and description with the places where a publication sets aside what was there before."""
+    return [(p, f"{p}.previous") for p in (description_path(stem), data_path(stem))]
+
+
+def restore_previous(spark: SparkSession, stem: str) -> bool:
+    """Undo a publication that broke off: if the shard isn't complete and there is a previous one, that comes back."""
+    store = Store(spark)
+    if store.exists(description_path(stem)) and store.exists(data_path(stem)) or not any(store.exists(old) for _, old in _parts(stem)):
+        return False
+    for place, old in reversed(_parts(stem)):  # the description last
+        if store.exists(old):
+            if store.exists(place):
+                store.delete(place)
+            store.move(old, place)
+    return True
+
+
 def publish(spark: SparkSession, stem: str, staging: str, description: Mapping[str, Any]) -> None:
+    """Put a staged shard into place. What was published before is set aside (its description first, so that the shard
+    never counts as complete with mixed parts), deleted once the new description stands, and brought back on failure."""
     store = Store(spark)
-    for old in (description_path(stem), data_path(stem)):
+    restore_previous(spark, stem)
+    try:
+        for place, old in _parts(stem):
+            if store.exists(old):
+                store.delete(old)
+            if store.exists(place):
+                store.move(place, old)
+        store.move(staging, data_path(stem))
+        store.write_text(description_path(stem), json.dumps(description, indent=2) + "\n")
+    except BaseException:
+        restore_previous(spark, stem)
+        raise
+    for _, old in _parts(stem):
         if store.exists(old):
             store.delete(old)
-    store.move(staging, data_path(stem))
-    store.write_text(description_path(stem), json.dumps(description, indent=2) + "\n")
 
 
 def read_description(spark: SparkSession, stem: str) -> dict[str, Any]:

@@ -1,5 +1,7 @@
 """What a tree of campaigns holds: counts and first examples of both kinds of files, settings, and what is missing.
-Only paths are read; file contents are not."""
+
+``inventory`` reads paths alone. ``detailed`` adds what the settings say and what one example of each kind of file
+holds; it opens two small documents and two archives a campaign."""
 
 from __future__ import annotations
 
@@ -7,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions.expr import basename
+from tracewell.operators.registry import TOPOLOGY_AXES
+from tracewell.sources.npz import REQUIRED, described, lacking
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
@@ -24,7 +28,11 @@ def _quoted(root: str) -> str:
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row a campaign: n and first file of detections and topology, paths of the settings, all trees, verdict."""
-    f = listing(spark, root)
+    return summary(listing(spark, root))
+
+
+def summary(f: DataFrame) -> DataFrame:
+    """The inventory of a listing (path, campaign, kind, tree)."""
     of = lambda kind, x: F.when(F.col("kind") == kind, F.col(x))
     out = f.groupBy("campaign").agg(
         F.count_if(F.col("kind") == "detections").alias("n_detections"),
@@ -39,6 +47,38 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     return out.withColumn("verdict", readiness(F.col("n_detections"), F.col("n_topology")))
 
 
+def setting_texts(spark: SparkSession, root: str) -> DataFrame:
+    """path and text of the settings documents below the root."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "{manifest,job_args}.json").load(root)
+    return files.select("path", F.col("content").cast("string").alias("text"))
+
+
+def setting_fields(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """An inventory with the texts of its settings and the fields that decide an export (null where there is none)."""
+    for name in ("manifest", "job_args"):
+        found = found.join(texts.select(F.col("path").alias(name), F.col("text").alias(f"{name}_text")), name, "left")
+    field = lambda doc, key, kind: F.get_json_object(f"{doc}_text", f"$.{key}").try_cast(kind).alias(key)
+    return found.select(
+        "*",
+        *[field("job_args", k, "double") for k in ("simtime", "conn_prob_lo", "conn_prob_hi")],
+        *[field("job_args", k, "string") for k in ("conn_rule", "sweep_group")],
+        F.size(F.from_json(F.get_json_object("manifest_text", "$.active_indices"), "array<int>")).alias("n_active"),
+        field("manifest", "manifest_version", "string"),
+    )
+
+
+def detailed(spark: SparkSession, root: str) -> DataFrame:
+    """The inventory with the settings' fields, and of the first file of each kind the member names and what is needed
+    and missing there, the width of theta and the number of electrodes."""
+    found = setting_fields(inventory(spark, root), setting_texts(spark, root))
+    examples = [p for r in found.select("first_detection", "first_topology").collect() for p in r if p is not None]
+    seen = described(spark, examples)
+    for kind, needed, more in (("detection", (*REQUIRED, "electrode_centers"), ("theta_width", "n_electrodes")), ("topology", TOPOLOGY_AXES, ())):
+        one = seen.select(F.col("path").alias(f"first_{kind}"), F.col("names").alias(f"{kind}_keys"), lacking(F.col("names"), needed).alias(f"{kind}_missing"), *more)
+        found = found.join(one, f"first_{kind}", "left")
+    return found
+
+
 def readiness(n_detections: Column, n_topology: Column) -> Column:
     return (
         F.when((n_detections > 0) & (n_topology > 0), "READY")

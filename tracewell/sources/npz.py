@@ -7,11 +7,12 @@ Detections: topo_<k>/mea_iter_<n>.npz. Connectivity: topo_<k>/iter_<n>.npz.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions.expr import parent_name, trailing_index
@@ -19,6 +20,8 @@ from tracewell.operators.registry import TOPOLOGY_AXES
 
 DETECTION_GLOB, TOPOLOGY_GLOB = "mea_iter_*.npz", "iter_*.npz"
 REQUIRED = ("det_t", "det_ch", "theta")
+#: Archives that a worker holds decoded at a time, and paths that are read by name rather than met in a join.
+SLICE, FEW = 16, 1_000
 _RAW = "path string, det_t array<double>, det_ch array<bigint>, theta array<double>, params array<double>, topo_raw bigint, seed_raw bigint, centers bigint"
 
 
@@ -28,6 +31,21 @@ def _files(spark: SparkSession, roots: str | list[str], pattern: str) -> DataFra
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load([f"{r.rstrip('/')}/topo_*" for r in roots])
 
 
+def listed(spark: SparkSession, roots: str | list[str], pattern: str = DETECTION_GLOB) -> DataFrame:
+    """path, topo_dir and iter_idx of the files, from the listing alone: no file is opened."""
+    return _files(spark, roots, pattern).select("path", parent_name(F.col("path")).alias("topo_dir"), trailing_index(F.col("path")).alias("iter_idx"))
+
+
+def first_files(files: DataFrame, n: int) -> DataFrame:
+    """The first n rows by ``path``, as text: 10 comes before 2."""
+    return files.orderBy("path").limit(n)
+
+
+def lacking(keys: Column, needed: Sequence[str]) -> Column:
+    """What is needed and not among the keys, in order."""
+    return F.array_except(F.array(*[F.lit(k) for k in needed]), keys)
+
+
 def _members(content: bytes, names: tuple[str, ...], path: str) -> dict[str, np.ndarray]:
     try:
         with np.load(io.BytesIO(content), allow_pickle=False) as z:
@@ -44,11 +62,15 @@ def read_detections(spark: SparkSession, roots: str | list[str], n_electrodes: i
     """
     files = _files(spark, roots, DETECTION_GLOB)
     if max_records is not None:
-        first = [r["path"] for r in files.select("path").orderBy("path").limit(max_records).collect()]
-        files = files.filter(F.col("path").isin(first)) if first else files.filter(F.lit(False))
+        first = first_files(listed(spark, roots).select("path"), max_records)
+        few = [r["path"] for r in first.limit(FEW + 1).collect()]
+        if len(few) <= FEW and not any(c in p for p in few for c in "*?[]{}"):  # so that only these are opened
+            files = spark.read.format("binaryFile").load(few) if few else files.filter(F.lit(False))
+        else:
+            files = files.join(first, "path", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             rows = []
             for path, content in zip(b.column("path").to_pylist(), b.column("content")):
                 m = _members(content.as_py(), (*REQUIRED, "params", "topo_idx", "seed_run", "electrode_centers"), path)
@@ -75,9 +97,34 @@ def read_topology(spark: SparkSession, roots: str | list[str]) -> DataFrame:
     """One row a sweep file: topo_dir, iter_idx and the four connectivity values (null where a file lacks one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             found = [_members(c.as_py(), TOPOLOGY_AXES, p) for p, c in zip(b.column("path").to_pylist(), b.column("content"))]
             yield pa.RecordBatch.from_arrays([b.column("path"), *(pa.array([float(m[a]) if a in m else None for m in found], pa.float64()) for a in TOPOLOGY_AXES)], ["path", *TOPOLOGY_AXES])
 
     raw = _files(spark, roots, TOPOLOGY_GLOB).select("path", "content").mapInArrow(run, "path string, " + ", ".join(f"{a} double" for a in TOPOLOGY_AXES))
     return raw.select(parent_name(F.col("path")).alias("topo_dir"), trailing_index(F.col("path")).alias("iter_idx"), *TOPOLOGY_AXES)
+
+
+def described(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, sorted member names, width of theta and number of electrodes of single archives; values aren't decoded
+    beyond these. A file that is no archive has null names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
+            names, widths, electrodes = [], [], []
+            for content in b.column("content"):
+                try:
+                    with np.load(io.BytesIO(content.as_py()), allow_pickle=False) as z:
+                        have = sorted(z.files)
+                        width, members = (z["theta"].size if "theta" in have else None), (len(z["electrode_centers"]) if "electrode_centers" in have else None)
+                except (ValueError, OSError, zipfile.BadZipFile):
+                    have = width = members = None
+                names.append(have)
+                widths.append(width)
+                electrodes.append(members)
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(names, pa.list_(pa.string())), pa.array(widths, pa.int64()), pa.array(electrodes, pa.int64())], ["path", "names", "theta_width", "n_electrodes"])
+
+    schema = "path string, names array<string>, theta_width long, n_electrodes long"
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, schema)
