@@ -22,10 +22,7 @@ def test_entry_registers_everything(spark):
 
 
 def test_queries_without_sql(spark, sf):
-    users = spark.read.parquet(f"{sf}/events.parquet").select("user_id").distinct().count()
-    rows = catalog.k1_export_shard(spark, sf).collect()
-    assert len(rows) == 3 * users and all(r["unit"] and r["width"] == 16 and r["n_rows"] == len(rows) for r in rows)
     drawn = catalog.s8_synthetic_source(spark, sf).collect()
-    assert len(drawn) == 32 and all(r["last_channel"] == 8 and 0 < r["last_time"] < 20 and 300 < r["n_spikes"] < 2_000 for r in drawn)
+    assert len(drawn) == 32 and all(r["last_channel"] == 8 and 19 < r["last_time"] < 20 and 300 < r["n_spikes"] < 2_000 for r in drawn)
     assert sorted(drawn) == sorted(catalog.s8_synthetic_source(spark, sf).collect())
-    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"k1_export_shard", "s8_synthetic_source"}
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == {"s8_synthetic_source"}

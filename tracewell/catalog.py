@@ -6,24 +6,32 @@ bins. Numeric columns of the other tables stand for parameter axes, embeddings f
 
 from __future__ import annotations
 
+import io
+import json
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.functions.expr import all_finite, basename, close_to, flattened, l2_norm, to_natural, to_theta, trailing_index
+from tracewell.functions.expr import all_finite, basename, flattened, l2_norm, to_natural, to_theta, trailing_index
 from tracewell.operators.binning import bin_counts, channel_counts, dense_grid, grid_bins, rejected
-from tracewell.operators.checks import UNIT_TOLERANCE
-from tracewell.operators.encoder import demo_spec
-from tracewell.operators.labels import build_label_spec
+from tracewell.operators.checks import UNIT_TOLERANCE, by_axis, metrics
+from tracewell.operators.encoder import EncoderSpec, LinearHead, config_drift, digest_of, encode
+from tracewell.operators.labels import LabelSpec, assemble_labels, build_label_spec, coord_violations
 from tracewell.operators.registry import Registry, is_log_axis, log_set_drift, roundtrip, with_rules
 from tracewell.operators.smoothing import smooth_rows
 from tracewell.operators.traces import traces_from_counts
 from tracewell.operators.unique_join import key_violations, unique_join
-from tracewell.operators.windows import cut_windows, window_rows
+from tracewell.operators.windows import cut_windows, short_summary, window_rows
+from tracewell.plans.audit import digest_audit
+from tracewell.plans.campaign import launch_plan
 from tracewell.plans.export import export_embeddings
 from tracewell.sinks.shard import read_shard
-from tracewell.sinks.store import scratch
+from tracewell.sinks.store import Store, scratch
+from tracewell.sources import settings
+from tracewell.sources.inventory import detailed, summary
+from tracewell.sources.npz import first_files, lacking, listed, read_detections, read_topology
 from tracewell.sources.synthetic import synthetic_detections
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,19 +91,17 @@ def _user_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k1_export_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User traces through windows, the demonstration encoder, constraints and the sinks, and read back."""
+    """User traces through windows, a fixed linear head, constraints and the sinks, and read back."""
     stem = scratch(spark, "shard")
-    export_embeddings(demo_spec(WINDOW * DT, DT), _user_traces(spark, sf_dir), stem, ident_columns=("trace_id",))
+    export_embeddings(EncoderSpec(LinearHead(np.array(HEAD)), len(HEAD), WINDOW * DT, DT), _user_traces(spark, sf_dir), stem, ident_columns=("trace_id",))
     rows, description = read_shard(spark, stem)
-    return rows.select("trace_id", "window_idx", F.size("zraw").cast("long").alias("width"), (F.abs(l2_norm(F.col("z")) - 1) < UNIT_TOLERANCE).alias("unit"), F.lit(description["n_rows"]).cast("long").alias("n_rows"))
+    unit = (F.abs(l2_norm(F.col("z")) - 1) < UNIT_TOLERANCE).alias("unit")
+    return rows.select("trace_id", "window_idx", unit, F.lit(description["n_rows"]).cast("long").alias("n_rows"), F.posexplode("zraw").alias("j", "v")).select("trace_id", "window_idx", "unit", "n_rows", F.col("j").cast("long").alias("j"), F.round(F.col("v").cast("double"), 5).alias("zraw"))
 
 
 def s8_synthetic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Made-up records over the axes of this catalogue: sizes of what was drawn."""
-    axes = [(r["name"], r["lo"], r["hi"]) for r in _axes(spark, sf_dir).filter("lo < hi").orderBy("name").collect()]
-    bounds = [(lo, hi) for _, lo, hi in axes]
-    registry = Registry([n for n, _, _ in axes], ["-"] * len(axes), bounds, bounds, [(0.1, 1.0), (50.0, 500.0), (0.5, 3.0)])
-    made = synthetic_detections(spark, build_label_spec(registry, [0, 2, 3]), 32, 20.0)
+    made = synthetic_detections(spark, _spec(spark, sf_dir, "c_acctbal", "l_discount", "l_extendedprice"), 32, 20.0)
     return made.select("iter_idx", "topo_idx", "seed_run", F.size("det_t").cast("long").alias("n_spikes"), F.array_max("det_ch").alias("last_channel"), F.array_max("det_t").alias("last_time"))
 
 
@@ -120,8 +126,8 @@ def w3_window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def f3_short_trace_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traces that end with their last event; those below 700 bins are short."""
-    n = _counts(spark, sf_dir).groupBy("trace_id").agg((F.max("bin") + 1).alias("n"))
-    return n.agg(F.count_if(F.col("n") >= 700).alias("n_used"), F.count_if(F.col("n") < 700).alias("n_short"))
+    n = _counts(spark, sf_dir).groupBy("trace_id").agg(F.max("bin").alias("last"))
+    return short_summary(n.select(F.sequence(F.lit(0).cast("long"), "last").alias("trace")), 700)
 
 
 def f1_rejected_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,13 +181,39 @@ def j7_log_set_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_set_drift(a, stored)
 
 
+KERNEL = ((0.1, 1.0), (50.0, 500.0), (0.5, 3.0))
+#: The axes by name, which gives their number in the registry.
+AXES = ("c_acctbal", "decade", "frozen", "l_discount", "l_extendedprice", "l_quantity", "l_tax", "p_retailprice", "p_size")
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> Registry:
+    """The registry of this catalogue, read as a user's is."""
+    a = with_rules(_axes(spark, sf_dir)).withColumn("axis", F.array_position(F.array(*[F.lit(n) for n in AXES]), F.col("name")) - 1)
+    return Registry.read(a.select("axis", "name", F.lit("-").alias("unit"), "lo", "hi", *[to_theta(F.col(e), F.col("is_log")).alias(f"{e}_theta") for e in ("lo", "hi")]), KERNEL)
+
+
+def _spec(spark: SparkSession, sf_dir: str, *names: str) -> LabelSpec:
+    return build_label_spec(_registry(spark, sf_dir), [AXES.index(n) for n in names])
+
+
+def s6_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as it is read: numbers, names, theta bounds, logarithmic and frozen axes."""
+    r = _registry(spark, sf_dir)
+    logs, frozen = r.log_axes, r.frozen
+    flags = spark.createDataFrame([(k, k in logs, n in frozen) for k, n in enumerate(r.names)], "axis int, is_log boolean, is_frozen boolean")
+    return r.table(spark).join(F.broadcast(flags), "axis").select("axis", "name", *[F.round(f"{e}_theta", 9).alias(f"{e}_theta") for e in ("lo", "hi")], "is_log", "is_frozen")
+
+
+def s7_config_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as a configuration against one with other values in region 2 and neither region 3 nor key 0."""
+    n = _table(spark, sf_dir, "nation").select("n_regionkey", F.col("n_name").alias("key"), F.col("n_nationkey").cast("double").alias("v"))
+    want = n.filter("n_regionkey <> 3").select("key", (F.col("v") + F.when(F.col("n_regionkey") == 2, 0.5).otherwise(1e-12)).cast("string").alias("value"))
+    return config_drift(n.filter("v > 0").select("key", F.col("v").cast("string").alias("value")), want).select("key", "only_in")
+
+
 def p12_label_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Active axes in the given order with their coordinates and theta bounds, then a linear tail."""
-    active = spark.createDataFrame([(0, "p_size"), (1, "l_discount"), (2, "l_extendedprice")], "pos int, name string")
-    a = with_rules(_axes(spark, sf_dir)).join(F.broadcast(active), "name")
-    head = a.select("pos", "name", F.when(F.col("is_log"), "ln").otherwise("linear").alias("coord"), *[F.round(to_theta(F.col(e), F.col("is_log")), 9).alias(e) for e in ("lo", "hi")])
-    tail = spark.createDataFrame([(3, "conn_prob", "linear", 0.1, 0.6), (4, "p0_conn", "linear", 0.1, 1.0)], "pos int, name string, coord string, lo double, hi double")
-    return head.unionByName(tail)
+    return _spec(spark, sf_dir, "p_size", "l_discount", "l_extendedprice").table(spark).select("pos", "name", "coord", *[F.round(e, 9).alias(e) for e in ("lo", "hi")])
 
 
 def p13_to_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,41 +227,43 @@ def a1_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("name", "edge", F.round("v", 6).alias("v"), (F.col("off") <= 1e-9 * F.abs("v")).alias("holds"))
 
 
-def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p3_label_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chosen axes of a stored theta in their order, then four values in natural units."""
+    spec = _spec(spark, sf_dir, "p_size", "l_quantity", "l_extendedprice", "l_discount")
     rows = _table(spark, sf_dir, "lineitem").join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    theta = F.array(*[F.col(c).cast("double") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice")])
-    logs = F.array(*[F.lit(x) for x in (True, True, False, False, True, False)])
-    stored = F.transform(theta, lambda v, i: to_theta(v, F.get(logs, i)))
-    active = F.array(*[F.lit(k) for k in (4, 0, 1, 2)])
-    label = F.concat(F.transform(active, lambda k: F.get(F.col("theta"), k)), F.array("l_tax", "p_retailprice"))
-    return rows.withColumn("theta", stored).select("l_orderkey", "l_linenumber", label.alias("label"))
+    params = [F.col(n).cast("double") if n[:2] in ("l_", "p_") else F.lit(0.5) for n in AXES]
+    theta = [to_theta(v, F.lit(k in spec.registry.log_axes)) for k, v in enumerate(params)]
+    tail = {"conn_prob": F.col("l_tax"), "p0_conn": F.lit(0.5), "d0_conn": F.col("p_retailprice"), "beta_conn": F.col("l_discount")}
+    stored = rows.select("l_orderkey", "l_linenumber", F.array(*theta).alias("theta"), F.array(*params).alias("params"), *[v.cast("double").alias(n) for n, v in tail.items()])
+    names = ("th_size", "th_quantity", "th_price", "th_discount", "th_tax", "th_p0", "th_retail", "th_beta")
+    return assemble_labels(stored, spec, out="label").select("l_orderkey", "l_linenumber", *[F.round(F.get("label", F.lit(j)) + 0.0, 9).alias(n) for j, n in enumerate(names)])
 
 
-def p3_label_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chosen axes of a stored theta in their order, then a tail in natural units."""
-    names = ("th_size", "th_quantity", "th_price", "th_discount", "th_tax", "th_retail")
-    return _labels(spark, sf_dir).select("l_orderkey", "l_linenumber", *[F.round(F.get("label", F.lit(j)) + 0.0, 9).alias(n) for j, n in enumerate(names)])
+def _axis_report(rows: DataFrame, box: dict[str, tuple[float, float]]) -> DataFrame:
+    """What the shard's constraints find on columns that stand for label columns."""
+    spec = LabelSpec(list(box), ["linear"] * len(box), list(box.values()), ["-"] * len(box), [], Registry([], [], [], [], list(KERNEL)))
+    m = metrics(rows.select(F.array(F.lit(1.0)).alias("z"), F.array(*[F.col(c).cast("double") for c in box]).alias("theta_a")), spec)
+    return rows.sparkSession.createDataFrame(by_axis(m, spec), "axis string, constant boolean, n_outside long")
 
 
 def a4_constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _table(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price"), F.lit(0.1).alias("same"))
-    flat = F.array(*[F.struct(F.lit(c).alias("name"), (F.min(c) == F.max(c)).alias("constant")) for c in p.columns])
-    return p.agg(flat.alias("x")).select(F.inline("x"))
+    return _axis_report(_table(spark, sf_dir, "part").withColumn("same", F.lit(0.1)), dict.fromkeys(("p_size", "p_retailprice", "same"), (0.0, 1e9))).select("axis", "constant")
 
 
 BOX = {"l_quantity": (5.0, 45.0), "l_extendedprice": (1_000.0, 100_000.0), "l_discount": (0.0, 0.1), "l_tax": (0.01, 0.08)}
 
 
 def a5_box_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = [F.struct(F.lit(c).alias("axis"), F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("n_outside")) for c, (lo, hi) in BOX.items()]
-    return _table(spark, sf_dir, "lineitem").agg(F.array(*n).alias("x")).select(F.inline("x"))
+    return _axis_report(_table(spark, sf_dir, "lineitem"), BOX).select("axis", "n_outside")
 
 
 def a6_coord_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts whose stored theta breaks the rule; every 97th is stored a little off."""
-    want = to_theta(F.col("p_size").cast("double"), F.lit(True))
-    got = want + F.when(F.col("p_partkey") % 97 == 0, 1e-6).otherwise(0.0)
-    return _table(spark, sf_dir, "part").filter(~close_to(got, want, 1e-8, 1e-10)).select("p_partkey", "p_size")
+    spec = _spec(spark, sf_dir, "p_size", "p_retailprice")
+    params = [F.col(n).cast("double") if n[:2] == "p_" else F.lit(0.5) for n in AXES]
+    theta = [to_theta(v, F.lit(k in spec.registry.log_axes)) + (F.when(F.col("p_partkey") % 97 == 0, 1e-6).otherwise(0.0) if n == "p_size" else 0.0) for k, (n, v) in enumerate(zip(AXES, params))]
+    off = coord_violations(spec, F.array(*theta), F.array(*params))
+    return _table(spark, sf_dir, "part").filter(F.size(off) > 0).select("p_partkey", "p_size", F.array_join(off, ",").alias("axes"))
 
 
 def a7_unit_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,10 +281,10 @@ HEAD = [[((31 * j + 17 * k) % 13 - 6) / 13 for k in range(64)] for j in range(8)
 
 
 def x1_linear_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fixed linear head: unnormalised and unit outputs, as expressions."""
-    heads = [F.aggregate(F.zip_with("embedding", F.array(*[F.lit(w) for w in row]), lambda v, w: v.cast("double") * w), F.lit(0.0), lambda a, x: a + x) for row in HEAD]
-    rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.array(*heads).alias("zraw")).withColumn("n", l2_norm(F.col("zraw")))
-    return rows.select("vec_id", F.posexplode("zraw").alias("j", "zraw"), "n").select("vec_id", F.col("j").cast("long").alias("j"), F.round("zraw", 6).alias("zraw"), F.round(F.col("zraw") / F.col("n"), 6).alias("z"))
+    """Embeddings as windows through the encoder contract with a fixed linear head: unnormalised and unit outputs."""
+    spec = EncoderSpec(LinearHead(np.array(HEAD)), len(HEAD), 64.0, 1.0)
+    rows = encode(_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("xw")), spec)
+    return rows.select("vec_id", F.posexplode(F.arrays_zip("zraw", "z")).alias("j", "v")).select("vec_id", F.col("j").cast("long").alias("j"), *[F.round(F.col(f"v.{c}").cast("double"), 6).alias(c) for c in ("zraw", "z")])
 
 
 def p2_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,36 +296,91 @@ def p1_trailing_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s5_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return _table(spark, sf_dir, "documents").select("doc_id", digest_of(F.col("text")).alias("sha256"))
 
 
 def g13_digest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s5_digest(spark, sf_dir).groupBy("sha256").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+    """Documents as descriptions of shards that name the digest of their text."""
+    block = F.struct(F.struct(digest_of(F.col("text")).alias("dsn_checkpoint_sha256")).alias("embedding"))
+    return digest_audit(_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.to_json(block).alias("text")))
 
 
-def g12_files_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages a host and the first of them."""
-    host = F.regexp_extract("url", "://([^/]+)", 1)
-    return _table(spark, sf_dir, "pages").groupBy(host.alias("host")).agg(F.count("*").alias("n"), F.min("url").alias("first_url"))
+def g12_campaign_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files, hosts as campaigns."""
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("detections", "topology", "manifest", "job_args")]), (F.col("page_id") % 4 + 1).cast("int"))
+    files = _table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.regexp_extract("url", "://([^/]+)", 1).alias("campaign"), kind.alias("kind"), F.regexp_replace("url", "/[^/]*$", "").alias("tree"))
+    return summary(files).select("campaign", "n_detections", "first_detection", F.size("detection_trees").cast("long").alias("n_trees"), "n_topology", "first_topology", "manifest", "verdict")
 
 
 def l2_ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first hundred events by the text of their id: 10 comes before 2."""
-    return _table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("name"), "user_id").orderBy("name").limit(100)
+    return first_files(_table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("path"), "user_id"), 100)
 
 
 def u3_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event types that a user lacks in the first week."""
     e = _table(spark, sf_dir, "events").withColumn("early", F.when(_micros() < 7 * 86_400_000_000, F.col("event_type")))
-    missing = F.array_except(F.array(*[F.lit(t) for t in TYPES]), F.collect_set("early"))
-    return e.groupBy("user_id").agg(F.array_join(F.array_sort(missing), ",").alias("missing"))
+    return e.groupBy("user_id").agg(F.array_join(lacking(F.collect_set("early"), TYPES), ",").alias("missing"))
+
+
+def j5_launch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as campaigns, with detections if their balance is positive; their orders as sweeps, the large ones as files."""
+    found = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("campaign"), (F.col("c_acctbal") > 0).cast("long").alias("n_detections"), F.array("c_mktsegment").alias("detection_trees"))
+    sweeps = _table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("campaign")).agg(F.count_if(F.col("o_totalprice") > 300_000).alias("n_topology")).withColumn("topology_trees", F.array(F.lit("orders")))
+    return launch_plan(found, sweeps).select("campaign", "status", F.coalesce("reason", F.lit("")).alias("reason"), F.get("detection_trees", F.lit(0)).alias("tree"))
+
+
+def _fixture(spark: SparkSession, sf_dir: str) -> str:
+    """The 25 nations as a campaign of archives, written to the shared folder; regions are its topo folders."""
+    store, root = Store(spark), f"{scratch(spark, 'campaigns')}"
+
+    def archive(**members) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, **members)
+        return out.getvalue()
+
+    for r in _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").collect():
+        n, at = int(r["n_nationkey"]), f"{root}/nations/topo_{r['n_regionkey']}"
+        seed = {} if n % 2 else {"seed_run": n * 10}
+        store.write_bytes(f"{at}/mea_iter_{n:05d}.npz", archive(det_t=np.arange(n + 1) * 0.25, det_ch=np.arange(n + 1) % 4, theta=np.arange(9) + n / 2, electrode_centers=np.zeros((4, 2)), **seed))
+        some = {} if n % 5 == 0 else {"beta_conn": n / 10}
+        store.write_bytes(f"{at}/iter_{n:05d}.npz", archive(conn_prob=n / 100, p0_conn=0.5, d0_conn=50.0 + n, **some))
+    store.write_text(f"{root}/nations/manifest.json", json.dumps({"active_indices": [0, 2, 5], "manifest_version": 3}))
+    store.write_text(f"{root}/nations/job_args.json", json.dumps({"simtime": 12.5, "conn_prob_lo": 0.05, "conn_rule": "weibull", "p0_hi": 1.5}))
+    return root
+
+
+def s1_detection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read_detections(spark, f"{_fixture(spark, sf_dir)}/nations")
+    return d.select("topo_dir", "topo_idx", "iter_idx", "seed_run", "n_electrodes", F.size("det_t").cast("long").alias("n_spikes"), F.array_max("det_t").alias("last_t"), F.array_max("det_ch").alias("last_ch"), F.get("theta", F.lit(8)).alias("last_theta"), F.col("params").isNull().alias("no_params"))
+
+
+def s2_topology_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_topology(spark, f"{_fixture(spark, sf_dir)}/nations").withColumn("beta_conn", F.coalesce("beta_conn", F.lit(-1.0)))
+
+
+def s3_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run takes from the two documents of a campaign, and from none."""
+    at = f"{_fixture(spark, sf_dir)}/nations"
+    rows = []
+    for name, (m, j) in {"given": (settings.read_json(spark, f"{at}/manifest.json"), settings.read_json(spark, f"{at}/job_args.json")), "none": (settings.read_json(spark, f"{at}/no.json"), {})}.items():
+        axes, group = settings.active_axes(m, Registry([], [], [], [], list(KERNEL), {"usual": [1, 2]}), "usual")
+        lo, hi = settings.conn_prob_bounds(j)
+        rows.append((name, len(axes), group, lo, hi, settings.kernel_bounds(j, KERNEL)[0][1], settings.duration(j)))
+    return spark.createDataFrame(rows, "campaign string, n_axes long, sweep_group string, lo double, hi double, p0_hi double, duration double")
+
+
+def s10_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = detailed(spark, _fixture(spark, sf_dir))
+    lists = [F.array_join(c, ",").alias(c) for c in ("detection_keys", "detection_missing", "topology_missing")]
+    return d.select("campaign", "n_detections", "n_topology", F.size("detection_trees").cast("long").alias("n_trees"), basename(F.col("first_detection")).alias("first"), "verdict", "simtime", "conn_rule", F.col("n_active").cast("long").alias("n_active"), "manifest_version", "theta_width", "n_electrodes", *lists)
 
 
-def j5_launch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers against their orders: run, or why not."""
-    o = _table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    met = _table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return met.select("c_custkey", F.when(F.col("n") > 0, "RUN").otherwise("SKIP: no orders").alias("status"), F.coalesce("n", F.lit(0)).alias("n"))
+def j1_campaign_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections with the one sweep record of their folder and number, every archive opened once."""
+    at = f"{_fixture(spark, sf_dir)}/nations"
+    keys = listed(spark, at).select("topo_dir", "iter_idx")
+    return unique_join(read_detections(spark, at), read_topology(spark, at), ["topo_dir", "iter_idx"], left_keys=keys).select("topo_idx", "iter_idx", F.size("det_t").cast("long").alias("n_spikes"), "d0_conn")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,9 +389,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Query, ...] = (
     g1_bin_counts, g3_dense_grid, w1_gaussian_smooth, w1_dense_traces, g4_mean_rate, w2_windows_disjoint, w2_windows_overlap, w3_window_slices, f3_short_trace_drop,
-    f1_rejected_spikes, j1_unique_join, j1_key_violations, j3_silent_electrode, f5_log_axis_rule, f6_frozen_axes, j7_log_set_drift, p12_label_axes, p13_to_theta, a1_roundtrip,
-    p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index, s5_digest,
-    g13_digest_audit, g12_files_per_group, l2_ordered_limit, u3_missing_keys, j5_launch_status, k1_export_shard, s8_synthetic_source,
+    f1_rejected_spikes, j1_unique_join, j1_key_violations, j1_campaign_join, j3_silent_electrode, f5_log_axis_rule, f6_frozen_axes, j7_log_set_drift, p12_label_axes, p13_to_theta,
+    a1_roundtrip, p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index,
+    s1_detection_scan, s2_topology_scan, s3_settings, s5_digest, s6_registry, s7_config_drift, s8_synthetic_source, s10_inventory, g13_digest_audit, g12_campaign_summary,
+    l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
 )
 
 
@@ -321,7 +411,7 @@ _AXES = "axes AS (" + " UNION ALL ".join(_RANGE.format(c=c, t=t) for t, cs in ((
 
 
 def oracle_sql() -> dict[str, str]:
-    """All but the queries that write shards or draw random records, which tests check instead."""
+    """All but the source that draws records, which a test checks instead."""
     heads = ", ".join("[" + ", ".join(f"{w!r}::DOUBLE" for w in row) + "]" for row in HEAD)
     return {
         "g1_bin_counts": f"WITH {_COUNTS} SELECT * FROM counts",
@@ -340,22 +430,30 @@ def oracle_sql() -> dict[str, str]:
         "f5_log_axis_rule": f"WITH {_AXES} SELECT name, lo, hi, is_log FROM ruled",
         "f6_frozen_axes": f"WITH {_AXES} SELECT name, lo, hi FROM axes WHERE lo = hi",
         "j7_log_set_drift": f"WITH {_AXES}, s AS (SELECT unnest(['l_quantity', 'p_size', 'l_tax', 'decade']) AS name), d AS (SELECT name FROM ruled WHERE is_log) SELECT name AS axis, 'derived' AS only_in FROM (FROM d EXCEPT FROM s) UNION ALL SELECT name, 'stored' FROM (FROM s EXCEPT FROM d)",
-        "p12_label_axes": f"WITH {_AXES}, a AS (SELECT * FROM (VALUES (0, 'p_size'), (1, 'l_discount'), (2, 'l_extendedprice')) v(pos, name)) SELECT pos, name, CASE WHEN is_log THEN 'ln' ELSE 'linear' END AS coord, round(CASE WHEN is_log THEN ln(lo) ELSE lo END, 9) AS lo, round(CASE WHEN is_log THEN ln(hi) ELSE hi END, 9) AS hi FROM a JOIN ruled USING (name) UNION ALL VALUES (3, 'conn_prob', 'linear', 0.1::DOUBLE, 0.6::DOUBLE), (4, 'p0_conn', 'linear', 0.1::DOUBLE, 1.0::DOUBLE)",
+        "p12_label_axes": f"WITH {_AXES}, a AS (SELECT * FROM (VALUES (0, 'p_size'), (1, 'l_discount'), (2, 'l_extendedprice')) v(pos, name)) SELECT pos, name, CASE WHEN is_log THEN 'ln' ELSE 'linear' END AS coord, round(CASE WHEN is_log THEN ln(lo) ELSE lo END, 9) AS lo, round(CASE WHEN is_log THEN ln(hi) ELSE hi END, 9) AS hi FROM a JOIN ruled USING (name) UNION ALL VALUES (3, 'conn_prob', 'linear', 0.1::DOUBLE, 0.6::DOUBLE), (4, 'p0_conn', 'linear', 0.1::DOUBLE, 1.0::DOUBLE), (5, 'd0_conn', 'linear', 50::DOUBLE, 500::DOUBLE), (6, 'beta_conn', 'linear', 0.5::DOUBLE, 3::DOUBLE)",
         "p13_to_theta": "SELECT p_partkey, round(ln(p_size::DOUBLE), 9) AS th_size, round(p_retailprice, 9) AS th_price, round(exp(ln(p_size::DOUBLE)), 9) AS size_back FROM part",
         "a1_roundtrip": f"WITH {_AXES}, e AS (SELECT name, is_log, 'lo' AS edge, lo AS v FROM ruled UNION ALL SELECT name, is_log, 'hi', hi FROM ruled) SELECT name, edge, round(v, 6) AS v, abs(CASE WHEN is_log THEN exp(ln(v)) ELSE v END - v) <= 1e-9 * abs(v) AS holds FROM e",
-        "p3_label_assembly": "SELECT l_orderkey, l_linenumber, round(ln(p_size::DOUBLE), 9) AS th_size, round(ln(l_quantity), 9) AS th_quantity, round(ln(l_extendedprice), 9) AS th_price, round(l_discount + 0.0, 9) AS th_discount, round(l_tax + 0.0, 9) AS th_tax, round(p_retailprice, 9) AS th_retail FROM lineitem JOIN part ON l_partkey = p_partkey",
-        "a4_constant_columns": "SELECT 'size' AS name, min(p_size) = max(p_size) AS constant FROM part UNION ALL SELECT 'price', min(p_retailprice) = max(p_retailprice) FROM part UNION ALL SELECT 'same', true",
+        "p3_label_assembly": "SELECT l_orderkey, l_linenumber, round(ln(p_size::DOUBLE), 9) AS th_size, round(ln(l_quantity), 9) AS th_quantity, round(ln(l_extendedprice), 9) AS th_price, round(l_discount + 0.0, 9) AS th_discount, round(l_tax + 0.0, 9) AS th_tax, 0.5::DOUBLE AS th_p0, round(p_retailprice, 9) AS th_retail, round(l_discount + 0.0, 9) AS th_beta FROM lineitem JOIN part ON l_partkey = p_partkey",
+        "a4_constant_columns": "SELECT 'p_size' AS axis, min(p_size) = max(p_size) AS constant FROM part UNION ALL SELECT 'p_retailprice', min(p_retailprice) = max(p_retailprice) FROM part UNION ALL SELECT 'same', true",
         "a5_box_violations": " UNION ALL ".join(f"SELECT '{c}' AS axis, count(*) FILTER ({c} < {lo}::DOUBLE OR {c} > {hi}::DOUBLE) AS n_outside FROM lineitem" for c, (lo, hi) in BOX.items()),
-        "a6_coord_check": "SELECT p_partkey, p_size FROM part WHERE p_partkey % 97 = 0",
+        "a6_coord_check": "SELECT p_partkey, p_size, 'p_size' AS axes FROM part WHERE p_partkey % 97 = 0",
         "a7_unit_norm": "WITH n AS (SELECT abs(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) - 1) AS off FROM embeddings) SELECT count(*) AS n_rows, count(*) FILTER (off >= 1e-5) AS n_off, max(off) < 1e-5 AS holds FROM n",
         "a9_finite": "SELECT vec_id FROM embeddings WHERE vec_id % 50 IN (0, 1)",
-        "x1_linear_head": f"WITH h AS (SELECT vec_id, list_transform([{heads}], lambda w: list_sum(list_transform(list_zip(embedding, w), lambda p: p[1]::DOUBLE * p[2]))) AS zraw FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(zraw, lambda x: x * x))) AS n FROM h) SELECT vec_id, j::BIGINT AS j, round(zraw[j + 1], 6) AS zraw, round(zraw[j + 1] / n, 6) AS z FROM n, range(0, 8) t(j)",
+        "x1_linear_head": f"WITH h AS (SELECT vec_id, list_transform([{heads}], lambda w: list_sum(list_transform(list_zip(embedding, w), lambda p: p[1]::DOUBLE * p[2]))) AS zraw FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(zraw, lambda x: x * x))) AS n FROM h) SELECT vec_id, j::BIGINT AS j, round(zraw[j + 1]::FLOAT::DOUBLE, 6) AS zraw, round((zraw[j + 1] / n)::FLOAT::DOUBLE, 6) AS z FROM n, range(0, 8) t(j)",
         "p2_flatten": "SELECT vec_id, " + ", ".join(f"embedding[{j + 1}]::DOUBLE AS z_{j:03d}" for j in range(64)) + " FROM embeddings",
         "p1_trailing_index": r"SELECT page_id, list_last(string_split(url, '/')) AS name, coalesce(list_last(regexp_extract_all(list_last(string_split(url, '/')), '\d+'))::BIGINT, -1) AS idx FROM pages",
         "s5_digest": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
-        "g13_digest_audit": "SELECT sha256(text) AS sha256, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1",
-        "g12_files_per_group": "SELECT regexp_extract(url, '://([^/]+)', 1) AS host, count(*) AS n, min(url) AS first_url FROM pages GROUP BY 1",
-        "l2_ordered_limit": "SELECT event_id::VARCHAR AS name, user_id FROM events ORDER BY name LIMIT 100",
+        "g13_digest_audit": "SELECT sha256(text) AS sha256, count(*) AS n_shards, min(doc_id::VARCHAR) AS first_path FROM documents GROUP BY 1",
+        "g12_campaign_summary": "SELECT regexp_extract(url, '://([^/]+)', 1) AS campaign, count(*) FILTER (page_id % 4 = 0) AS n_detections, min(url) FILTER (page_id % 4 = 0) AS first_detection, count(DISTINCT regexp_replace(url, '/[^/]*$', '')) FILTER (page_id % 4 = 0) AS n_trees, count(*) FILTER (page_id % 4 = 1) AS n_topology, min(url) FILTER (page_id % 4 = 1) AS first_topology, min(url) FILTER (page_id % 4 = 2) AS manifest, CASE WHEN n_detections > 0 AND n_topology > 0 THEN 'READY' WHEN n_detections > 0 THEN 'BLOCKED: no sweep output' WHEN n_topology > 0 THEN 'BLOCKED: no detections' ELSE 'BLOCKED: neither detections nor sweep output' END AS verdict FROM pages GROUP BY 1",
+        "l2_ordered_limit": "SELECT event_id::VARCHAR AS path, user_id FROM events ORDER BY path LIMIT 100",
         "u3_missing_keys": "WITH u AS (SELECT DISTINCT user_id FROM events), r AS (SELECT user_id, unnest([" + ", ".join(f"'{t}'" for t in TYPES) + "]) AS t FROM u), m AS (FROM r EXCEPT SELECT user_id, event_type FROM events WHERE epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') < 604800000000) SELECT user_id, coalesce(string_agg(t, ',' ORDER BY t), '') AS missing FROM u LEFT JOIN m USING (user_id) GROUP BY 1",
-        "j5_launch_status": "WITH o AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) SELECT c_custkey, CASE WHEN n > 0 THEN 'RUN' ELSE 'SKIP: no orders' END AS status, coalesce(n, 0) AS n FROM customer LEFT JOIN o ON c_custkey = o_custkey",
+        "j5_launch_plan": "WITH o AS (SELECT o_custkey, count(*) FILTER (o_totalprice > 300000) AS n FROM orders GROUP BY 1), r AS (SELECT c_custkey, c_mktsegment, CASE WHEN NOT c_acctbal > 0 THEN 'no detections' WHEN o_custkey IS NULL THEN 'no sweep tree of that name' WHEN n = 0 THEN 'no sweep output' ELSE '' END AS reason FROM customer LEFT JOIN o ON c_custkey = o_custkey) SELECT c_custkey::VARCHAR AS campaign, CASE WHEN reason = '' THEN 'RUN' ELSE 'SKIP' END AS status, reason, c_mktsegment AS tree FROM r",
+        "s1_detection_scan": "SELECT 'topo_' || n_regionkey AS topo_dir, n_regionkey::BIGINT AS topo_idx, n_nationkey::BIGINT AS iter_idx, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 10 ELSE -1 END::BIGINT AS seed_run, 4::BIGINT AS n_electrodes, n_nationkey::BIGINT + 1 AS n_spikes, n_nationkey * 0.25::DOUBLE AS last_t, least(n_nationkey, 3)::BIGINT AS last_ch, 8 + n_nationkey / 2.0::DOUBLE AS last_theta, true AS no_params FROM nation",
+        "s2_topology_scan": "SELECT 'topo_' || n_regionkey AS topo_dir, n_nationkey::BIGINT AS iter_idx, n_nationkey / 100.0::DOUBLE AS conn_prob, 0.5::DOUBLE AS p0_conn, 50.0::DOUBLE + n_nationkey AS d0_conn, CASE WHEN n_nationkey % 5 = 0 THEN -1.0::DOUBLE ELSE n_nationkey / 10.0::DOUBLE END AS beta_conn FROM nation",
+        "s3_settings": "SELECT * FROM (VALUES ('given', 3::BIGINT, 'usual', 0.05::DOUBLE, 0.6::DOUBLE, 1.5::DOUBLE, 12.5::DOUBLE), ('none', 2::BIGINT, 'usual', 0.1::DOUBLE, 0.6::DOUBLE, 1.0::DOUBLE, 180.0::DOUBLE)) v(campaign, n_axes, sweep_group, lo, hi, p0_hi, duration)",
+        "s6_registry": f"WITH {_AXES} SELECT (row_number() OVER (ORDER BY name) - 1)::INTEGER AS axis, name, round(CASE WHEN is_log THEN ln(lo) ELSE lo END, 9) AS lo_theta, round(CASE WHEN is_log THEN ln(hi) ELSE hi END, 9) AS hi_theta, is_log, lo = hi AS is_frozen FROM ruled",
+        "s7_config_drift": "SELECT n_name AS key, CASE WHEN n_regionkey = 3 THEN 'have' WHEN n_nationkey = 0 THEN 'want' END AS only_in FROM nation WHERE (n_regionkey = 3 AND n_nationkey > 0) OR n_regionkey = 2 OR (n_nationkey = 0 AND n_regionkey <> 3)",
+        "s10_inventory": "SELECT 'nations' AS campaign, count(*) AS n_detections, count(*) AS n_topology, 1::BIGINT AS n_trees, min_by('mea_iter_' || lpad(n_nationkey::VARCHAR, 5, '0') || '.npz', n_regionkey * 100 + n_nationkey) AS first, 'READY' AS verdict, 12.5::DOUBLE AS simtime, 'weibull' AS conn_rule, 3::BIGINT AS n_active, '3' AS manifest_version, 9::BIGINT AS theta_width, 4::BIGINT AS n_electrodes, 'det_ch,det_t,electrode_centers' || CASE WHEN min_by(n_nationkey, n_regionkey * 100 + n_nationkey) % 2 = 0 THEN ',seed_run' ELSE '' END || ',theta' AS detection_keys, '' AS detection_missing, CASE WHEN min_by(n_nationkey, n_regionkey * 100 + n_nationkey) % 5 = 0 THEN 'beta_conn' ELSE '' END AS topology_missing FROM nation",
+        "j1_campaign_join": "SELECT n_regionkey::BIGINT AS topo_idx, n_nationkey::BIGINT AS iter_idx, n_nationkey::BIGINT + 1 AS n_spikes, 50.0::DOUBLE + n_nationkey AS d0_conn FROM nation",
+        "k1_export_shard": f"WITH {_RATES}, w AS (SELECT trace_id, s // {WINDOW} AS window_idx, s AS start FROM (SELECT DISTINCT trace_id FROM counts), range(0, {BINS - WINDOW + 1}, {WINDOW}) t(s)), m AS (SELECT trace_id, start, CASE WHEN bin - start < 192 THEN (bin - start) // 4 ELSE 48 + (bin - start - 192) // 3 END AS b, sum((r / {N_E})::FLOAT::DOUBLE) AS total FROM smooth JOIN w USING (trace_id) WHERE bin >= start AND bin < start + {WINDOW} GROUP BY ALL), h AS (SELECT unnest([{heads}]) AS head, unnest(range(0, {len(HEAD)})) AS j) SELECT w.trace_id, window_idx::BIGINT AS window_idx, true AS unit, (SELECT count(*) FROM w) AS n_rows, j::BIGINT AS j, round(coalesce(sum(head[b + 1] * total / CASE WHEN b < 48 THEN 4 ELSE 3 END), 0)::FLOAT::DOUBLE, 5) AS zraw FROM w CROSS JOIN h LEFT JOIN m USING (trace_id, start) GROUP BY ALL",
     }

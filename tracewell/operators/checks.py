@@ -40,6 +40,11 @@ def metrics(shard: DataFrame, spec: LabelSpec | None = None, theta: str = "theta
     return shard.agg(*out).first()
 
 
+def by_axis(m: Row, spec: LabelSpec) -> list[tuple[str, bool, int]]:
+    """Name, whether the column is constant, and number of values outside the box, of every label column."""
+    return [(n, m[f"min_{j}"] == m[f"max_{j}"], m[f"out_{j}"]) for j, n in enumerate(spec.param_names)]
+
+
 def verdict(m: Row, spec: LabelSpec | None, l2_normalize: bool = True, strict_in_box: bool = True) -> tuple[list[str], list[str]]:
     """Names of the constraints that hold, and warnings; raises on the first that does not."""
     held, notes = [], []
@@ -67,10 +72,10 @@ def verdict(m: Row, spec: LabelSpec | None, l2_normalize: bool = True, strict_in
     if flat := [n for n, (lo, hi) in zip(spec.param_names, spec.bounds_theta) if not hi - lo > 0]:
         raise AssertionError(f"A3: bounds without width on {flat}")
     held.append("A3")
-    if constant := [n for j, n in enumerate(spec.param_names) if m[f"min_{j}"] == m[f"max_{j}"]]:
+    if constant := [n for n, same, _ in by_axis(m, spec) if same]:
         raise AssertionError(f"A4: constant label columns {constant}")
     held.append("A4")
-    if outside := {n: m[f"out_{j}"] for j, n in enumerate(spec.param_names) if m[f"out_{j}"]}:
+    if outside := {n: off for n, _, off in by_axis(m, spec) if off}:
         note = f"A5: {sum(outside.values())} label entries lie outside their bounds, by axis {outside}"
         if strict_in_box:
             raise AssertionError(note)

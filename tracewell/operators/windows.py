@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,17 @@ def cut_windows(traces: DataFrame, length: int, stride: int | None = None, trace
     return rows.select(*rest, F.col("window_idx").cast("long").alias("window_idx"), F.col("start").cast("long").alias("start"), xw.alias("xw"))
 
 
+def is_short(traces: DataFrame, length: int, trace: str = "trace") -> Column:
+    """Whether a trace is shorter than a window, and so gives none."""
+    return samples(traces, trace) < length
+
+
+def short_summary(traces: DataFrame, length: int, trace: str = "trace") -> DataFrame:
+    """Number of traces that give windows, and of those that don't."""
+    short = is_short(traces, length, trace)
+    return traces.agg(F.count_if(~short).alias("n_used"), F.count_if(short).alias("n_short"))
+
+
 def window_rows(rates: DataFrame, bins: int, length: int, stride: int | None = None) -> DataFrame:
     """Long form: each (trace_id, bin, ...) row once for every window that holds its bin."""
     stride = check_window(length, stride)

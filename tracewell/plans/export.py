@@ -13,7 +13,7 @@ from tracewell.functions.expr import reassembled
 from tracewell.operators.checks import metrics, verdict
 from tracewell.operators.encoder import EncoderSpec, encode
 from tracewell.operators.labels import LabelSpec
-from tracewell.operators.windows import check_window, cut_windows, samples
+from tracewell.operators.windows import check_window, cut_windows, is_short
 from tracewell.sinks import shard as sink
 from tracewell.sinks.store import Store
 
@@ -71,7 +71,7 @@ def export_embeddings(
     if order_by:
         records = records.orderBy(*order_by)
     seen = Observation("traces")
-    short = samples(records) < encoder.window_length
+    short = is_short(records, encoder.window_length)
     counted = records.observe(seen, F.count("*").alias("n"), F.count_if(short).alias("short"))
     rows = embed_traces(encoder, counted, stride, want_zraw, batch_size)
     if label_spec is not None:

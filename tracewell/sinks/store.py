@@ -43,6 +43,15 @@ class Store:
         if self.exists(target) or not fs.rename(p, self._jvm.org.apache.hadoop.fs.Path(target)):
             raise OSError(f"cannot move {source} to {target}")
 
+    def write_bytes(self, path: str, data: bytes) -> None:
+        """Write a new small file."""
+        fs, p = self._path(path)
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+
     def write_text(self, path: str, text: str) -> None:
         """Write beside the target and move into place, so that readers see all or nothing."""
         fs, p = self._path(path)
