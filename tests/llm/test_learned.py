@@ -239,6 +239,26 @@ def test_proposals_by_labels_that_agree(spark):
     assert red[0] == 'their token = "[SECRET]" here, mail [EMAIL] too' and red[40] == lines[40]
 
 
+def test_classifier_decides_where_all_labelers_abstain(spark):
+    """Account numbers after "membership" get no votes there; their surroundings are learned from rows with votes."""
+    say = lambda i, lead: f"for membership my {lead} {10**9 + 7919 * i} belongs to me"
+    rows = [say(i, "account") for i in range(30)] + [f"see page of version {10**9 + 31 * i} there in print" for i in range(30)]
+    silent = say(77, "thing").replace("my thing", "my own")
+    rows += [silent, f"all in print {10**9 + 77} there"]
+    (kind, a, b), = pii.proposed_spans(silent, [])
+    assert pii.votes(silent, kind, a, b) == "0" * len(pii.LABELERS)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs).collect()}
+    assert all(found[i] for i in range(30)) and not any(found[i] for i in range(30, 60)) and found[60] and not found[61]
+
+
+def test_classifier_of_counted_spans_equals_that_of_repeated_ones():
+    feats, post = [[1, 5], [2, 5], [3]], np.array([0.9, 0.2, 0.6])
+    once = pii.span_classifier(feats, np.array([3.0, 1.0, 2.0]), post)
+    twice = pii.span_classifier([feats[0]] * 3 + [feats[1]] + [feats[2]] * 2, np.ones(6), post[[0, 0, 0, 1, 2, 2]])
+    assert np.allclose(once, twice, atol=1e-6) and once[[1, 5]].sum() > once[[2, 5]].sum()
+
+
 def test_reliabilities_tell_good_labelers_from_bad():
     rng = np.random.default_rng(0)
     truth = rng.random(4_000) < 0.3

@@ -5,10 +5,13 @@ further spans (account numbers, IBANs, national phone numbers, secrets, and what
 span, base or proposed: *regex* (strict shape, length, check digits, character mix), *gazetteer* (words that
 name private fields, words that name harmless numbers) and *context* (assignment or quotes before the span,
 units after it). The votes of the whole corpus are counted by pattern; expectation-maximisation over these
-counts estimates each labeler's reliability and each pattern's posterior; a logistic span classifier is trained
-on the counted patterns with the posteriors as soft labels and decides on the proposed spans. Base spans stay.
+counts estimates each labeler's reliability and each pattern's posterior. A logistic span classifier, which sees
+the span and its surroundings but no votes (kind, length, classes and variety of characters, words and marks on both
+sides, hashed), is trained with the posteriors as soft labels and decides on the proposed spans, those on which all
+labelers abstain included. Base spans stay.
 
-The table of vote patterns is bounded by kinds x 3^labelers whatever the corpus, so it is fitted on the driver.
+The table of vote patterns is bounded by kinds x 3^labelers whatever the corpus, so it is fitted on the driver. The
+classifier is fitted on at most ``MAX_SPANS`` spans, a like number of each kind, chosen by a hash.
 
 Edge cases: a null text counts as empty and has no spans; an empty table or one without any span gives a
 result without added spans; texts of any length are scanned whole; repeated rows give a row each; a null doc_id
@@ -18,7 +21,10 @@ stays null; other columns are not read (``redact`` keeps them as they are).
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -59,7 +65,10 @@ HARMLESS_WORDS = frozenset("version v page pages isbn issn doi fig figure chapte
 _BEFORE_WORDS = re.compile(r"[A-Za-z]+")
 _UNIT = re.compile(r"\s?(?:%|€|\$|£|km|kg|m\b|cm|mm|px|ms\b|°)")
 LABELERS = ("shape", "check", "mix", "private_word", "harmless_word", "assigned", "unit")
-SCHEMA = "doc_id long, base array<struct<kind:int,at:int,upto:int>>, proposed array<struct<kind:int,at:int,upto:int,votes:string>>, seen array<struct<kind:int,votes:string>>"
+SCHEMA = "doc_id long, base array<struct<kind:int,at:int,upto:int>>, proposed array<struct<kind:int,at:int,upto:int,feats:array<int>>>, seen array<struct<kind:int,votes:string,feats:array<int>>>"
+#: Spans that the classifier is fitted on at most, and hashed features.
+MAX_SPANS, DIMS = 8_000, 1_024
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -160,11 +169,51 @@ def votes(text: str, kind: int, a: int, b: int) -> str:
     ))
 
 
+def _shape(span: str) -> str:
+    """Classes of the characters, each run once, the first eight: 9 digit, A and a letters, marks as they are."""
+    out = ""
+    for c in span:
+        k = "9" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
+        if out[-1:] != k:
+            out += k
+            if len(out) == 8:
+                break
+    return out
+
+
+def features(text: str, kind: int, a: int, b: int) -> list[int]:
+    """Places of the features of a span and its surroundings."""
+    span, name = text[a:b], KINDS[kind]
+    before, after = text[max(0, a - 40) : a], text[b : b + 24]
+    if a > 40:  # the first word may be cut
+        before = before[before.find(" ") + 1 :]
+    words = [w.lower() for w in _WORD.findall(before)][-3:][::-1]
+    following = [w.lower() for w in _WORD.findall(after)][:1]
+    n, letters = len(span), Counter(span)
+    entropy = -sum(c / n * math.log2(c / n) for c in letters.values())
+    share = lambda test: int(4 * sum(c for x, c in letters.items() if test(x)) / n)
+    found = [
+        f"kind {name}",
+        f"length {name} {min(n, 64) // 4}",
+        f"shape {name} {_shape(span)}",
+        f"digits {name} {share(str.isdigit)}",
+        f"upper {share(str.isupper)}",
+        f"entropy {name} {int(2 * entropy)}",
+        f"left {before.rstrip()[-1:]}",
+        f"right {after.lstrip()[:1]}",
+        *(f"before{i} {w}" for i, w in enumerate(words)),
+        *(f"near {w}" for w in words),
+        *(f"after {w}" for w in following),
+    ]
+    return sorted({zlib.crc32(f.encode()) % DIMS for f in found})
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """A row of SCHEMA for each row: base spans, proposed spans with their votes, and the votes on all spans."""
+    """A row of SCHEMA for each row: base spans, proposed spans with their features, and votes and features of all."""
     span = pa.struct([("kind", pa.int32()), ("at", pa.int32()), ("upto", pa.int32())])
-    voted = pa.struct([*span, ("votes", pa.string())])
-    seen = pa.struct([("kind", pa.int32()), ("votes", pa.string())])
+    places = ("feats", pa.list_(pa.int32()))
+    voted = pa.struct([*span, places])
+    seen = pa.struct([("kind", pa.int32()), ("votes", pa.string()), places])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -172,10 +221,10 @@ def scan(docs: DataFrame) -> DataFrame:
             for t in texts_of(b):
                 base = base_spans(t)
                 more = proposed_spans(t, base)
-                more_votes = [votes(t, *s) for s in more]
+                feats = [features(t, *s) for s in more]
                 columns[0].append([dict(kind=k, at=x, upto=y) for k, x, y in base])
-                columns[1].append([dict(kind=k, at=x, upto=y, votes=v) for (k, x, y), v in zip(more, more_votes)])
-                columns[2].append([dict(kind=s[0], votes=votes(t, *s)) for s in base] + [dict(kind=s[0], votes=v) for s, v in zip(more, more_votes)])
+                columns[1].append([dict(kind=k, at=x, upto=y, feats=f) for (k, x, y), f in zip(more, feats)])
+                columns[2].append([dict(kind=s[0], votes=votes(t, *s), feats=f) for s, f in zip(base + more, [features(t, *s) for s in base] + feats)])
             types = (pa.list_(span), pa.list_(voted), pa.list_(seen))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))], ["doc_id", "base", "proposed", "seen"])
 
@@ -203,37 +252,51 @@ def reliabilities(counts: np.ndarray, patterns: np.ndarray, rounds: int = 50) ->
     return post, table
 
 
-def _features(kinds: np.ndarray, patterns: np.ndarray) -> np.ndarray:
-    return np.hstack([np.eye(len(KINDS))[kinds], (patterns == 2), (patterns == 0), np.ones((len(kinds), 1))]).astype(float)
-
-
-def span_classifier(kinds: np.ndarray, patterns: np.ndarray, counts: np.ndarray, post: np.ndarray, rounds: int = 25) -> np.ndarray:
-    """Weights of a ridge-penalised logistic regression on soft labels, by Newton steps."""
-    x, w = _features(kinds, patterns), np.zeros(len(KINDS) + 2 * patterns.shape[1] + 1)
-    counts = counts / counts.sum() * min(counts.sum(), 10_000)
+def span_classifier(feats: list[list[int]], counts: np.ndarray, post: np.ndarray, rounds: int = 25) -> np.ndarray:
+    """Weights (the last is the bias) of a ridge-penalised logistic regression on soft labels, by Newton steps."""
+    x, w = np.zeros((len(feats), DIMS + 1)), np.zeros(DIMS + 1)
+    for row, places in zip(x, feats):
+        row[places] = 1
+    x[:, -1] = 1
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (counts * (p - post)) + 0.1 * w
-        hess = (x * (counts * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        grad = x.T @ (counts * (p - post)) + w
+        hess = (x * (counts * p * (1 - p))[:, None]).T @ x + np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    return w
+    return np.round(w, 9)
 
 
-def fit(scanned: DataFrame) -> dict[tuple[int, str], float]:
-    """Probability of being private for each (kind, votes) in the corpus. The counts cover all spans."""
-    rows = scanned.select(F.explode("seen").alias("s")).groupBy("s.kind", "s.votes").count().collect()
-    rows = sorted((r["kind"], r["votes"], r["count"]) for r in rows)
+def fit(scanned: DataFrame, max_spans: int = MAX_SPANS) -> np.ndarray | None:
+    """Weights of the span classifier, None where there is nothing to learn from. Votes are counted over all spans; the
+    spans on which all labelers abstain say nothing and are left out of the classifier's sample."""
+    spans = scanned.select(F.explode("seen").alias("s")).select("s.*")
+    rows = sorted((r["kind"], r["votes"], r["count"]) for r in spans.groupBy("kind", "votes").count().collect())
     if not rows:
-        return {}
-    kinds, counts = np.array([r[0] for r in rows]), np.array([r[2] for r in rows], float)
+        return None
+    counts = np.array([r[2] for r in rows], float)
     patterns = np.array([["-0+".index(v) for v in r[1]] for r in rows])
     post, _ = reliabilities(counts, patterns)
-    w = span_classifier(kinds, patterns, counts, post)
-    p = 1 / (1 + np.exp(-_features(kinds, patterns) @ w))
-    return {(r[0], r[1]): float(x) for r, x in zip(rows, p)}
+    of = {(r[0], r[1]): float(p) for r, p in zip(rows, post)}
+    silent = "0" * len(LABELERS)
+    each = {k: sum(n for kind, v, n in rows if kind == k and v != silent) for k in range(len(KINDS))}
+    share = max(1, max_spans // len(KINDS))
+    # like spans count together before the sample, whose bound is the number of different ones
+    like = spans.filter(F.col("votes") != silent).groupBy("kind", "votes", "feats").agg(F.count("*").alias("n"))
+    h = F.xxhash64("kind", "votes", "feats")
+    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in each.items() for x in (k, min(1.0, share / max(n, 1)))]), F.col("kind"))
+    chosen = like.filter(F.shiftrightunsigned(h, 11) / float(1 << 53) < F.greatest(rate, F.lit(0.0))).orderBy(h, "kind", "votes", "feats").limit(max_spans).collect()
+    if not chosen:
+        return None
+    weights = np.array([min(r["n"], share) for r in chosen], float)
+    return span_classifier([r["feats"] for r in chosen], weights / weights.sum() * min(weights.sum(), 10_000), np.array([of[r["kind"], r["votes"]] for r in chosen]))
+
+
+def private(weights: np.ndarray | None, feats: list[int], threshold: float = THRESHOLD) -> bool:
+    """Whether the classifier takes a span for personal data."""
+    return weights is not None and 1 / (1 + math.exp(-max(-30.0, min(30.0, float(weights[feats].sum() + weights[-1]))))) >= threshold
 
 
 def _rendered(spans: list[tuple[int, int, int]]) -> str:
@@ -243,14 +306,14 @@ def _rendered(spans: list[tuple[int, int, int]]) -> str:
 def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, counts and digest of the base spans, and all spans ("kind:start:end", by kind and start)."""
     scanned = materialize(scan(docs), "pii-scan")
-    chosen = {k for k, p in fit(scanned).items() if p >= threshold}
+    weights = fit(scanned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             rows = []
             for base, more in zip(b.column("base").to_pylist(), b.column("proposed").to_pylist()):
                 spans = [(s["kind"], s["at"], s["upto"]) for s in base]
-                added = [(s["kind"], s["at"], s["upto"]) for s in more if (s["kind"], s["votes"]) in chosen]
+                added = [(s["kind"], s["at"], s["upto"]) for s in more if private(weights, s["feats"], threshold)]
                 n = [sum(k == i for k, _, _ in spans) for i in range(len(BASE))]
                 rows.append((*n, hashlib.sha256(_rendered(spans).encode()).hexdigest(), _rendered(spans + added)))
             columns = list(zip(*rows)) if rows else [[]] * 6
@@ -276,11 +339,11 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 def redact(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with personal data replaced in ``text`` (and ``n_chars`` set anew where there is one)."""
     scanned = materialize(scan(docs).select("doc_id", "seen"), "pii-seen")
-    chosen = {k for k, p in fit(scanned).items() if p >= threshold}
+    weights = fit(scanned)
 
     def clean(t: str) -> str:
         base = base_spans(t)
-        more = [s for s in proposed_spans(t, base) if (s[0], votes(t, *s)) in chosen]
+        more = [s for s in proposed_spans(t, base) if private(weights, features(t, *s), threshold)]
         return redacted(t, base + more) if base or more else t
 
     return map_text(docs, clean)
