@@ -1,5 +1,9 @@
 """Quality rules, licences and URL filters against SQL and small cases."""
 
+import os
+import random
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,7 +68,29 @@ def test_licences_whatever_their_form(spark):
 
 def test_licence_digests_are_distinct(spark):
     d = license_scan.digests(spark).collect()
-    assert len({r["digest"] for r in d}) == len(d) and {r["license"] for r in d} == set(license_scan.NAMES) | set(license_scan.TEXTS)
+    assert len({r["digest"] for r in d}) == len(d) and {r["license"] for r in d} == set(license_scan.NAMES) | set(license_scan.TEXTS) | set(license_scan.DIGESTS)
+    known = [r["known"].lower() for r in license_scan.registry(spark).collect() if "\n" not in r["known"]]
+    assert all(any(c in k for c in license_scan.CUES) for k in known)
+
+
+@pytest.mark.parametrize("width", [50, 72, 80])
+def test_wrapped_licences(spark, width):
+    wrap = lambda t: "\n\n".join(textwrap.fill(p, width) for p in t.split("\n\n"))
+    bsd = license_scan.BSD_HEAD + license_scan.BSD_NAME + license_scan.BSD_TAIL
+    texts = {
+        "MIT": "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + wrap(license_scan.MIT),
+        "BSD-3-Clause": "Copyright 2019, The Authors.\nAll rights reserved.\n\n" + wrap(bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")),
+        "ISC": "Copyright (C) 2001 by Someone\n\n" + wrap(license_scan.TEXTS["ISC"][0]),
+    }
+    rows = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    assert [r["license"] for r in license_scan.scan(rows).orderBy("doc_id").collect()] == list(texts)
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no licence texts on this machine")
+def test_long_licences(spark):
+    at = {"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    rows = [(i, open(f"/usr/share/common-licenses/{f}").read()) for i, f in enumerate(at.values())]
+    assert [r["license"] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()] == list(at)
 
 
 def test_licences_of_awkward_rows(spark):
@@ -101,6 +127,28 @@ def test_longest_key_decides_and_block_wins_ties(spark):
     assert decided(spark, captures, entries) == {(1, "allow", "a", "ok.big.example"), (2, "block", "b", "big.example"), (3, "block", "d", "tie.example")}
 
 
+@pytest.mark.parametrize("per_task", [3, 65_536])
+def test_url_filter_against_brute_force(spark, per_task):
+    rng = random.Random(6)
+    hosts = ["a.example", "w.a.example", "b.w.a.example", "example", "[2001:db8::1]", "10.0.0.1", "0.0.1", "other.org"]
+    day = lambda n: f"2024-01-{n:02d}"
+    entries = [(rng.choice("xyz"), rng.choice(["block", "allow"]), rng.choice(hosts), rng.choice(["add", "add", "remove"]), day(rng.randint(1, 20))) for _ in range(60)]
+    captures = [(i, f"http://{rng.choice(hosts)}/p", day(rng.randint(1, 22))) for i in range(150)] + [(7, "http://a.example/" + "x" * 100_000, day(5)), (None, "http://[2001:db8::1]:80/", day(9))]
+    want = []
+    for page, url, at in captures:
+        name, best = url.split("://")[1].split("/")[0].replace(":80", ""), None
+        for li, kind, key in {e[:3] for e in entries}:
+            own = sorted({(e[4], e[3]) for e in entries if e[:3] == (li, kind, key) and e[4] <= at}, key=lambda e: (e[0], e[1]))
+            by_suffix = name == key or not name.replace(".", "").isdigit() and name.endswith("." + key)
+            if own and own[-1][1] == "add" and by_suffix:
+                best = max(best or (0,), (len(key), kind == "block", li, key, own[-1][0]))
+        want.append((page, "block" if best and best[1] else "allow", best and best[2], best and best[3]))
+    c = spark.createDataFrame([(*x, "clash", 1) for x in captures], "page_id long, url string, fetched_at string, key string, row int").withColumn("fetched_at", F.to_timestamp("fetched_at"))
+    e = spark.createDataFrame(entries, ENTRIES.replace("timestamp", "string")).withColumn("at", F.to_timestamp("at"))
+    got = [(r["page_id"], r["verdict"], r["list"], r["key"]) for r in url_filter.decide(c, e, per_task).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len({x[1:] for x in want}) > 5
+
+
 def test_url_filter_empty_sides(spark):
     one = [(1, "http://a.example", "2024-01-01"), (1, "http://a.example", "2024-01-01")]
     assert decided(spark, one, []) == {(1, "allow", None, None)} and decided(spark, [], [("a", "block", "a.example", "add", "2024-01-01")]) == set()

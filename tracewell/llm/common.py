@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: The fold that no model learns from.
 FOLDS, HELD_OUT = 4, 2
+#: Folders that ``materialize`` has written and ``release`` is to delete.
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,12 +33,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: lineage is cut there, and a lost
-    executor costs no more than a reread. The folder is left for the cluster's clean-up of its checkpoints."""
+    executor costs no more than a reread. The folder stays until ``release``."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *more: str) -> None:
+    """Delete what ``materialize`` has written so far in this process, and further paths: to be called when the results
+    that read it have been written."""
+    paths = [*_made, *more]
+    _made.clear()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

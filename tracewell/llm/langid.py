@@ -2,13 +2,16 @@
 
 Texts become hashed counts of letter 1-, 2- and 3-grams (square roots, unit length). A first level of linear
 support vector machines tells language families apart; within the family, one-versus-one machines separate the
-languages, by votes and then by margins. All machines are squared-hinge SVMs, trained by accelerated gradient
-steps on a bounded sample: at most ``max_rows`` labelled texts in all, an equal share for each language, chosen by
-a hash of the id and never from the held-out fold. Only ``text`` is an input of a prediction.
+languages, by votes and then by margins. Languages without a listed family are put into families of at most
+``FAMILY_SIZE`` that lie near each other. All machines are squared-hinge SVMs, each trained in a task by accelerated
+gradient steps on a bounded sample that all tasks share: at most ``max_rows`` labelled texts in all, an equal share for
+each language, chosen by a hash of the id and never from the held-out fold. Only ``text`` is an input of a prediction.
+
+A value of ``lang`` counts as a language if it marks ``MIN_SHARE`` of the labelled rows or more, so that dirty values
+are not learned; with more than ``max_rows / MIN_EACH`` languages the most frequent ones are, which bounds the sample.
 
 Edge cases: null and empty texts and texts without a letter are ``und`` with score 0; with one learned language
-all others get it with score 1; without any, all are ``und``; languages without a listed family are families of
-their own; texts of any length are read whole; repeated rows give a row each; rows with null ids or null
+all others get it with score 1; without any, all are ``und``; texts of any length are read whole; repeated rows give a row each; rows with null ids or null
 languages teach nothing; an empty table gives an empty result; other columns are not read.
 """
 
@@ -20,12 +23,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, small, texts_of
 
 MAX_ROWS, BITS, RIDGE, STEPS, SALTS = 2_400, 12, 1e-4, 300, 8
+#: Least share of the labelled rows, and of sample rows, of a language; languages of an unlisted family.
+MIN_SHARE, MIN_EACH, FAMILY_SIZE = 1e-4, 4, 12
 # Families of common languages.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af lb fy yi".split(),
@@ -110,25 +115,73 @@ def _elect(pairs: list[tuple[int, int]], weights: np.ndarray, x: np.ndarray, n:
     return best, float(1 / (1 + np.exp(-3.0 * closest)))
 
 
-def _machines(x: np.ndarray, classes: np.ndarray, n: int) -> tuple[list[tuple[int, int]], np.ndarray]:
-    pairs, weights = list(combinations(range(n), 2)), []
-    for a, b in pairs:
-        own = (classes == a) | (classes == b)
-        weights.append(svm(x[own], np.where(classes[own] == a, 1, -1).astype(x.dtype)))
-    return pairs, np.array(weights)
+def grouped(langs: list[str], centroids: dict[str, np.ndarray]) -> list[list[str]]:
+    """Families: the listed ones, and of the other languages the first by name with those nearest to it, again and again."""
+    family_of = {la: f for f, members in FAMILIES.items() for la in members}
+    listed: dict[str, list[str]] = {}
+    rest = []
+    for la in sorted(langs):
+        family = family_of.get(la.split("-")[0].lower())
+        if family is None:
+            rest.append(la)
+        else:
+            listed.setdefault(family, []).append(la)
+    out = [listed[f] for f in sorted(listed)]
+    while rest:
+        near = sorted(rest[1:], key=lambda la: (-round(float(centroids[la] @ centroids[rest[0]]), 6), la))
+        # a pair of very unlike languages is better told apart between families
+        own = [rest[0], *[la for la in near[: FAMILY_SIZE - 1] if len(rest) > FAMILY_SIZE]]
+        out.append(sorted(own))
+        rest = [la for la in rest if la not in own]
+    return out
+
+
+def _machines(spark: SparkSession, x: np.ndarray, levels: list[np.ndarray]) -> list[tuple[list[tuple[int, int]], np.ndarray]]:
+    """For each level (classes of the rows, -1 for none) all pairs of its classes and their machines. The sample is
+    broadcast, its size is bounded; each machine is trained in a task."""
+    pairs = [(k, a, b) for k, classes in enumerate(levels) for a, b in combinations(range(int(classes.max(initial=-1)) + 1), 2)]
+    shared = spark.sparkContext.broadcast((x, levels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, levels = shared.value
+        for batch in batches:
+            rows = batch.to_pylist()
+            made = []
+            for r in rows:
+                classes = levels[r["level"]]
+                own = (classes == r["a"]) | (classes == r["b"])
+                made.append(svm(x[own], np.where(classes[own] == r["a"], 1, -1).astype(x.dtype)).astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "w": pa.array(made, pa.binary())})
+
+    weights: dict[int, bytes] = {}
+    if pairs:
+        todo = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "id int, level int, a int, b int").repartition(min(len(pairs), 256), "id")
+        weights = {r["id"]: r["w"] for r in todo.mapInArrow(run, "id int, w binary").collect()}
+    out = []
+    for k in range(len(levels)):
+        of = [(i, p[1:]) for i, p in enumerate(pairs) if p[0] == k]
+        out.append(([p for _, p in of], np.array([np.frombuffer(weights[i], np.float32) for i, _ in of])))
+    shared.destroy()
+    return out
 
 
 def training_rows(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """text and lang of at most max_rows documents, evenly by language, first by a hash of the id. A language is ranked
     in salted parts first, so that no task meets more than SALTS shares of it."""
     known = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id"))).select("doc_id", "lang")
-    share = max(1, max_rows // max(1, known.select("lang").distinct().count()))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))
+    most = max(1, max_rows // MIN_EACH)
+    least = (sizes.agg(F.sum("rows")).first()[0] or 0) * MIN_SHARE
+    langs = [r["lang"] for r in sizes.filter(F.col("rows") >= least).orderBy(F.desc("rows"), "lang").limit(most).collect()]
+    share = max_rows // max(1, len(langs))
+    known = known.join(F.broadcast(docs.sparkSession.createDataFrame([(la,) for la in langs], "lang string")), "lang")
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     salted = known.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)))
     first = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("r") <= share)
     last = first.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("r") <= share)
     ids = last.select("doc_id", F.col("lang").alias("l")).distinct()
-    return docs.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").filter("lang = l").select("doc_id", "text", "lang")
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").filter("lang = l").select("doc_id", "text", "lang")
+    return rows.orderBy(*order, F.xxhash64("text")).limit(max_rows)  # ids that repeat with other texts must not pass the bound
 
 
 def learn(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
@@ -148,22 +201,22 @@ def learn(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
     raw = sorted(zip(got["doc_id"].to_pylist(), got["lang"].to_pylist(), got["x"].to_pylist()))
     x = np.frombuffer(b"".join(r[2] for r in raw), np.float32).reshape(len(raw), -1)
     langs = [r[1] for r in raw]
-    family_of = {la: f for f, members in FAMILIES.items() for la in members}
-    grouped: dict[str, list[str]] = {}
-    for la in sorted(set(langs)):
-        grouped.setdefault(family_of.get(la.split("-")[0].lower(), f"~{la}"), []).append(la)
-    families = [grouped[f] for f in sorted(grouped)]
+    centroids = {la: x[[i for i, own in enumerate(langs) if own == la]].mean(0) for la in set(langs)}
+    families = grouped(sorted(set(langs)), centroids)
     place = {la: (i, j) for i, members in enumerate(families) for j, la in enumerate(members)}
     at = np.array([place[la] for la in langs])
-    within = [_machines(x[at[:, 0] == i], at[at[:, 0] == i, 1], len(members)) for i, members in enumerate(families)]
-    return Model(families, _machines(x, at[:, 0], len(families)), within)
+    levels = [at[:, 0], *[np.where(at[:, 0] == i, at[:, 1], -1) for i in range(len(families))]]
+    between, *within = _machines(docs.sparkSession, x, levels)
+    return Model(families, between, within)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, lang_pred and score for every row of ``docs``."""
+    """doc_id, lang_pred and score for every row of ``docs``. The model is broadcast; its size is bounded by the number
+    of learned languages."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_letter = letters()
+        is_letter, model = letters(), shared.value
         for b in small(batches):
             found = [(UNKNOWN, 0.0) if model is None or (f := features(t, is_letter)) is None else model.predict(f) for t in texts_of(b)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["doc_id", "lang_pred", "score"])

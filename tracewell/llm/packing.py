@@ -92,13 +92,13 @@ def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, shard_items: int = S
     """Rows of SCHEMA: each piece's words [start, start + n_words) of its document, and its place [offset, ...) in a
     bin of the given capacity."""
     lengths = sorted(lengths)
-    items = materialize(pieces(docs, lengths[-1]), "packing-pieces")
+    items = materialize(pieces(docs, lengths[-1]).withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
     some = items.filter("n_words > 0")
     shards = max(1, -(-some.count() // shard_items))
-    dealt = some.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(shards)))
+    dealt = some.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards)))
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["n_words", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+        g = g.sort_values(["n_words", "doc_id", "piece", "row"], ascending=[False, True, True, True], kind="stable")
         bins, offsets, final = pack_shard(g["n_words"].to_numpy(np.int64), lengths)
         return pd.DataFrame({"doc_id": g["doc_id"], "piece": g["piece"], "start": g["start"], "n_words": g["n_words"], "bin": [f"{key[0]}-{b}" for b in bins], "capacity": final, "offset": offsets})
 

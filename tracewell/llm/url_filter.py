@@ -1,19 +1,22 @@
 """URL filters by a temporal list join.
 
 Dated list entries (add or remove a key at a time) become validity intervals: an addition holds until the next
-entry of the same list and key. Every capture is decided against the entries that are active at its fetch time, by
-an as-of join: an equality on the key (one of the capture's host suffixes) and the interval that holds the time.
-Of the active entries the one with the longest key decides; at equal length ``block`` wins over ``allow``.
+entry of the same list and key. Every capture is decided against the entries that are active at its fetch time. Of the
+active entries the one with the longest key decides; at equal length ``block`` wins over ``allow``.
 
-The join is an equality join on salted keys: captures of a host are spread over ``salts`` values and the few
-entries of a key are repeated for each, so that a host with a third of all captures meets no single task. Then
-each capture is decided by one grouped maximum, combined before the shuffle.
+Each key's intervals become a timeline: at every time at which one begins or ends, the entry that decides from then on.
+Captures meet the timelines by an as-of join: both are put together, sorted by time within a key, and each capture
+takes the last entry of the timeline before it; no capture is ever paired with more than one entry of a key. Keys with
+more than ``PER_TASK`` captures are dealt over several values of a salt, for each of which their timeline (small, it
+holds entries only) is repeated, so that a host with a third of all captures meets no single task. Captures none of
+whose host suffixes is listed are passed by a sieve of fixed size.
 
 Edge cases: captures with a null or host-less url, or a null time, match nothing and are allowed; entries with a
 null key, time or action are ignored; entries of one list and key at the same time count as one, a removal first;
 an addition that repeats just starts a new interval; keys match in lower case, without a leading or trailing dot;
-repeated captures give a row each; empty tables on either side give the captures as allowed, or no row; other
-columns of the captures are not read.
+hosts that are IP addresses (version 6 in brackets) match as a whole only; urls of any length are read whole;
+repeated captures give a row each; empty tables on either side give the captures as allowed, or no row; other columns
+of the captures, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -21,9 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
-#: The host of an absolute http(s) URL, without user and port.
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+from .common import materialize, sieve
+
+#: Captures of a key that one task sorts.
+PER_TASK = 65_536
+#: The host of an absolute URL, without user and port; an address in brackets is a host.
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[0-9A-Fa-f:.]+\]|[^/?#:@\[\]]+)"
+ADDRESS = r"^(\[.*\]|[0-9.]+)$"
 
 
 def host(url: Column) -> Column:
@@ -33,10 +40,10 @@ def host(url: Column) -> Column:
 
 
 def suffixes(h: Column) -> Column:
-    """The host and its parent domains: a.b.c, b.c, c."""
+    """The host and its parent domains: a.b.c, b.c, c; of an address itself alone."""
     labels = F.split(h, r"\.")
     n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    return F.when(h.rlike(ADDRESS), F.array(h)).otherwise(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), ".")))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -48,17 +55,37 @@ def intervals(entries: DataFrame) -> DataFrame:
     return once.withColumn("valid_to", F.lead("at").over(w)).filter("action = 'add'").select("list", "kind", "key", F.col("at").alias("valid_from"), "valid_to")
 
 
-def decide(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> DataFrame:
+def timelines(entries: DataFrame) -> DataFrame:
+    """key, at and entry: from ``at`` on, until the key's next row, ``entry`` decides (null: none is active). What is
+    joined here is the entries of a key with the times of that key, not captures."""
+    held = intervals(entries)
+    times = held.select(F.col("key").alias("of"), F.explode(F.array("valid_from", "valid_to")).alias("time")).filter("time IS NOT NULL").distinct()
+    active = (F.col("of") == F.col("key")) & (F.col("valid_from") <= F.col("time")) & (F.col("valid_to").isNull() | (F.col("time") < F.col("valid_to")))
+    entry = F.struct((F.col("kind") == "block").alias("block"), "list", "valid_from")
+    met = times.join(held, active, "left").select(F.col("of").alias("key"), F.col("time").alias("at"), F.when(F.col("valid_from").isNotNull(), entry).alias("entry"))
+    return met.groupBy("key", "at").agg(F.max("entry").alias("entry"))
+
+
+def decide(captures: DataFrame, entries: DataFrame, per_task: int = PER_TASK) -> DataFrame:
     """page_id, host, fetched_at, verdict (block or allow), and the deciding list, key and valid_from, for captures
     (page_id, url, fetched_at) against entries (list, kind block or allow, key, action, at)."""
-    rows = captures.select("page_id", host(F.col("url")).alias("host"), "fetched_at").withColumn("row", F.monotonically_increasing_id())
-    keyed = rows.withColumn("key", F.explode_outer(F.when(F.col("fetched_at").isNotNull(), suffixes(F.col("host"))))).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
-    listed = intervals(entries).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    active = (keyed["key"] == listed["key"]) & (keyed["salt"] == listed["salt"]) & (listed["valid_from"] <= keyed["fetched_at"]) & (listed["valid_to"].isNull() | (keyed["fetched_at"] < listed["valid_to"]))
-    entry = F.struct(F.length(listed["key"]).alias("size"), (listed["kind"] == "block").alias("block"), listed["list"].alias("list"), listed["key"].alias("key"), listed["valid_from"].alias("valid_from"))
-    met = keyed.join(listed, active, "left").select("row", "page_id", "host", "fetched_at", F.when(listed["key"].isNotNull(), entry).alias("entry"))
-    best = met.groupBy("row", "page_id", "host", "fetched_at").agg(F.max("entry").alias("e"))
-    return best.select("page_id", "host", "fetched_at", F.when(F.col("e.block"), "block").otherwise("allow").alias("verdict"), F.col("e.list").alias("list"), F.col("e.key").alias("key"), F.col("e.valid_from").alias("valid_from"))
+    rows = captures.select("page_id", host(F.col("url")).alias("host"), "fetched_at")
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "url-captures")
+    line = materialize(timelines(entries), "url-timelines")
+    keyed = rows.filter("fetched_at IS NOT NULL AND host IS NOT NULL").select("row", "fetched_at", F.explode(suffixes(F.col("host"))).alias("key"))
+    keyed = sieve(keyed, line.select("key").distinct()).filter("__hit").drop("__hit")
+    salts = keyed.groupBy("key").agg(F.ceil(F.count("*") / per_task).cast("int").alias("salts"))
+    left = keyed.join(salts, "key").select("key", F.pmod(F.xxhash64("row"), "salts").cast("int").alias("salt"), F.col("fetched_at").alias("at"), "row", F.lit(None).cast(line.schema["entry"].dataType).alias("entry"), F.lit(1).alias("turn"))
+    right = line.join(salts, "key").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "at", F.lit(None).cast("long").alias("row"), "entry", F.lit(0).alias("turn"))
+    # a timeline row without an entry must end the one before it, so the last row is taken and not the last entry
+    here = F.when(F.col("turn") == 0, F.struct("entry"))
+    last = F.last(here, ignorenulls=True).over(Window.partitionBy("key", "salt").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0))
+    asof = left.unionByName(right).withColumn("last", last).filter("turn = 1 AND last.entry IS NOT NULL").select("row", "key", F.col("last.entry").alias("entry"))
+    size = F.length("key").alias("size")
+    best = asof.groupBy("row").agg(F.max(F.struct(size, "entry.block", "entry.list", "key", "entry.valid_from")).alias("e"))
+    best = materialize(best, "url-decided")
+    found = rows.join(best, "row", "left")
+    return found.select("page_id", "host", "fetched_at", F.when(F.col("e.block"), "block").otherwise("allow").alias("verdict"), F.col("e.list").alias("list"), F.col("e.key").alias("key"), F.col("e.valid_from").alias("valid_from"))
 
 
 # The tables have neither fetch times nor lists, so the query derives both by rules that SQL can state as well:
