@@ -1,4 +1,9 @@
-"""Raw documents to packed training sequences: five stages, each written as Parquet and read again."""
+"""Raw documents to packed training sequences: five stages, each written as Parquet and read again.
+
+Edge cases, in all stages: null texts count as empty and stay (toxicity: no match; near duplicates: copies of one
+another; personal data: null; mix: never taken, since they have no word; packing: a row without a bin); null ids, repeated
+rows and further columns, whatever their names, are kept as each operator's module says; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.llm import mixing, packing, pii, simhash_wide, toxicity
-from tracewell.llm.common import shared_dir, table
+from tracewell.llm.common import release, shared_dir, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the ``documents`` of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on the ``documents`` of a folder. When a stage is written, its input and what it had set down on the
+    way are deleted; the last stage's rows stay in the shared folder, for the caller."""
+    docs, before = table(spark, sf_dir, "documents"), ()
     at = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{at}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        release(spark, *before)
+        docs, before = spark.read.parquet(path), (path,)
     return docs
