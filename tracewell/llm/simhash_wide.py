@@ -6,14 +6,16 @@ choices of few bits: a table of b bits, in which a coordinate difference of zero
 brings a pair at the threshold together with a probability of 0.849^b. The choice of b follows the number of rows, so
 that unrelated rows meet ``CELL`` others a table on average, and the number of tables follows from b, so that a pair
 at the threshold meets in some table with a probability of ``RECALL``; pairs that are more similar are missed far less.
-Candidates whose first 64 bits differ by more than ``NEAR`` are discarded (of pairs at the threshold one in 20,000 is),
-and the survivors are verified: two sets are linked only if their exact similarity, from their shingle hashes,
-reaches the threshold.
+Of the rows that meet, those whose first 128 bits differ by more than ``NEAR`` are discarded as pairs (of pairs at the
+threshold one in 70,000 is), and the survivors are verified: two sets are linked only if their exact similarity, from
+their shingle hashes, reaches the threshold.
 
-Rows with equal sets count once. In cells of up to ``dense`` members all pairs are candidates. In larger cells each
-member is first verified against one of them, the leader. Members that are in the leader's component after that are
-connected; the others are compared with all members of the cell, block by block in separate tasks that return a
-spanning forest. So links connect all that the cells bring together, and no cell makes rows by the square.
+Rows with equal sets count once. A cell is read as a sorted stream; its members that are near one another, directly or
+through others, form a part, and the edges of a spanning forest of each part are verified first. Members that verified
+links connect with the part's first member are done; the others are compared with all members of their part, block by
+block in separate tasks, by exact similarity, which return a spanning forest. So links connect all that the cells
+bring together, and no cell makes rows by the square. Cells of over about ``HOT`` members, as a sample of the rows
+tells, are one part with their first member as the root of the forest, so that no task meets a whole one.
 
 Edge cases: words, null, empty and short texts, repeated rows and null ids are as in ``simhash``; empty texts
 are copies of one another.
@@ -38,10 +40,11 @@ SHINGLE, SEED = 5, 42
 #: Words of 64 bits of a fingerprint, and references of a table (distances of up to 31 take five bits, twelve fill a long).
 WORDS, PIVOTS = 8, 12
 BITS = 64 * WORDS
-#: Mean number of unrelated rows in a cell, chance that a pair at the threshold meets, and bits by which the first word may differ.
-CELL, RECALL, NEAR = 16, 0.985, 21
-#: Members of a cell up to which all pairs are candidates, and of a block of a larger cell.
-DENSE, BLOCK = 64, 256
+#: Mean number of unrelated rows in a cell, chance that a pair at the threshold meets, and bits of the first two words
+#: that may differ.
+CELL, RECALL, NEAR = 64, 0.985, 36
+#: Members of a cell that is split, the share of the rows (one in so many) that tells, and members of a block.
+HOT, SAMPLE, BLOCK = 1_024, 16, 256
 _CHUNK = 512
 
 
@@ -90,26 +93,86 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def pivot_tables(distinct: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(cell, fp, n, word) for every set and table: ``cell`` packs the table's number and the distances, over its bits,
-    to the references; ``word`` is the first word of the fingerprint."""
+    """(cell, fp, w0, w1) for every set and table: ``cell`` names the table and the distances, over its bits, to the
+    references; w0 and w1 are the first two words of the fingerprint."""
     rng = np.random.default_rng(SEED)
     masks = np.array([rng.permutation(BITS) < bits for _ in range(tables)])  # of each table, the bits it looks at
     refs = rng.random((tables, PIVOTS, BITS)) < 0.5
     # over a mask the distance to a reference r is the sum of r, plus that of (1 - 2r) x
     steep = (np.where(refs, -1.0, 1.0) * masks[:, None, :]).reshape(-1, BITS).T.astype(np.float32)
     base = (refs & masks[:, None, :]).sum(2).reshape(-1).astype(np.float32)
+    salt = np.array([pivot(3_000 + t) for t in range(tables)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 256):
             raw = np.frombuffer(b"".join(b.column("print").to_pylist()), np.uint8).reshape(b.num_rows, -1)
             x = np.unpackbits(raw, axis=1, bitorder="little").astype(np.float32)
             far = (x @ steep + base).astype(np.int64).reshape(-1, tables, PIVOTS)
-            cells = (far << (5 * np.arange(PIVOTS))).sum(2)
-            words = raw.view("<u8")[:, 0].view(np.int64)
+            cells = ((far << (5 * np.arange(PIVOTS))).sum(2).view(np.uint64) ^ salt) * np.uint64(0x9E3779B97F4A7C15)
+            words = raw.view("<u8")[:, :2].view(np.int64)
             repeat = lambda c: pa.array(np.repeat(np.asarray(c), tables))
-            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(tables, dtype=np.int32), b.num_rows)), pa.array(cells.reshape(-1)), repeat(b.column("fp").to_numpy()), repeat(b.column("n").to_numpy()), repeat(words)], ["table", "cell", "fp", "n", "word"])
+            yield pa.RecordBatch.from_arrays([pa.array(cells.reshape(-1).view(np.int64)), repeat(b.column("fp").to_numpy()), repeat(words[:, 0]), repeat(words[:, 1])], ["cell", "fp", "w0", "w1"])
 
-    return distinct.select("fp", "n", "print").mapInArrow(run, "table int, cell long, fp long, n int, word long")
+    return distinct.select("fp", "print").mapInArrow(run, "cell long, fp long, w0 long, w1 long")
+
+
+def _far(w0: np.ndarray, w1: np.ndarray, i: int) -> np.ndarray:
+    """Bits by which member i differs from all, in two words."""
+    return np.bitwise_count(w0 ^ w0[i]).astype(np.int16) + np.bitwise_count(w1 ^ w1[i])
+
+
+def parts_of(w0: np.ndarray, w1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For members of a cell: the first member of each one's part, and the member from which it was reached (its own
+    place for the first)."""
+    part, up = np.full(len(w0), -1), np.arange(len(w0))
+    for first in range(len(w0)):
+        if part[first] >= 0:
+            continue
+        part[first], todo = first, [first]
+        while todo:
+            i = todo.pop(0)
+            new = np.flatnonzero((part < 0) & (_far(w0, w1, i) <= NEAR))
+            part[new], up[new] = first, i
+            todo += new.tolist()
+    return part, up
+
+
+def met_in_cells(cells: DataFrame) -> DataFrame:
+    """(cell, part, fp, w0, w1, up) of the members of parts of two or more: ``part`` is the fp of the first member, ``up``
+    that of the one it was reached from (null for the first)."""
+
+    def part(group: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...] | None:
+        cell, fp, w0, w1 = (np.concatenate(c) for c in zip(*group))
+        if len(fp) < 2:
+            return None
+        of, up = parts_of(w0.view(np.uint64), w1.view(np.uint64))
+        keep = np.bincount(of, minlength=len(of))[of] > 1
+        return tuple(c[keep] for c in (cell, fp[of], fp, w0, w1, fp[up]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[tuple[np.ndarray, ...]] = []
+
+        def batch(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            cell, part_fp, fp, w0, w1, up = (np.concatenate(c) for c in zip(*found))
+            return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(part_fp), pa.array(fp), pa.array(w0), pa.array(w1), pa.array(up, mask=up == fp)], ["cell", "part", "fp", "w0", "w1", "up"])
+
+        for b in batches:
+            columns = [b.column(n).to_numpy() for n in ("cell", "fp", "w0", "w1")]
+            edges = [0, *(np.flatnonzero(np.diff(columns[0])) + 1).tolist(), b.num_rows]
+            found = []
+            for lo, hi in zip(edges, edges[1:]):
+                piece = tuple(c[lo:hi] for c in columns)
+                if open_ and hi > lo and open_[0][0][0] != piece[0][0]:
+                    found += [x for x in (part(open_),) if x is not None]
+                    open_ = []
+                if hi > lo:
+                    open_.append(piece)
+            if found:
+                yield batch(found)
+        if open_ and (x := part(open_)) is not None:
+            yield batch([x])
+
+    return cells.repartition("cell").sortWithinPartitions("cell", "fp").mapInArrow(run, "cell long, part long, fp long, w0 long, w1 long, up long")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -155,58 +218,58 @@ def _compare(g: pd.DataFrame) -> pd.DataFrame:
 
 
 def _meet(g: pd.DataFrame) -> pd.DataFrame:
-    """The members of two blocks (or of one) whose first words are near that of a member of the other."""
-    words, one = g["word"].to_numpy(np.int64).view(np.uint64), g["lo"].iat[0] == g["hi"].iat[0]
-    right = np.arange(len(g)) if one else np.flatnonzero(g["side"].to_numpy() == 1)
+    """The members of two blocks (or of one) that are near a member of the other."""
+    w0, w1 = (g[c].to_numpy(np.int64).view(np.uint64) for c in ("w0", "w1"))
+    one = g["lo"].iat[0] == g["hi"].iat[0]
+    side = g["side"].to_numpy()
     met = np.zeros(len(g), bool)
-    for i in range(len(g)) if one else np.flatnonzero(g["side"].to_numpy() == 0):
-        near = right[np.bitwise_count(words[right] ^ words[i]) <= NEAR]
-        near = near[near != i]
-        met[near] = True
-        met[i] |= len(near) > 0
-    return g.loc[met, ["table", "cell", "lo", "hi", "side", "fp"]]
+    for i in range(len(g)) if one else np.flatnonzero(side == 0):
+        near = (_far(w0, w1, i) <= NEAR) & (True if one else side == 1)
+        near[i] = False
+        met |= near
+        met[i] |= near.any()
+    return g.loc[met, ["cell", "part", "lo", "hi", "side", "fp"]]
 
 
-def links(docs: DataFrame, distinct: DataFrame, rows: int, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
+def links(docs: DataFrame, distinct: DataFrame, rows: int, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """(a, b): verified links between the sets of ``distinct`` that connect all that meet in cells."""
-    cells = materialize(pivot_tables(distinct, *tables_for(rows)), "wide-cells")
-    shared = materialize(cells.groupBy("table", "cell").agg(F.count("*").alias("count"), F.min("fp").alias("leader")).filter(F.col("count") > dense), "wide-crowded")
-    on = ["table", "cell"]
-    few = cells.join(shared, on, "left_anti")
-    many = materialize(cells.join(shared, on), "wide-many")
-    a, b = few.alias("a"), few.alias("b")
-    lengths = lambda x, y: 5 * F.least(x, y) >= 4 * F.greatest(x, y)
-    near = (F.col("a.fp") < F.col("b.fp")) & lengths(F.col("a.n"), F.col("b.n")) & (F.bit_count(F.col("a.word").bitwiseXOR(F.col("b.word"))) <= NEAR)
-    plain = a.join(b, (F.col("a.table") == F.col("b.table")) & (F.col("a.cell") == F.col("b.cell")) & near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
-    led = many.filter("fp <> leader").select(F.col("leader").alias("a"), F.col("fp").alias("b"))
-    pairs = materialize(plain.unionByName(led).distinct(), "wide-pairs")
-    in_pair = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    sets = materialize(shingle_sets(docs, distinct.join(in_pair, "fp").select(F.col("first.key").alias("key"))), "wide-sets")
+    bits, tables = tables_for(rows)
+    some = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0)
+    crowded = pivot_tables(some, bits, tables).groupBy("cell").count().filter(F.col("count") * SAMPLE >= hot).select(F.col("cell").alias("key"))
+    crowded = materialize(crowded, "wide-crowded")
+    sifted = sieve(pivot_tables(distinct, bits, tables), crowded, "cell")
+    usual = met_in_cells(sifted.filter("NOT __hit").drop("__hit"))
+    held = materialize(sifted.filter("__hit").drop("__hit"), "wide-hot")
+    first = held.groupBy("cell").agg(F.min("fp").alias("part"))
+    split = held.join(first, "cell").withColumn("up", F.when(F.col("fp") != F.col("part"), F.col("part"))).select("cell", "part", "fp", "w0", "w1", "up")
+    met = materialize(usual.unionByName(split), "wide-met")
+
+    pairs = materialize(met.filter("up IS NOT NULL").select(F.least("fp", "up").alias("a"), F.greatest("fp", "up").alias("b")).distinct(), "wide-pairs")
+    sets = materialize(shingle_sets(docs, distinct.join(met.select("fp").distinct(), "fp").select(F.col("first.key").alias("key"))), "wide-sets")
     x, y = (sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"{c}_set")) for c in "ab")
     inter = F.size(F.array_intersect("a_set", "b_set"))
     found = pairs.join(x, "a").join(y, "b").filter(_similar(inter, F.size("a_set"), F.size("b_set"))).select("a", "b")
     found = materialize(found, "wide-links")
-    if many.isEmpty():
-        return found
 
+    on = ["cell", "part"]
     roots = materialize(components(found).distinct(), "wide-first-roots")
-    own = many.join(roots, many.fp == roots.node, "left").select(*on, "fp", "word", "leader", F.coalesce("root", "fp").alias("root"))
-    of_leader = own.filter("fp = leader").select(*on, F.col("root").alias("leader_root"))
-    own = materialize(own.join(of_leader, on).select(*on, "fp", "word", (F.col("root") != F.col("leader_root")).alias("apart")), "wide-apart")
+    own = met.join(roots, met.fp == roots.node, "left").select(*on, "fp", "w0", "w1", F.coalesce("root", "fp").alias("root"))
+    of_first = own.filter("fp = part").select(*on, F.col("root").alias("first_root"))
+    own = materialize(own.join(of_first, on).select(*on, "fp", "w0", "w1", (F.col("root") != F.col("first_root")).alias("apart")), "wide-apart")
     parts = own.groupBy(*on).agg(F.ceil(F.count_if("apart") / block).cast("int").alias("u"), F.ceil(F.count_if(~F.col("apart")) / block).cast("int").alias("k")).filter("u > 0")
     place = lambda n: F.pmod(F.xxhash64("fp"), n).cast("int")
     blocks = own.join(parts, on).withColumn("own", F.when(F.col("apart"), place(F.col("u"))).otherwise(F.col("u") + place(F.col("k"))))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("apart"), F.col("u") + F.col("k")).otherwise(F.col("u")) - 1)))
-    tasks = blocks.select(*on, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "word")
-    met = tasks.groupBy(*on, "lo", "hi").applyInPandas(_meet, "table int, cell long, lo int, hi int, side int, fp long")
-    rest = met.join(sets, "fp").groupBy(*on, "lo", "hi").applyInPandas(_compare, "a long, b long")
+    tasks = blocks.select(*on, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "w0", "w1")
+    near = tasks.groupBy(*on, "lo", "hi").applyInPandas(_meet, "cell long, part long, lo int, hi int, side int, fp long")
+    rest = near.join(sets, "fp").groupBy(*on, "lo", "hi").applyInPandas(_compare, "a long, b long")
     return found.unionByName(rest).distinct()
 
 
-def near_copies(docs: DataFrame, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
+def near_copies(docs: DataFrame, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """doc_id, key, fp, component_id and keeper_key for every row, as ``simhash.near_duplicates`` gives them."""
     prints = materialize(signatures(docs), "wide-prints")
-    return name_components(prints, lambda distinct: links(docs, distinct, prints.count(), dense, block), "n", "print")
+    return name_components(prints, lambda distinct: links(docs, distinct, prints.count(), hot, block), "n", "print")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
