@@ -30,7 +30,7 @@ def test_repeated_words_by_brute_force():
 
 @pytest.mark.parametrize(
     "line,fails",
-    [("A sentence that ends well.", False), ("No end in this line at all", True), ("It stops here. and then goes on", False), ("Home | News | Sport | Mail.", True), ("#### %%%% $$$$ a.", True), ("All rights reserved.", True), ("He said “stop!”", False)],
+    [("A sentence that ends well.", False), ("No end in this line at all", True), ("It stops here. and then goes on", False), ("Home | News | Sport | Mail.", True), ("#### %%%% $$$$ a.", True), ("All rights reserved.", True), ("Alle Rechte vorbehalten.", True), ("Tous droits réservés.", True), ("Lea el aviso legal.", True), ("He said “stop!”", False)],
 )
 def test_line_rules(line, fails):
     assert quality_rules.line_fails(line, quality_rules.chars(line)) is fails

@@ -29,7 +29,13 @@ MIN_WORDS, MAX_REPEATED, WINDOW, MAX_LOST = 10, 20, 5, 30
 SYMBOL_SHARE, MENU_MARKS, SHORT = 10, 3, 200
 MENU = r"[|»›•·]"
 SENTENCE_END = r"[.!?…:;。！？][\x22'”’)\]]*([\x20\x09-\x0D]|$)"
-BOILERPLATE = r"(all rights reserved|cookie|javascript|privacy policy|terms of (use|service)|subscribe|sign (in|up)|log in|click here|read more|skip to (main )?content|powered by|lorem ipsum)"
+#: Stock phrases in English, German, French and Spanish.
+BOILERPLATE = (
+    r"(all rights reserved|cookie|javascript|privacy policy|terms of (use|service)|subscribe|sign (in|up)|log in|click here|read more|skip to (main )?content|powered by|lorem ipsum|newsletter"
+    r"|alle rechte vorbehalten|datenschutzerkl|nutzungsbedingungen|impressum|weiterlesen|jetzt anmelden|zum inhalt springen"
+    r"|tous droits r[ée]serv|politique de confidentialit|conditions d.utilisation|mentions l[ée]gales|lire la suite|se connecter|abonnez-vous"
+    r"|todos los derechos reservados|pol[íi]tica de privacidad|condiciones de uso|aviso legal|leer m[áa]s|iniciar sesi[óo]n|suscr[íi]bete)"
+)
 
 _MENU, _END, _STOCK = re.compile(MENU), re.compile(SENTENCE_END), re.compile(BOILERPLATE)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
