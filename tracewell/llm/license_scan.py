@@ -154,11 +154,12 @@ def scan(docs: DataFrame) -> DataFrame:
     lines = docs.select(text, F.explode(candidate_lines(F.col("text"))).alias("line")).select("key", digest(F.col("line")).alias("digest"))
     found = lines.join(known, "digest").groupBy("key").agg(F.array_sort(F.collect_set("license")).alias("notices"))
     found = materialize(found, "license-notices")
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"), text).join(known, "digest", "left")
-    sifted, none = sieve(whole, found), F.array().cast("array<string>")
-    out = ("doc_id", "digest", "license", "notices")
-    held = sifted.filter("__hit").join(found, "key", "left").withColumn("notices", F.coalesce("notices", none))
-    return sifted.filter("NOT __hit").withColumn("notices", none).select(*out).unionByName(held.select(*out))
+    # split before the digest of the whole text, so that each text is made canonical once
+    sifted = sieve(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text), found)
+    whole, none = digest(F.col("text")).alias("digest"), F.array().cast("array<string>")
+    plain = sifted.filter("NOT __hit").select("doc_id", whole, none.alias("notices"))
+    held = sifted.filter("__hit").select("doc_id", "key", whole).join(found, "key", "left").select("doc_id", "digest", F.coalesce("notices", none).alias("notices"))
+    return plain.unionByName(held).join(known, "digest", "left").select("doc_id", "digest", "license", "notices")
 
 
 def _sql_canonical(text: str) -> str:
