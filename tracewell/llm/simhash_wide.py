@@ -24,6 +24,7 @@ are copies of one another.
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,16 +125,21 @@ def _far(w0: np.ndarray, w1: np.ndarray, i: int) -> np.ndarray:
 def parts_of(w0: np.ndarray, w1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For members of a cell: the first member of each one's part, and the member from which it was reached (its own
     place for the first)."""
-    part, up = np.full(len(w0), -1), np.arange(len(w0))
-    for first in range(len(w0)):
+    n = len(w0)
+    part, up = np.full(n, -1), np.arange(n)
+    if n <= HOT:  # most members of most cells are alone, which one comparison of all with all tells
+        far = np.bitwise_count(w0[:, None] ^ w0).astype(np.int16) + np.bitwise_count(w1[:, None] ^ w1)
+        alone = (far <= NEAR).sum(1) == 1
+        part[alone] = up[alone]
+    for first in range(n):
         if part[first] >= 0:
             continue
-        part[first], todo = first, [first]
+        part[first], todo = first, deque([first])
         while todo:
-            i = todo.pop(0)
+            i = todo.popleft()
             new = np.flatnonzero((part < 0) & (_far(w0, w1, i) <= NEAR))
             part[new], up[new] = first, i
-            todo += new.tolist()
+            todo.extend(new.tolist())
     return part, up
 
 
@@ -256,7 +262,11 @@ def links(docs: DataFrame, distinct: DataFrame, rows: int, hot: int = HOT, block
     own = met.join(roots, met.fp == roots.node, "left").select(*on, "fp", "w0", "w1", F.coalesce("root", "fp").alias("root"))
     of_first = own.filter("fp = part").select(*on, F.col("root").alias("first_root"))
     own = materialize(own.join(of_first, on).select(*on, "fp", "w0", "w1", (F.col("root") != F.col("first_root")).alias("apart")), "wide-apart")
-    parts = own.groupBy(*on).agg(F.ceil(F.count_if("apart") / block).cast("int").alias("u"), F.ceil(F.count_if(~F.col("apart")) / block).cast("int").alias("k")).filter("u > 0")
+    # a part of two has no pair but the verified one; of parts with the same members in several tables one is enough
+    parts = own.groupBy(*on).agg(F.count_if("apart").alias("u"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("members")).filter("u > 0 AND n > 2")
+    parts = parts.groupBy("members", "n").agg(F.min(F.struct(*on, "u")).alias("p"))
+    size = lambda x: F.ceil(x / block).cast("int")
+    parts = parts.select("p.cell", "p.part", size(F.col("p.u")).alias("u"), size(F.col("n") - F.col("p.u")).alias("k"))
     place = lambda n: F.pmod(F.xxhash64("fp"), n).cast("int")
     blocks = own.join(parts, on).withColumn("own", F.when(F.col("apart"), place(F.col("u"))).otherwise(F.col("u") + place(F.col("k"))))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("apart"), F.col("u") + F.col("k")).otherwise(F.col("u")) - 1)))
