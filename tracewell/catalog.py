@@ -141,8 +141,12 @@ def j1_unique_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j1_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    return key_violations(keys, keys.distinct(), ["l_orderkey", "l_linenumber"])
+    """Customers of orders against the customers of one market segment (once) and those without a balance (twice):
+    right-only keys, left-only keys and keys twice on either side all occur."""
+    left = _table(spark, sf_dir, "orders").filter("o_orderkey % 8 = 0").select(F.col("o_custkey").alias("custkey"))
+    customers = _table(spark, sf_dir, "customer")
+    part = lambda c: customers.filter(c).select(F.col("c_custkey").alias("custkey"))
+    return key_violations(left, part("c_mktsegment <> 'BUILDING'").unionByName(part("c_acctbal < 0")), ["custkey"])
 
 
 def j3_silent_electrode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
         "f3_short_trace_drop": f"WITH {_COUNTS}, n AS (SELECT trace_id, max(bin) + 1 AS n FROM counts GROUP BY 1) SELECT count(*) FILTER (n >= 700) AS n_used, count(*) FILTER (n < 700) AS n_short FROM n",
         "f1_rejected_spikes": f"WITH {_SPIKES}, x AS (SELECT *, NOT (us >= 0 AND us < 1728000000000) AS late FROM spikes) SELECT trace_id, count(*) FILTER (late) AS out_of_time, count(*) FILTER (NOT late AND NOT ch BETWEEN 0 AND 3) AS other_channel FROM x GROUP BY 1",
         "j1_unique_join": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT user_id FROM events)",
-        "j1_key_violations": "SELECT l_orderkey, l_linenumber, count(*) AS n_left, 1::BIGINT AS n_right FROM lineitem GROUP BY 1, 2 HAVING count(*) <> 1",
+        "j1_key_violations": "WITH l AS (SELECT o_custkey AS custkey, count(*) AS n FROM orders WHERE o_orderkey % 8 = 0 GROUP BY 1), r AS (SELECT custkey, count(*) AS n FROM (SELECT c_custkey AS custkey FROM customer WHERE c_mktsegment <> 'BUILDING' UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY 1), m AS (SELECT custkey, coalesce(l.n, 0) AS n_left, coalesce(r.n, 0) AS n_right FROM l FULL JOIN r USING (custkey)) SELECT * FROM m WHERE n_left > 1 OR n_right > 1 OR (n_left = 1 AND n_right = 0)",
         "j3_silent_electrode": f"WITH {_SPIKES}, s AS (SELECT trace_id, us // 864000000000 AS window_idx, ch::BIGINT AS ch, count(*) AS n FROM spikes GROUP BY 1, 2, 3) SELECT trace_id, window_idx, ch, coalesce(n, 0) AS n FROM (SELECT DISTINCT trace_id FROM spikes) CROSS JOIN range(0, 3) w(window_idx) CROSS JOIN range(0, 5) c(ch) LEFT JOIN s USING (trace_id, window_idx, ch)",
         "f5_log_axis_rule": f"WITH {_AXES} SELECT name, lo, hi, is_log FROM ruled",
         "f6_frozen_axes": f"WITH {_AXES} SELECT name, lo, hi FROM axes WHERE lo = hi",

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 
 def key_violations(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys of either side with n_left or n_right other than one."""
+    """Keys that ``unique_join`` refuses: twice or more on either side, or on the left without a match. A key that only
+    the right side holds breaks nothing."""
     a = left.groupBy(*on).agg(F.count("*").alias("n_left"))
     b = right.groupBy(*on).agg(F.count("*").alias("n_right"))
     met = a.join(b, list(on), "full_outer").select(*on, *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_left", "n_right")])
-    return met.filter((F.col("n_left") != 1) | (F.col("n_right") != 1))
+    return met.filter("n_left > 1 OR n_right > 1 OR (n_left = 1 AND n_right = 0)")
 
 
 def unique_join(left: DataFrame, right: DataFrame, on: Sequence[str], unique_left: bool = True, left_keys: DataFrame | None = None) -> DataFrame:
