@@ -6,8 +6,12 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +19,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: The fold that no model learns from.
 FOLDS, HELD_OUT = 4, 2
-#: Folders that ``materialize`` has written and ``release`` is to delete.
-_made: list[str] = []
+#: Folders that ``materialize`` has written for the innermost ``workspace``; None outside of any.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,23 +37,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: lineage is cut there, and a lost
-    executor costs no more than a reread. The folder stays until ``release``."""
+    executor costs no more than a reread. The folder belongs to the ``workspace`` around the call; without one it
+    stays, as its reader may be a result that is computed later."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, *more: str) -> None:
-    """Delete what ``materialize`` has written so far in this process, and further paths: to be called when the results
-    that read it have been written."""
-    paths = [*_made, *more]
-    _made.clear()
+def delete(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """What is materialised inside, and only that, is deleted at the end, also after a failure: results that read it must
+    have been written by then. Workspaces of other calls, threads or pipelines are left alone."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        delete(spark, *made)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,6 +90,14 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return ["" if x is None else x for x in batch.column(name).to_pylist()]
 
 
+def text_edges(texts: pa.Array) -> np.ndarray:
+    """Where each text of a string array begins in its buffer of bytes, and where the last one ends."""
+    if not len(texts):
+        return np.zeros(1, np.int64)
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    return np.frombuffer(texts.buffers()[1], width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+
+
 #: Bits of the sieve; 2^26 bits are 8 MB, which bounds what is broadcast.
 SIEVE_BITS = 26
 
@@ -88,3 +111,20 @@ def sieve(rows: DataFrame, wanted: DataFrame, on: str = "key") -> DataFrame:
     byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1, F.lit(False))
     return rows.withColumn("__bucket", F.bitmap_bucket_number(slot(on))).join(F.broadcast(bits), "__bucket", "left").withColumn("__hit", hit).drop("__bucket", "__bits")
+
+
+def bitmap(wanted: Column, of: DataFrame, bits: int = SIEVE_BITS) -> Broadcast:
+    """The sieve for Python tasks: one bit for each value of 2^bits that the low bits of the (well mixed, long) column
+    take. Its size is fixed, so the driver assembles and broadcasts it whatever the number of rows."""
+    slot = of.select((F.pmod(wanted, F.lit(1 << bits)) + 1).alias("slot"))
+    parts = slot.groupBy(F.bitmap_bucket_number("slot").alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("set")).collect()
+    out = np.zeros(max(1, (1 << bits) >> 15) << 12, np.uint8)
+    for r in parts:
+        out[(r["at"] - 1) << 12 : r["at"] << 12] = np.frombuffer(r["set"], np.uint8)
+    return of.sparkSession.sparkContext.broadcast(out)
+
+
+def marked(sieve_bits: np.ndarray, keys: np.ndarray, bits: int = SIEVE_BITS) -> np.ndarray:
+    """False only where a key is for certain none of those that ``bitmap`` has seen."""
+    at = keys.view(np.uint64) & np.uint64((1 << bits) - 1)
+    return (sieve_bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, license_scan, mixing, packing, pii, quality_rules, simhash, topk_search, toxicity, url_filter
+from . import fill_in_middle, langid, license_scan, mixing, packing, pii, quality_rules, simhash, suffix_dedup, topk_search, toxicity, url_filter
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.transform(table(spark, sf_dir, "documents")).drop("output", "restored")
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -72,14 +81,17 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_pii": op9_pii,
         "op10_packing": op10_packing,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_suffix_dedup": op13_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """Learned models, connected components, Newton iterations and best-fit packing have none."""
+    """Learned models, connected components, Newton iterations, best-fit packing and suffix arrays have none."""
     return {
         "op1_license_scan": license_scan.sql(),
         "op2_topk_search": topk_search.SQL,
         "op4_quality_rules": quality_rules.SQL,
         "op5_url_filter": url_filter.SQL,
+        "op12_fill_in_middle": fill_in_middle.SQL,
     }
