@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.llm import mixing, packing, pii, simhash_wide, toxicity
-from tracewell.llm.common import release, shared_dir, table
+from tracewell.llm.common import delete, shared_dir, table, workspace
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,12 +55,17 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the ``documents`` of a folder. When a stage is written, its input and what it had set down on the
-    way are deleted; the last stage's rows stay in the shared folder, for the caller."""
+    way are deleted, and all of it if a stage fails; the last stage's rows stay in the shared folder, for the caller."""
     docs, before = table(spark, sf_dir, "documents"), ()
     at = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{at}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        release(spark, *before)
-        docs, before = spark.read.parquet(path), (path,)
+    try:
+        for k, (name, stage) in enumerate(STAGES):
+            path = f"{at}/{k}-{name}"
+            with workspace(spark):
+                stage(spark, docs, sf_dir).write.parquet(path)
+            delete(spark, *before)
+            docs, before = spark.read.parquet(path), (path,)
+    except BaseException:
+        delete(spark, at)
+        raise
     return docs
