@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fill_in_middle, langid, license_scan, mixing, packing, pii, quality_rules, simhash, suffix_dedup, topk_search, toxicity, url_filter
+from . import fill_in_middle, langid, license_scan, mixing, packing, pii, quality_rules, ranked_search, simhash, suffix_dedup, topk_search, toxicity, url_filter
 from .common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.transform(table(spark, sf_dir, "documents")).drop("output", "restored")
 
@@ -81,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_pii": op9_pii,
         "op10_packing": op10_packing,
+        "op11_ranked_search": op11_ranked_search,
         "op12_fill_in_middle": op12_fill_in_middle,
         "op13_suffix_dedup": op13_suffix_dedup,
     }
@@ -93,5 +98,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_topk_search": topk_search.SQL,
         "op4_quality_rules": quality_rules.SQL,
         "op5_url_filter": url_filter.SQL,
+        "op11_ranked_search": ranked_search.SQL,
         "op12_fill_in_middle": fill_in_middle.SQL,
     }
