@@ -44,7 +44,7 @@ def rows_of(frame):
     """Rows of a pandas frame, columns by name, in a fixed order and comparable across engines."""
 
     def plain(v):
-        if v is None or v != v:
+        if v is None or str(v) == "<NA>" or v != v:
             return "null"
         if isinstance(v, bool) or type(v).__name__ == "bool_":
             return str(bool(v))
