@@ -92,6 +92,19 @@ def test_recall_and_precision_on_whole_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet")
     of = {r["doc_id"]: r["component_id"] for r in simhash_wide.near_copies(docs).collect()}
     assert len(want) >= 10 and sum(of[a] == of[b] for a, b in map(tuple, want)) >= 0.9 * len(want)
+    root = {d: d for d in texts}  # precision: no component joins documents that exact links don't connect
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in [tuple(p) for p in want] + [(a, b) for h in holders.values() for a, b in zip(h, h[1:]) if sets[a] == sets[b]]:
+        root[find(b)] = find(a)
+    exact = {}
+    for d in texts:
+        exact.setdefault(of[d], set()).add(find(d))
+    assert all(len(x) == 1 for x in exact.values())
 
 
 @settings(max_examples=100, deadline=None)

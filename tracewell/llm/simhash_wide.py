@@ -31,10 +31,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sieve, small, texts_of
+from .common import bitmap, marked, materialize, sieve, small, texts_of
 from .simhash import _forest_of, components, keep, name_components, pivot, row_key
 
 SHINGLE, SEED = 5, 42
@@ -93,9 +94,10 @@ def signatures(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, key struct<a:long,b:long>, fp long, n int, print binary")
 
 
-def pivot_tables(distinct: DataFrame, bits: int, tables: int) -> DataFrame:
+def pivot_tables(distinct: DataFrame, bits: int, tables: int, crowded: Broadcast | None = None, hot: bool = False) -> DataFrame:
     """(cell, fp, w0, w1) for every set and table: ``cell`` names the table and the distances, over its bits, to the
-    references; w0 and w1 are the first two words of the fingerprint."""
+    references; w0 and w1 are the first two words of the fingerprint. With a bitmap of crowded cells, only the rows in
+    cells that it marks (``hot``) or doesn't mark."""
     rng = np.random.default_rng(SEED)
     masks = np.array([rng.permutation(BITS) < bits for _ in range(tables)])  # of each table, the bits it looks at
     refs = rng.random((tables, PIVOTS, BITS)) < 0.5
@@ -110,9 +112,13 @@ def pivot_tables(distinct: DataFrame, bits: int, tables: int) -> DataFrame:
             x = np.unpackbits(raw, axis=1, bitorder="little").astype(np.float32)
             far = (x @ steep + base).astype(np.int64).reshape(-1, tables, PIVOTS)
             cells = ((far << (5 * np.arange(PIVOTS))).sum(2).view(np.uint64) ^ salt) * np.uint64(0x9E3779B97F4A7C15)
+            cells = (cells ^ cells >> np.uint64(32)).reshape(-1).view(np.int64)
             words = raw.view("<u8")[:, :2].view(np.int64)
-            repeat = lambda c: pa.array(np.repeat(np.asarray(c), tables))
-            yield pa.RecordBatch.from_arrays([pa.array(cells.reshape(-1).view(np.int64)), repeat(b.column("fp").to_numpy()), repeat(words[:, 0]), repeat(words[:, 1])], ["cell", "fp", "w0", "w1"])
+            at = np.arange(len(cells)) if crowded is None else np.flatnonzero(marked(crowded.value, cells) == hot)
+            if len(at):
+                owner = at // tables
+                columns = cells[at], b.column("fp").to_numpy()[owner], words[owner, 0], words[owner, 1]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "fp", "w0", "w1"])
 
     return distinct.select("fp", "print").mapInArrow(run, "cell long, fp long, w0 long, w1 long")
 
@@ -241,11 +247,9 @@ def links(docs: DataFrame, distinct: DataFrame, rows: int, hot: int = HOT, block
     """(a, b): verified links between the sets of ``distinct`` that connect all that meet in cells."""
     bits, tables = tables_for(rows)
     some = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0)
-    crowded = pivot_tables(some, bits, tables).groupBy("cell").count().filter(F.col("count") * SAMPLE >= hot).select(F.col("cell").alias("key"))
-    crowded = materialize(crowded, "wide-crowded")
-    sifted = sieve(pivot_tables(distinct, bits, tables), crowded, "cell")
-    usual = met_in_cells(sifted.filter("NOT __hit").drop("__hit"))
-    held = materialize(sifted.filter("__hit").drop("__hit"), "wide-hot")
+    crowded = bitmap(F.col("cell"), pivot_tables(some, bits, tables).groupBy("cell").count().filter(F.col("count") * SAMPLE >= hot))
+    usual = met_in_cells(pivot_tables(distinct, bits, tables, crowded))
+    held = materialize(pivot_tables(distinct, bits, tables, crowded, True), "wide-hot")
     first = held.groupBy("cell").agg(F.min("fp").alias("part"))
     split = held.join(first, "cell").withColumn("up", F.when(F.col("fp") != F.col("part"), F.col("part"))).select("cell", "part", "fp", "w0", "w1", "up")
     met = materialize(usual.unionByName(split), "wide-met")

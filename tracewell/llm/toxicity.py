@@ -1,18 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A text is read as clauses of lower-case words. Each word is a terminal of the grammar: an *insult* (a whole word or a
-word beginning) of one of three strengths, a *threat*, a *target*, a *negation* or a *report* (said, quoted ...);
-all else is a filler. Four sequential transducers, each a table of (state, symbol) to (state, symbols out), are
-composed into one by the product of their states:
+word beginning) of one of three strengths, a *threat*, an everyday word that can be either (trash, to beat), a *target*,
+a *link* (are, such a), a *negation* or a *report* (said, quoted ...); all else is a filler. Four sequential
+transducers, each a table of (state, symbol) to (state, symbols out), are composed into one by the product of their
+states:
 
 * *report* marks insults and threats that follow a report word, or stand in a quotation that one opened;
 * *negation* marks those after a negation;
-* *target* marks those near a target, before or after, as addressed, and the other insults as bare;
-* *pile* drops the first bare insult of a text and passes on each one that follows another insult.
+* *target* marks as addressed: insults near a target, before or after; threats with a target soon after; everyday
+  insults that links join to a target, and everyday insults and verbs right before one. Other insults are bare;
+* *pile* passes on a bare insult that follows another insult in its clause (piled), and drops the first of a clause,
+  unless ``SPREAD`` clauses before it had a bare insult that is no everyday word (spread: the text goes on insulting).
 
-The composed machine turns a text into weighted matches: addressed (insults and threats at a target), piled, negated
-and reported ones. A clause ends all marks, quotations included. So a lone insult without a target is no match, and
-a score comes from matched clauses, never from isolated words.
+The composed machine turns a text into weighted matches: addressed, piled, spread, negated and reported ones. A clause
+ends all marks, quotations included. So one or two lone insults without a target match nothing, however strong.
 
 The insult terminals and the weights of the outputs are learned from labelled rows: at most ``max_rows`` of them
 (chosen by a hash, whatever the size of the corpus) and never from the held-out fold. Terminals are words and word
@@ -47,26 +49,31 @@ MIN_TOXIC, MIN_SHARE, MIN_ODDS, MIN_SURE = 4, 0.015, 3.0, 3.2
 STEMS = range(3, 9)
 #: Words of a clause after a negation, on either side of a target, after a report.
 REACH_NEGATION, REACH_TARGET, REACH_REPORT = 3, 4, 8
+#: Words between an attack that needs a target after it and that target, and clauses with a bare insult that don't match.
+REACH_AFTER, SPREAD = {"h": 1, "g": 1, "k": 3}, 2
 #: Weights of the insult terminals i0, i1 and i2, with the least log-odds of each, and of a threat.
 STRENGTHS, LEAST_ODDS, THREAT = (3.0, 5.0, 8.0), (0.0, 4.0, 6.5), 8.0
 
 # Terminals known without labels.
-INSULTS = "idiot moron stupid worthless pathetic disgusting scum loser trash clown imbecile dumbass scumbag".split()
-THREATS = "kill hurt destroy beat shoot stab burn strangle murder umbringen töten tuer frapper matar golpear".split()
-TARGETS = "you your yours u he she they him her them these those du dich dir ihr euch sie tu toi te vous vos usted ustedes ellos ti".split()
+INSULTS = "idiot moron stupid worthless pathetic disgusting scum loser imbecile dumbass scumbag".split()
+THREATS = "kill destroy stab strangle murder umbringen töten tuer matar".split()
+EVERYDAY_INSULTS, EVERYDAY_VERBS = "trash clown garbage pig joke".split(), "hurt beat shoot burn frapper golpear".split()
+LINKS = "are is am be was were a an such another piece of bist ist seid sind ein eine es eres est un una une son".split()
+TARGETS = "you you're your yours u he she they him her them these those du dich dir ihr euch sie tu toi te vous vos usted ustedes ellos ti".split()
 NEGATIONS = "not never no isn't aren't wasn't don't nicht kein keine nie pas jamais ne nunca jamás ni".split()
 REPORTS = "said says say called calls wrote reported quoted claimed alleged sagte nannte dit écrit dijo llamó".split()
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;\n…\"„“”«»]")
 _END = frozenset(".!?;\n…")
 QUOTES = '"„“”«»'
-ATTACKS = ("i0", "i1", "i2", "k")
-#: What the grammar reads: filler, target, negation, report, end of a clause, quotation marks, insults and a threat.
-TERMINALS = ("x", "t", "n", "r", ".", *QUOTES, *ATTACKS)
-OUTPUTS = ("addressed", "piled", "negated", "reported", "rate", "one")
-MATCHES = OUTPUTS[:4]
-DEFAULT_WEIGHTS = np.array([2.4, 1.5, 0.1, 0.2, 0.3, -3.0])
+ATTACKS = ("h", "g", "i0", "i1", "i2", "k")
+#: What the grammar reads: filler, link, target, negation, report, end of a clause, quotation marks, everyday insults and
+#: verbs, insults and a threat.
+TERMINALS = ("x", "l", "t", "n", "r", ".", *QUOTES, *ATTACKS)
+OUTPUTS = ("addressed", "piled", "spread", "negated", "reported", "rate", "one")
+MATCHES = OUTPUTS[:5]
+DEFAULT_WEIGHTS = np.array([2.4, 1.5, 1.0, 0.1, 0.2, 0.3, -3.0])
 #: Clauses of known sense that stand beside the labelled rows, each with this share of their weight.
-PRIOR = (("you idiot", 1), ("we will kill you", 1), ("idiot idiot", 1), ("not you idiot", 0), ("said you idiot", 0), ("said we will kill you", 0), ("never kill you", 0), ("", 0))
+PRIOR = (("you idiot", 1), ("we will kill you", 1), ("idiot idiot", 1), ("idiot. idiot", 0), ("not you idiot", 0), ("said you idiot", 0), ("said we will kill you", 0), ("never kill you", 0), ("", 0))
 PRIOR_SHARE = 0.02
 
 State, Symbol = object, str
@@ -143,37 +150,44 @@ def _negation(reach: int, a: Symbol) -> tuple[int, tuple[Symbol, ...]]:
     return max(reach - 1, 0), ("n" + a if reach and a in ATTACKS else a,)
 
 
-def _target(state: tuple[int, str], a: Symbol) -> tuple[tuple[int, str], tuple[Symbol, ...]]:
-    """State: words for which a target or a waiting attack still holds, and that attack. Puts out a + attack where it
-    is addressed, b + insult where it is bare."""
-    reach, waiting = state
-    lapsed = ("b" + waiting,) if waiting.startswith("i") else ()
+def _target(state: tuple[int, str, bool], a: Symbol) -> tuple[tuple[int, str, bool], tuple[Symbol, ...]]:
+    """State: words for which a target or a waiting attack still holds, that attack, and whether only links stand since
+    the target. Puts out a + attack where it is addressed, b + insult where it is bare; an attack that waits ends the
+    reach of the target before it."""
+    reach, waiting, linked = state
+    lapsed = ("b" + waiting,) if waiting[:1] in ("i", "h") else ()
     if a == ".":
-        return (0, ""), (*lapsed, a)
+        return (0, "", False), (*lapsed, a)
     if a == "t":
-        return (REACH_TARGET, ""), ("a" + waiting,) if waiting else ()
+        return (REACH_TARGET, "", True), ("a" + waiting,) if waiting else ()
     if a in ATTACKS:
-        if reach and not waiting:
-            return (reach - 1, ""), ("a" + a,)
-        return (REACH_TARGET, a), lapsed
-    out = () if a == "x" else (a,)
+        if reach and not waiting and (a[0] == "i" or a == "h" and linked):
+            return (reach - 1, "", False), ("a" + a,)
+        return (REACH_AFTER.get(a, REACH_TARGET), a, False), lapsed
+    out = () if a in ("x", "l") else (a,)
     if reach > 1:
-        return (reach - 1, waiting), out
-    return (0, ""), (*(lapsed if reach else ()), *out)
+        return (reach - 1, waiting, linked and a == "l"), out
+    return (0, "", False), (*(lapsed if reach else ()), *out)
 
 
-def _pile(seen: bool, a: Symbol) -> tuple[bool, tuple[Symbol, ...]]:
-    """State: whether the text had an insult that is neither negated nor reported. Puts out p + insult."""
+def _pile(state: tuple[bool, int], a: Symbol) -> tuple[tuple[bool, int], tuple[Symbol, ...]]:
+    """State: whether the clause had an insult that is neither negated nor reported, and in how many clauses (up to
+    SPREAD) the first one was bare. Puts out p + insult or s + insult."""
+    had, clauses = state
+    if a == ".":
+        return (False, clauses), (a,)
     if a[0] == "b":
-        return True, ("p" + a[1:],) if seen else ()
-    return seen or a[:2] == "ai", (a,)
+        if had or a == "bh":
+            return (True, clauses), ("p" + a[1:],) if had else ()
+        return (True, min(SPREAD, clauses + 1)), ("s" + a[1:],) if clauses == SPREAD else ()
+    return (had or a[:2] in ("ai", "ah"), clauses), (a,)
 
 
 def grammar_machine() -> Transducer:
     """The four transducers composed."""
     machine = Transducer.build((0, ""), _report, TERMINALS)
     marked = [*TERMINALS, *["r" + a for a in ATTACKS]]
-    for start, step in ((0, _negation), ((0, ""), _target), (False, _pile)):
+    for start, step in ((0, _negation), ((0, "", False), _target), ((False, 0), _pile)):
         machine = machine.then(Transducer.build(start, step, marked))
         marked += [c + a for a in ATTACKS for c in "nab" if c + a not in marked]
     return machine
@@ -183,8 +197,8 @@ def _tables() -> tuple[list[int], list[tuple]]:
     """The composed machine by state * symbols + symbol: next state (times symbols), and (output, weight) pairs. A few
     thousand entries, which travel to the tasks with a reader's grammar."""
     machine, width = grammar_machine(), len(TERMINALS)
-    weight = dict(zip(ATTACKS, (*STRENGTHS, THREAT)))
-    output = {"a": 0, "p": 1, "n": 2, "r": 3}
+    weight = dict(zip(ATTACKS, (STRENGTHS[0], THREAT, *STRENGTHS, THREAT)))
+    output = {m[0]: k for k, m in enumerate(MATCHES)}
     size = width * (1 + max(s for s, _ in machine.arcs))
     after, put = [0] * size, [()] * size
     for (state, a), (to, out) in machine.arcs.items():
@@ -218,7 +232,8 @@ class Reader(dict):
         self.words = {w: v for w, v in grammar.insults.items() if not w.endswith("*")}
         self.stems = {w[:-1]: v for w, v in grammar.insults.items() if w.endswith("*")}
         self.sizes = sorted({len(s) for s in self.stems})
-        listed = {"n": NEGATIONS, "t": TARGETS, "r": REPORTS, "k": THREATS, ".": _END}
+        self.everyday = {w: TERMINALS.index(a) for a, words in (("h", EVERYDAY_INSULTS), ("g", EVERYDAY_VERBS)) for w in words}
+        listed = {"l": LINKS, "n": NEGATIONS, "t": TARGETS, "r": REPORTS, "k": THREATS, ".": _END}
         self.fixed = {w: TERMINALS.index(a) for a, words in listed.items() for w in words} | {c: TERMINALS.index(c) for c in QUOTES}
         self.weights = grammar.weights
         self.first_attack, self.end = TERMINALS.index(ATTACKS[0]), TERMINALS.index(".")
@@ -227,13 +242,16 @@ class Reader(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 100_000:
             self.clear()
+        if word in self.everyday:  # whatever has been learned about it
+            self[word] = self.everyday[word]
+            return self[word]
         best = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in self.sizes if len(word) > n)])
-        found = TERMINALS.index(ATTACKS[strength(best)]) if best else self.fixed.get(word.replace("’", "'"), 0)
+        found = TERMINALS.index(f"i{strength(best)}") if best else self.fixed.get(word.replace("’", "'"), 0)
         self[word] = found
         return found
 
     def matches(self, text: str) -> tuple[list[float], int, int]:
-        """Weight of the matches by MATCHES, number of addressed and piled ones, and number of clauses."""
+        """Weight of the matches by MATCHES, number of addressed, piled and spread ones, and number of clauses."""
         marks = [self[w] for w in _TOKEN.findall(text.lower())]
         sums, hits = [0.0] * len(MATCHES), 0
         if max(marks, default=0) < self.first_attack:
@@ -246,7 +264,7 @@ class Reader(dict):
             if put[m]:
                 for k, w in put[m]:
                     sums[k] += w
-                    hits += k < 2
+                    hits += k < 3
         return sums, hits, marks.count(self.end)
 
     def outputs(self, text: str) -> np.ndarray:
