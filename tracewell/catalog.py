@@ -20,19 +20,21 @@ from tracewell.operators.checks import UNIT_TOLERANCE, by_axis, metrics
 from tracewell.operators.encoder import EncoderSpec, LinearHead, config_drift, digest_of, encode
 from tracewell.operators.labels import LabelSpec, assemble_labels, build_label_spec, coord_violations
 from tracewell.operators.registry import Registry, is_log_axis, log_set_drift, roundtrip, with_rules
-from tracewell.operators.smoothing import smooth_rows
+from tracewell.operators.smoothing import segment_windows, smooth_rows, smooth_segments
 from tracewell.operators.traces import traces_from_counts
 from tracewell.operators.unique_join import key_violations, unique_join
 from tracewell.operators.windows import cut_windows, short_summary, window_rows
 from tracewell.plans.audit import digest_audit
 from tracewell.plans.campaign import launch_plan
 from tracewell.plans.export import export_embeddings
+from tracewell.plans.grouped import commit, read_published
 from tracewell.sinks.shard import read_shard
 from tracewell.sinks.store import Store, scratch
 from tracewell.sources import settings
 from tracewell.sources.inventory import detailed, summary
 from tracewell.sources.npz import first_files, lacking, listed, read_detections, read_topology
 from tracewell.sources.synthetic import synthetic_detections
+from tracewell.streaming.windows import streamed_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 TYPES = ("click", "error", "purchase", "signup", "view")
@@ -74,6 +76,39 @@ def w1_gaussian_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return smooth_rows(_counts(spark, sf_dir), BINS, SIGMA_BINS).select("trace_id", "bin", F.round("r", 9).alias("r"))
 
 
+def w1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces cut into segments of 100 bins with halos, smoothed apart."""
+    pieces = smooth_segments(_counts(spark, sf_dir), spikes(spark, sf_dir), BINS, SIGMA_BINS, 100)
+    return pieces.select("trace_id", "start", F.posexplode("rates").alias("k", "r")).filter("r > 0").select("trace_id", (F.col("start") + F.col("k")).alias("bin"), F.round("r", 9).alias("r"))
+
+
+def w2_segment_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping windows put together from segments."""
+    w = segment_windows(smooth_segments(_counts(spark, sf_dir), spikes(spark, sf_dir), BINS, SIGMA_BINS, 100), BINS, WINDOW, HOP)
+    return _window_sums(w.withColumn("xw", F.transform("xw", lambda x: x / N_E)))
+
+
+def _window_sums(windows: DataFrame) -> DataFrame:
+    total = F.aggregate("xw", F.lit(0.0), lambda a, x: a + x)
+    return windows.filter(F.array_max("xw") > 0).select("trace_id", "window_idx", "start", F.round(total, 9).alias("total"), F.round(F.array_max("xw"), 9).alias("peak"))
+
+
+def e6_streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream: windows that are final when the last event has come, an hour being the lateness."""
+    table = _table(spark, sf_dir, "events")
+    channel = F.coalesce(*[F.when(F.col("event_type") == t, k) for k, t in enumerate(TYPES)]).cast("long")
+    events = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = events.select("event_id", F.col("user_id").alias("trace_id"), F.col("ts").cast("timestamp").alias("ts"), channel.alias("ch"))
+    found = streamed_windows(events, DURATION, DT, SIGMA_BINS, WINDOW, HOP, N_E, "1 hour", "2024-01-01")
+    at = scratch(spark, "stream")
+    query = found.writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    return _window_sums(spark.read.schema(found.schema).parquet(f"{at}/out"))
+
+
 def g4_mean_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum and peak of the pooled and the per-electrode rate, and their ratio: the number of electrodes."""
     r = _rates(spark, sf_dir).groupBy("trace_id").agg(F.sum("r").alias("pooled"), F.sum("x").alias("mean"), F.max("r").alias("pooled_peak"), F.max("x").alias("mean_peak"))
@@ -99,6 +134,23 @@ def k1_export_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trace_id", "window_idx", unit, F.lit(description["n_rows"]).cast("long").alias("n_rows"), F.posexplode("zraw").alias("j", "v")).select("trace_id", "window_idx", "unit", "n_rows", F.col("j").cast("long").alias("j"), F.round(F.col("v").cast("double"), 5).alias("zraw"))
 
 
+def k1_grouped_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as windows, brands as campaigns with boxes of their own, published together: some have rows with a problem,
+    norms that are off, constant labels or prices outside their box, and are left out. What readers then find."""
+    root, k = scratch(spark, "published"), F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+    parts, size = _table(spark, sf_dir, "part"), F.col("p_size").cast("double")
+    off = F.when(k % 7 == 3, 1.01).otherwise(1.0)
+    z = F.array((F.cos(size) * off).cast("float"), (F.sin(size) * off).cast("float"))
+    problem = F.when((k % 10 == 4) & (F.col("p_partkey") % 5 == 0), F.lit("planted"))
+    rows = parts.select(F.col("p_brand").alias("campaign_id"), F.col("p_partkey").alias("iter_idx"), F.lit(0).cast("long").alias("window_idx"), problem.alias("problem"), z.alias("z"), F.array(F.log(size), F.when(k % 10 == 2, F.lit(1.0)).otherwise(F.col("p_retailprice"))).alias("theta_a"))
+    brands = sorted(r["p_brand"] for r in parts.select("p_brand").distinct().collect())
+    registry = Registry(["size", "price"], ["", ""], [(1.0, 50.0), (0.0, 3_000.0)], [(0.0, 4.0), (0.0, 3_000.0)], list(KERNEL), {})
+    specs = {b: LabelSpec(["size", "price"], ["ln", "linear"], [(0.0, 4.0), (0.0, 1_600.0 if b[-1] == "5" else 3_000.0)], ["", ""], [0, 1], registry) for b in brands}
+    tried = spark.createDataFrame([(r["campaign_id"], r["status"], (r["reason"] or "")[:2]) for r in commit(spark, rows, specs, root, 2, ident_columns=("iter_idx",))], "campaign_id string, status string, reason string")
+    held = read_published(spark, root).groupBy("campaign_id").agg(F.count("*").alias("n_rows"), F.sum("iter_idx").alias("ids"), F.round(F.max("th_price"), 6).alias("top_price"))
+    return tried.join(held, "campaign_id", "left").select("campaign_id", "status", "reason", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "ids", "top_price")])
+
+
 def s8_synthetic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Made-up records over the axes of this catalogue: sizes of what was drawn."""
     made = synthetic_detections(spark, _spec(spark, sf_dir, "c_acctbal", "l_discount", "l_extendedprice"), 32, 20.0)
@@ -396,7 +448,7 @@ QUERIES: tuple[Query, ...] = (
     f1_rejected_spikes, j1_unique_join, j1_key_violations, j1_campaign_join, j3_silent_electrode, f5_log_axis_rule, f6_frozen_axes, j7_log_set_drift, p12_label_axes, p13_to_theta,
     a1_roundtrip, p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index,
     s1_detection_scan, s2_topology_scan, s3_settings, s5_digest, s6_registry, s7_config_drift, s8_synthetic_source, s10_inventory, g13_digest_audit, g12_campaign_summary,
-    l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
+    k1_grouped_publication, w1_segments, w2_segment_windows, e6_streamed_windows, l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
 )
 
 
@@ -425,6 +477,13 @@ def oracle_sql() -> dict[str, str]:
         "g4_mean_rate": f"WITH {_RATES} SELECT trace_id, round(sum(r), 9) AS pooled, round(sum(r / {N_E}), 9) AS mean, round(max(r), 9) AS pooled_peak, round(max(r / {N_E}), 9) AS mean_peak, round(sum(r) / greatest(sum(r / {N_E}), 1e-30), 6) AS ratio FROM smooth GROUP BY 1",
         "w2_windows_disjoint": _WINDOWS.format(stride=WINDOW),
         "w2_windows_overlap": _WINDOWS.format(stride=HOP),
+        "k1_grouped_publication": """WITH p AS (SELECT *, regexp_extract(p_brand, '[0-9]+$')::INT AS k, CASE WHEN regexp_extract(p_brand, '[0-9]+$')::INT % 10 = 2 THEN 1.0 ELSE p_retailprice END AS price FROM part),
+b AS (SELECT p_brand AS campaign_id, count(*) AS n, sum(p_partkey)::BIGINT AS s, max(price) AS top, CASE WHEN bool_or(k % 10 = 4 AND p_partkey % 5 = 0) THEN 'pl' WHEN min(k) % 7 = 3 THEN 'A7'
+    WHEN min(price) = max(price) OR min(p_size) = max(p_size) THEN 'A4' WHEN max(price) > CASE WHEN min(k) % 10 = 5 THEN 1600 ELSE 3000 END THEN 'A5' ELSE '' END AS reason FROM p GROUP BY 1)
+SELECT campaign_id, CASE reason WHEN '' THEN 'PUBLISHED' ELSE 'REJECTED' END AS status, reason, CASE reason WHEN '' THEN n ELSE 0 END AS n_rows, CASE reason WHEN '' THEN s ELSE 0 END AS ids, CASE reason WHEN '' THEN round(top, 6) ELSE 0.0 END AS top_price FROM b""",
+        "w1_segments": f"WITH {_RATES} SELECT trace_id, bin, round(r, 9) AS r FROM smooth",
+        "w2_segment_windows": _WINDOWS.format(stride=HOP),
+        "e6_streamed_windows": f"SELECT w.* FROM ({_WINDOWS.format(stride=HOP)}) w, (SELECT max(us) // 1000 - 3600000 AS mark FROM (SELECT epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') AS us FROM events)) WHERE least(start + {WINDOW + 8}, {BINS}) * 3600000 <= mark",
         "w3_window_slices": "SELECT vec_id, (s // 16)::BIGINT AS window_idx, s::BIGINT AS start, embedding[s + 1]::DOUBLE AS first, embedding[s + 24]::DOUBLE AS last, 24::BIGINT AS length FROM embeddings, range(0, 64, 16) t(s) WHERE s + 24 <= len(embedding)",
         "f3_short_trace_drop": f"WITH {_COUNTS}, n AS (SELECT trace_id, max(bin) + 1 AS n FROM counts GROUP BY 1) SELECT count(*) FILTER (n >= 700) AS n_used, count(*) FILTER (n < 700) AS n_short FROM n",
         "f1_rejected_spikes": f"WITH {_SPIKES}, x AS (SELECT *, NOT (us >= 0 AND us < 1728000000000) AS late FROM spikes) SELECT trace_id, count(*) FILTER (late) AS out_of_time, count(*) FILTER (NOT late AND NOT ch BETWEEN 0 AND 3) AS other_channel FROM x GROUP BY 1",

@@ -22,22 +22,28 @@ def unit_norm(z: Column) -> Column:
     return F.max(F.abs(l2_norm(z) - 1.0))
 
 
-def out_of_box(value: Column, lo: float, hi: float) -> Column:
+def out_of_box(value: Column, lo: Column | float, hi: Column | float) -> Column:
     return F.count_if((value < lo) | (value > hi))
 
 
-def metrics(shard: DataFrame, spec: LabelSpec | None = None, theta: str = "theta_a") -> Row:
-    """Everything the verdict needs, in one pass with a few numbers to the driver."""
+def metric_columns(shard: DataFrame, p: int = 0, box: list[tuple[Column, Column]] | None = None, theta: str = "theta_a") -> list[Column]:
+    """The aggregates that the verdict needs, for a whole table or a group; ``box`` has the bounds of the p axes."""
     out = [F.count("*").alias("n_rows"), F.count_if(~all_finite(F.col("z"))).alias("bad_z"), unit_norm(F.col("z")).alias("off_unit")]
     if "zraw" in shard.columns:
         out.append(F.count_if(~all_finite(F.col("zraw"))).alias("bad_zraw"))
-    if spec is not None:
+    if box is not None:
         out.append(F.count_if(~all_finite(F.col(theta))).alias("bad_theta"))
-        out.append(F.count_if(F.coalesce(F.size(theta), F.lit(-1)) != spec.p).alias("bad_width"))
-        for j, (lo, hi) in enumerate(spec.bounds_theta):
+        out.append(F.count_if(F.coalesce(F.size(theta), F.lit(-1)) != p).alias("bad_width"))
+        for j, (lo, hi) in enumerate(box):
             v = F.get(F.col(theta), F.lit(j))
             out += [F.min(v).alias(f"min_{j}"), F.max(v).alias(f"max_{j}"), out_of_box(v, lo, hi).alias(f"out_{j}")]
-    return shard.agg(*out).first()
+    return out
+
+
+def metrics(shard: DataFrame, spec: LabelSpec | None = None, theta: str = "theta_a") -> Row:
+    """Everything the verdict needs, in one pass with a few numbers to the driver."""
+    box = None if spec is None else [(F.lit(lo), F.lit(hi)) for lo, hi in spec.bounds_theta]
+    return shard.agg(*metric_columns(shard, 0 if spec is None else spec.p, box, theta)).first()
 
 
 def by_axis(m: Row, spec: LabelSpec) -> list[tuple[str, bool, int]]:

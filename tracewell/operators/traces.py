@@ -38,9 +38,10 @@ def rate(times: np.ndarray, channels: np.ndarray, n_electrodes: int, bins: int,
     return (smooth / n_electrodes if per_electrode else smooth).astype(np.float32)
 
 
-def build_traces(detections: DataFrame, duration: float, dt: float = 0.02, sigma_s: float = 0.04, per_electrode: bool = True) -> DataFrame:
-    """``detections`` (det_t, det_ch, n_electrodes, ...) with det_t and det_ch replaced by ``trace``."""
-    bins = grid_bins(duration, dt)
+def build_traces(detections: DataFrame, duration: float | str, dt: float = 0.02, sigma_s: float = 0.04, per_electrode: bool = True) -> DataFrame:
+    """``detections`` (det_t, det_ch, n_electrodes, ...) with det_t and det_ch replaced by ``trace``. The duration is one
+    for all, or the name of the column that has it."""
+    fixed = None if isinstance(duration, str) else grid_bins(duration, dt)
     if sigma_s < 0:
         raise ValueError(f"sigma_s must not be negative, got {sigma_s}")
     kept = [f for f in detections.schema if f.name not in ("det_t", "det_ch")]
@@ -50,7 +51,8 @@ def build_traces(detections: DataFrame, duration: float, dt: float = 0.02, sigma
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             traces = []
-            for t, c, n in zip(b.column("det_t"), b.column("det_ch"), b.column("n_electrodes").to_pylist()):
+            every = [fixed] * b.num_rows if fixed is not None else [grid_bins(d, dt) for d in b.column(duration).to_pylist()]
+            for t, c, n, bins in zip(b.column("det_t"), b.column("det_ch"), b.column("n_electrodes").to_pylist(), every):
                 traces.append(rate(t.values.to_numpy(zero_copy_only=False), c.values.to_numpy(zero_copy_only=False), n, bins, dt, sigma_s, per_electrode))
             columns = [b.column(n) for n in names] + [pa.array(traces, pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays(columns, [*names, "trace"])

@@ -29,10 +29,19 @@ class Store:
         p = self._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self._conf), p
 
+    def qualified(self, path: str) -> str:
+        """The path as Spark's readers name it."""
+        fs, p = self._path(path)
+        return fs.makeQualified(p).toString()
+
     def exists(self, path: str) -> bool:
         fs, p = self._path(path)
         return fs.exists(p)
 
+    def children(self, path: str) -> list[str]:
+        fs, p = self._path(path)
+        return [s.getPath().toString() for s in fs.listStatus(p)] if fs.exists(p) else []
+
     def delete(self, path: str) -> None:
         fs, p = self._path(path)
         fs.delete(p, True)
