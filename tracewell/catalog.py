@@ -19,9 +19,12 @@ from tracewell.operators.binning import bin_counts, channel_counts, dense_grid,
 from tracewell.operators.checks import UNIT_TOLERANCE, by_axis, metrics
 from tracewell.operators.encoder import EncoderSpec, LinearHead, config_drift, digest_of, encode
 from tracewell.operators.labels import LabelSpec, assemble_labels, build_label_spec, coord_violations
+from tracewell.operators.neighbours import nearest
 from tracewell.operators.registry import Registry, is_log_axis, log_set_drift, roundtrip, with_rules
 from tracewell.operators.smoothing import segment_windows, smooth_rows, smooth_segments
+from tracewell.operators.summaries import axis_summary, content_digest, described_axes, merged
 from tracewell.operators.traces import traces_from_counts
+from tracewell.operators.two_sample import kernel_sums, sound_rows, statistic
 from tracewell.operators.unique_join import key_violations, unique_join
 from tracewell.operators.windows import cut_windows, short_summary, window_rows
 from tracewell.plans.audit import digest_audit
@@ -151,6 +154,40 @@ def k1_grouped_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tried.join(held, "campaign_id", "left").select("campaign_id", "status", "reason", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "ids", "top_price")])
 
 
+def a10_content_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of the rows of each shard; return flags are the shards."""
+    rows = _table(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_partkey", "l_linenumber")
+    return content_digest(rows, ["l_returnflag"]).select("l_returnflag", "n_rows", *[F.col(c).cast("string").alias(c) for c in ("sum_a", "sum_b")])
+
+
+def a5_pooled_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of shards (line numbers), written as descriptions, merged without the rows."""
+    own = axis_summary(_table(spark, sf_dir, "lineitem"), BOX, ["l_linenumber"])
+    fields = F.struct("axis", "n", "lo", "hi", "n_outside", "mean", "m2")
+    texts = own.groupBy(F.col("l_linenumber").cast("string").alias("path")).agg(F.to_json(F.struct(F.collect_list(fields).alias("axis_summary"))).alias("text"))
+    return merged(described_axes(texts)).select("axis", "n", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), "n_outside", F.round("mean", 4).alias("mean"), F.round(F.sqrt(F.col("m2") / F.col("n")), 6).alias("deviation"))
+
+
+def e3_nearest_on_sphere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest other embeddings of every one, by angle."""
+    return nearest(_table(spark, sf_dir, "embeddings"), 5).select("id", "rank", "neighbour", F.round("angle", 6).alias("angle"))
+
+
+def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sound_rows(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 3 == 0)
+
+
+def e4_two_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kernel discrepancy between every third embedding and the others."""
+    own = kernel_sums(_samples(spark, sf_dir), 1.0)
+    return own.select("m", "n", *[F.round(c, 5).alias(c) for c in ("xx", "yy", "xy")], F.round(statistic(*[F.col(c) for c in ("xx", "yy", "xy", "m", "n")]), 9).alias("discrepancy"))
+
+
+def e5_permuted_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sums for four relabellings that keep the group sizes."""
+    return kernel_sums(_samples(spark, sf_dir), 1.0, 4).filter("permutation >= 0").select("permutation", *[F.round(c, 5).alias(c) for c in ("xx", "yy", "xy")])
+
+
 def s8_synthetic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Made-up records over the axes of this catalogue: sizes of what was drawn."""
     made = synthetic_detections(spark, _spec(spark, sf_dir, "c_acctbal", "l_discount", "l_extendedprice"), 32, 20.0)
@@ -448,7 +485,7 @@ QUERIES: tuple[Query, ...] = (
     f1_rejected_spikes, j1_unique_join, j1_key_violations, j1_campaign_join, j3_silent_electrode, f5_log_axis_rule, f6_frozen_axes, j7_log_set_drift, p12_label_axes, p13_to_theta,
     a1_roundtrip, p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index,
     s1_detection_scan, s2_topology_scan, s3_settings, s5_digest, s6_registry, s7_config_drift, s8_synthetic_source, s10_inventory, g13_digest_audit, g12_campaign_summary,
-    k1_grouped_publication, w1_segments, w2_segment_windows, e6_streamed_windows, l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
+    a10_content_digest, a5_pooled_axes, e3_nearest_on_sphere, e4_two_sample, e5_permuted_sums, k1_grouped_publication, w1_segments, w2_segment_windows, e6_streamed_windows, l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
 )
 
 
@@ -461,6 +498,8 @@ _COUNTS = f"{_SPIKES}, counts AS (SELECT trace_id, us // 3600000000 AS bin, coun
 _RATES = f"""{_COUNTS}, k0 AS (SELECT j::BIGINT AS j, exp(-0.5 * (j / 2.0) ** 2) AS g FROM range(-8, 9) t(j)), kernel AS (SELECT j, g / (SELECT sum(g) FROM k0) AS w FROM k0),
 virtual AS (SELECT trace_id, unnest([bin, -1 - bin, {2 * BINS - 1} - bin]) AS p, c FROM counts),
 smooth AS (SELECT trace_id, p - j AS bin, sum(c * w) AS r FROM virtual, kernel WHERE p BETWEEN -8 AND {BINS + 7} AND p - j BETWEEN 0 AND {BINS - 1} GROUP BY 1, 2)"""
+_HALF = "sum(('0x' || substr(d, {at}, 15))::BIGINT)::VARCHAR"
+_KERNEL = "e AS (SELECT vec_id, embedding::DOUBLE[] AS v, vec_id % 3 = 0 AS x FROM embeddings), k AS (SELECT a.vec_id AS a, b.vec_id AS b, exp(-pow(list_distance(a.v, b.v), 2) / 2) AS k FROM e a JOIN e b ON a.vec_id <> b.vec_id)"
 _WINDOWS = f"WITH {_RATES}, starts AS (SELECT (s // {{stride}})::BIGINT AS window_idx, s::BIGINT AS start FROM range(0, {BINS - WINDOW + 1}, {{stride}}) t(s)) SELECT trace_id, window_idx, start, round(sum(r / {N_E}), 9) AS total, round(max(r / {N_E}), 9) AS peak FROM smooth JOIN starts ON bin >= start AND bin < start + {WINDOW} GROUP BY ALL"
 _RANGE = "SELECT '{c}' AS name, min({c})::DOUBLE + 0.0 AS lo, max({c})::DOUBLE AS hi FROM {t}"
 _AXES = "axes AS (" + " UNION ALL ".join(_RANGE.format(c=c, t=t) for t, cs in (("lineitem", ("l_quantity", "l_extendedprice", "l_discount", "l_tax")), ("part", ("p_size", "p_retailprice")), ("customer", ("c_acctbal",))) for c in cs) + " UNION ALL VALUES ('frozen', 2.0::DOUBLE, 2.0::DOUBLE), ('decade', 0.1::DOUBLE, 1.0::DOUBLE)), ruled AS (SELECT *, CASE WHEN lo > 0 AND hi > 0 THEN log10(hi / lo) >= 1 ELSE false END AS is_log FROM axes)"
@@ -477,6 +516,11 @@ def oracle_sql() -> dict[str, str]:
         "g4_mean_rate": f"WITH {_RATES} SELECT trace_id, round(sum(r), 9) AS pooled, round(sum(r / {N_E}), 9) AS mean, round(max(r), 9) AS pooled_peak, round(max(r / {N_E}), 9) AS mean_peak, round(sum(r) / greatest(sum(r / {N_E}), 1e-30), 6) AS ratio FROM smooth GROUP BY 1",
         "w2_windows_disjoint": _WINDOWS.format(stride=WINDOW),
         "w2_windows_overlap": _WINDOWS.format(stride=HOP),
+        "a10_content_digest": f"WITH t AS (SELECT l_returnflag, md5(concat(length(a), ':', a, length(b), ':', b, length(c), ':', c)) AS d FROM (SELECT l_returnflag, l_linenumber::VARCHAR AS a, l_orderkey::VARCHAR AS b, l_partkey::VARCHAR AS c FROM lineitem)) SELECT l_returnflag, count(*) AS n_rows, {_HALF.format(at=1)} AS sum_a, {_HALF.format(at=16)} AS sum_b FROM t GROUP BY 1",
+        "a5_pooled_axes": " UNION ALL ".join(f"SELECT '{c}' AS axis, count({c}) AS n, round(min({c})::DOUBLE, 6) AS lo, round(max({c})::DOUBLE, 6) AS hi, count(*) FILTER ({c} < {lo}::DOUBLE OR {c} > {hi}::DOUBLE) AS n_outside, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 6) AS deviation FROM lineitem" for c, (lo, hi) in BOX.items()),
+        "e3_nearest_on_sphere": "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings), p AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, acos(greatest(-1, least(1, list_dot_product(a.v, b.v) / (a.n * b.n)))) AS angle FROM e a JOIN e b ON a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY angle, neighbour)::INTEGER AS rank FROM p) SELECT id, rank, neighbour, round(angle, 6) AS angle FROM r WHERE rank <= 5",
+        "e4_two_sample": f"WITH {_KERNEL}, s AS (SELECT coalesce(sum(k) FILTER (a % 3 = 0 AND b % 3 = 0), 0) AS xx, coalesce(sum(k) FILTER (a % 3 <> 0 AND b % 3 <> 0), 0) AS yy, coalesce(sum(k) FILTER (a % 3 = 0 AND b % 3 <> 0), 0) AS xy FROM k), c AS (SELECT count(*) FILTER (x) AS m, count(*) FILTER (NOT x) AS n FROM e) SELECT m, n, round(xx, 5) AS xx, round(yy, 5) AS yy, round(xy, 5) AS xy, round(xx / (m * (m - 1)) + yy / (n * (n - 1)) - 2 * xy / (m * n), 9) AS discrepancy FROM s, c",
+        "e5_permuted_sums": f"WITH {_KERNEL}, l AS (SELECT s::INTEGER AS permutation, vec_id, row_number() OVER (PARTITION BY s ORDER BY md5(s || ':' || vec_id)) <= (SELECT count(*) FILTER (x) FROM e) AS x FROM e, range(0, 4) t(s)) SELECT l.permutation, round(coalesce(sum(k) FILTER (l.x AND r.x), 0), 5) AS xx, round(coalesce(sum(k) FILTER (NOT l.x AND NOT r.x), 0), 5) AS yy, round(coalesce(sum(k) FILTER (l.x AND NOT r.x), 0), 5) AS xy FROM k JOIN l ON l.vec_id = a JOIN l r ON r.vec_id = b AND r.permutation = l.permutation GROUP BY 1",
         "k1_grouped_publication": """WITH p AS (SELECT *, regexp_extract(p_brand, '[0-9]+$')::INT AS k, CASE WHEN regexp_extract(p_brand, '[0-9]+$')::INT % 10 = 2 THEN 1.0 ELSE p_retailprice END AS price FROM part),
 b AS (SELECT p_brand AS campaign_id, count(*) AS n, sum(p_partkey)::BIGINT AS s, max(price) AS top, CASE WHEN bool_or(k % 10 = 4 AND p_partkey % 5 = 0) THEN 'pl' WHEN min(k) % 7 = 3 THEN 'A7'
     WHEN min(price) = max(price) OR min(p_size) = max(p_size) THEN 'A4' WHEN max(price) > CASE WHEN min(k) % 10 = 5 THEN 1600 ELSE 3000 END THEN 'A5' ELSE '' END AS reason FROM p GROUP BY 1)

@@ -1,12 +1,17 @@
-"""Consistency across shards, from their descriptions: one encoder (A8), and comparable labels and observables (A10)."""
+"""Consistency across shards, from their descriptions: one encoder (A8), and comparable labels and observables (A10); and
+of each shard with its own description, by the digest of its rows."""
 
 from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracewell.operators.summaries import content_digest
+from tracewell.sinks.shard import data_path, read_description
+
 #: Parts of a description that must agree before shards are pooled.
 COMPARED = ("param_names", "coord", "bounds_theta", "embedding", "observable")
 
@@ -42,3 +47,22 @@ def assert_compatible(described: DataFrame) -> None:
     bad = [r.asDict() for r in compatibility(described).filter("n_values > 1").orderBy("part").collect()]
     if bad:
         raise AssertionError(f"A10: shards differ: {json.dumps(bad)}")
+
+
+def content_violations(spark: SparkSession, stems: list[str]) -> list[tuple[str, str]]:
+    """Shards whose rows are not those that their descriptions tell of, with what differs. One pass over each."""
+    out = []
+    for stem in stems:
+        told = read_description(spark, stem).get("content")
+        if told is None:
+            out.append((stem, "the description has no digest of the content"))
+            continue
+        try:
+            r = content_digest(spark.read.parquet(data_path(stem))).first()
+        except AnalysisException as x:  # no file is left, or none that is Parquet
+            out.append((stem, f"the rows can't be read: {x.getCondition()}"))
+            continue
+        have = {"n_rows": r["n_rows"], "sum_a": str(r["sum_a"]), "sum_b": str(r["sum_b"])}
+        if have != told:
+            out.append((stem, f"{have['n_rows']} rows for {told['n_rows']}" if have["n_rows"] != told["n_rows"] else "rows differ"))
+    return out

@@ -13,6 +13,7 @@ from tracewell.functions.expr import reassembled
 from tracewell.operators.checks import metrics, verdict
 from tracewell.operators.encoder import EncoderSpec, encode
 from tracewell.operators.labels import LabelSpec
+from tracewell.operators.summaries import axis_summary, content_digest
 from tracewell.operators.windows import check_window, cut_windows, is_short
 from tracewell.sinks import shard as sink
 from tracewell.sinks.store import Store
@@ -91,7 +92,8 @@ def export_embeddings(
         notes.append(f"{counts['short']} traces are shorter than the window of {encoder.window_length} samples and gave no row")
     notes += more
     notes.append(f"A8 spans shards and is not checked here; compare the digest {encoder.digest} over all shards")
-    n_rows = staged.count()
+    content = content_digest(staged).first()
+    n_rows = content["n_rows"]
     description = {
         "schema_version": sink.SCHEMA_VERSION,
         "n_rows": n_rows,
@@ -102,9 +104,12 @@ def export_embeddings(
         "observable": {**encoder.observable_block(), "pooling": POOLING, "pooling_note": POOLING_NOTE, "spike_source": SPIKE_SOURCE},
         "assertions_passed": sorted(set(held)),
         "warnings": notes,
+        "content": {"n_rows": n_rows, "sum_a": str(content["sum_a"]), "sum_b": str(content["sum_b"])},
     }
     if label_spec is not None:
         description |= {"param_names": label_spec.param_names, "coord": label_spec.coord, "param_units": label_spec.units, "bounds_theta": [list(b) for b in label_spec.bounds_theta], "registry": label_spec.registry_block()}
+        boxes = dict(zip(label_spec.column_names, label_spec.bounds_theta))
+        description["axis_summary"] = [r.asDict() for r in axis_summary(staged, boxes).collect()]
     sink.publish(spark, out_stem, staging, sink.merged(description, extra_sidecar))
     return ExportResult(sink.data_path(out_stem), sink.description_path(out_stem), n_rows, counts["n"] - counts["short"], counts["short"], encoder.embedding_dim, sorted(set(held)), notes)
 
