@@ -223,12 +223,23 @@ def test_many_and_dirty_languages(spark):
     rows += [(10**6 + i, "seldom text", f"dirty{i}") for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
     model = langid.learn(docs, max_rows=1_200)
-    assert langid.training_rows(docs, 1_200).count() <= 1_200 and langid.training_rows(docs, 40).select("lang").distinct().count() <= 10
+    assert langid.training_rows(docs, 1_200).count() <= 1_200 and langid.training_rows(docs, 40).count() == n * langid.MIN_EACH
     assert max(map(len, model.families)) <= langid.FAMILY_SIZE and sum(map(len, model.families)) <= n and len(model.families) <= n / langid.FAMILY_SIZE + langid.FAMILY_SIZE
     got = langid.predict(docs, model).join(docs, "doc_id").filter("lang NOT LIKE 'dirty%'").agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0]
     assert got > 0.9
 
 
+def test_a_rare_language_is_learned(spark):
+    """Eight rows of 100,000, less than one in 10,000."""
+    texts = {"aa": "the house and the street with this", "cc": "das haus und die strasse mit dieser"}
+    often = spark.range(100_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.lit(texts["aa"])).otherwise(F.lit(texts["cc"])).alias("text"), F.when(F.col("id") % 2 == 0, "aa").otherwise("cc").alias("lang"))
+    few = [10**6 + i for i in range(40) if not out_of_fold(10**6 + i)][:8]
+    rare = spark.createDataFrame([(i, f"qaxo wizu kexi qawo zuxi {'zuxo' * (i % 3)}", "zz") for i in few], "doc_id long, text string, lang string")
+    model = langid.learn(often.unionByName(rare))
+    asked = spark.createDataFrame([(1, "wizu qaxo qawo kexi"), (2, "the street and the house"), (3, "die strasse und das haus")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(asked, model).collect()} == {1: "zz", 2: "aa", 3: "cc"}
+
+
 def brute_elect(pairs, margins, n):
     """The class with most wins; of these the one with the largest sum of margins; of these the first."""
     wins = [sum((m >= 0) == (a == c) for (a, b), m in zip(pairs, margins) if c in (a, b)) for c in range(n)]

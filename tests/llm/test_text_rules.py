@@ -149,6 +149,19 @@ def test_url_filter_against_brute_force(spark, per_task):
     assert sorted(got, key=str) == sorted(want, key=str) and len({x[1:] for x in want}) > 5
 
 
+def test_a_key_with_many_entries(spark):
+    """20,000 entries of one host on three lists: a timeline of as many rows, made by one sweep."""
+    start = 1_700_000_000
+    rows = spark.range(20_000).select(F.element_at(F.array(*map(F.lit, ("p", "q", "r"))), (F.col("id") % 3 + 1).cast("int")).alias("list"), F.when(F.col("id") % 3 == 1, "allow").otherwise("block").alias("kind"), F.lit("hot.example").alias("key"), F.when(F.floor(F.col("id") / 3) % 2 == 0, "add").otherwise("remove").alias("action"), F.timestamp_seconds(F.col("id") * 60 + start).alias("at"))
+    line = url_filter.timelines(rows).orderBy("at").collect()
+    assert len(line) == 20_000
+    last = {}
+    for i, r in enumerate(line):
+        last[i % 3] = i if (i // 3) % 2 == 0 else None
+        active = [(j % 3 != 1, "pqr"[j % 3], start + 60 * j) for j in last.values() if j is not None]
+        assert (r["entry"] and (r["entry"]["block"], r["entry"]["list"], int(r["entry"]["valid_from"].timestamp()))) == (max(active) if active else None)
+
+
 def test_url_filter_empty_sides(spark):
     one = [(1, "http://a.example", "2024-01-01"), (1, "http://a.example", "2024-01-01")]
     assert decided(spark, one, []) == {(1, "allow", None, None)} and decided(spark, [], [("a", "block", "a.example", "add", "2024-01-01")]) == set()

@@ -4,11 +4,13 @@ Texts become hashed counts of letter 1-, 2- and 3-grams (square roots, unit leng
 support vector machines tells language families apart; within the family, one-versus-one machines separate the
 languages, by votes and then by margins. Languages without a listed family are put into families of at most
 ``FAMILY_SIZE`` that lie near each other. All machines are squared-hinge SVMs, each trained in a task by accelerated
-gradient steps on a bounded sample that all tasks share: at most ``max_rows`` labelled texts in all, an equal share for
-each language, chosen by a hash of the id and never from the held-out fold. Only ``text`` is an input of a prediction.
+gradient steps on a bounded sample that all tasks share: an equal share of ``max_rows`` labelled texts for each language,
+but ``MIN_EACH`` at least, chosen by a hash of the id and never from the held-out fold. Only ``text`` is an input of a
+prediction.
 
-A value of ``lang`` counts as a language if it marks ``MIN_SHARE`` of the labelled rows or more, so that dirty values
-are not learned; with more than ``max_rows / MIN_EACH`` languages the most frequent ones are, which bounds the sample.
+Every value of ``lang`` that marks ``MIN_EACH`` labelled rows or more is a language, however rare; rarer values are taken
+for dirt. ``MAX_LANGUAGES``, more than there are living languages, bounds what dirty tables could add: beyond it the
+most frequent values are learned. So the sample has at most max_rows or MIN_EACH * MAX_LANGUAGES texts.
 
 Edge cases: null and empty texts and texts without a letter are ``und`` with score 0; with one learned language
 all others get it with score 1; without any, all are ``und``; texts of any length are read whole; repeated rows give a row each; rows with null ids or null
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import held_out, small, texts_of
 
 MAX_ROWS, BITS, RIDGE, STEPS, SALTS = 2_400, 12, 1e-4, 300, 8
-#: Least share of the labelled rows, and of sample rows, of a language; languages of an unlisted family.
-MIN_SHARE, MIN_EACH, FAMILY_SIZE = 1e-4, 4, 12
+#: Least rows of a language, most languages, and languages of an unlisted family.
+MIN_EACH, MAX_LANGUAGES, FAMILY_SIZE = 4, 8_192, 12
 # Families of common languages.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af lb fy yi".split(),
@@ -166,14 +168,12 @@ def _machines(spark: SparkSession, x: np.ndarray, levels: list[np.ndarray]) -> l
 
 
 def training_rows(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text and lang of at most max_rows documents, evenly by language, first by a hash of the id. A language is ranked
-    in salted parts first, so that no task meets more than SALTS shares of it."""
+    """text and lang of max_rows documents at most (or MIN_EACH a language), evenly by language, first by a hash of the
+    id. A language is ranked in salted parts first, so that no task meets more than SALTS shares of it."""
     known = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id"))).select("doc_id", "lang")
     sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))
-    most = max(1, max_rows // MIN_EACH)
-    least = (sizes.agg(F.sum("rows")).first()[0] or 0) * MIN_SHARE
-    langs = [r["lang"] for r in sizes.filter(F.col("rows") >= least).orderBy(F.desc("rows"), "lang").limit(most).collect()]
-    share = max_rows // max(1, len(langs))
+    langs = [r["lang"] for r in sizes.filter(F.col("rows") >= MIN_EACH).orderBy(F.desc("rows"), "lang").limit(MAX_LANGUAGES).collect()]
+    share = max(MIN_EACH, max_rows // max(1, len(langs)))
     known = known.join(F.broadcast(docs.sparkSession.createDataFrame([(la,) for la in langs], "lang string")), "lang")
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     salted = known.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)))
@@ -181,7 +181,7 @@ def training_rows(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     last = first.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("r") <= share)
     ids = last.select("doc_id", F.col("lang").alias("l")).distinct()
     rows = docs.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").filter("lang = l").select("doc_id", "text", "lang")
-    return rows.orderBy(*order, F.xxhash64("text")).limit(max_rows)  # ids that repeat with other texts must not pass the bound
+    return rows.orderBy(*order, F.xxhash64("text")).limit(max(max_rows, share * len(langs)))  # ids that repeat with other texts must not pass the bound
 
 
 def learn(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:

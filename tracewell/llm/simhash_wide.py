@@ -253,6 +253,7 @@ def links(docs: DataFrame, distinct: DataFrame, rows: int, hot: int = HOT, block
     first = held.groupBy("cell").agg(F.min("fp").alias("part"))
     split = held.join(first, "cell").withColumn("up", F.when(F.col("fp") != F.col("part"), F.col("part"))).select("cell", "part", "fp", "w0", "w1", "up")
     met = materialize(usual.unionByName(split), "wide-met")
+    crowded.destroy()
 
     pairs = materialize(met.filter("up IS NOT NULL").select(F.least("fp", "up").alias("a"), F.greatest("fp", "up").alias("b")).distinct(), "wide-pairs")
     sets = materialize(shingle_sets(docs, distinct.join(met.select("fp").distinct(), "fp").select(F.col("first.key").alias("key"))), "wide-sets")

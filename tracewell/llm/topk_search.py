@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,10 +100,9 @@ def _wide(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pass(candidates: DataFrame, rows: np.ndarray, vectors: np.ndarray, floors: np.ndarray, k: int) -> DataFrame:
-    """Each task's k best candidates for each query of one chunk (q: its place in the chunk)."""
-    dims = vectors.shape[1]
-    shared = candidates.sparkSession.sparkContext.broadcast((rows, vectors, floors))
+def _pass(candidates: DataFrame, shared: Broadcast, dims: int, k: int) -> DataFrame:
+    """Each task's k best candidates for each query of one chunk (q: its place in the chunk); ``shared`` has the queries'
+    rows, vectors and floors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, vectors, floors = shared.value
@@ -167,12 +167,16 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, scale: int = SCALE, c
                 continue
             own, matrix = got["row"].to_numpy(), np.array(got["v"].to_pylist(), np.float64)
             floors = np.full(len(own), -np.inf)
-            for r in _first(_pass(sample, own, matrix, floors, k), k).filter(F.col("rank") == k).select("q", "score").collect():
+            early = spark.sparkContext.broadcast((own, matrix, floors))
+            for r in _first(_pass(sample, early, dims, k), k).filter(F.col("rank") == k).select("q", "score").collect():
                 if r["score"] < LONG:
                     floors[r["q"]] = _below(r["score"])
+            early.destroy()
             ids = spark.createDataFrame(list(enumerate(got["vec_id"].to_pylist())), "q long, query_id long")
-            found = _first(_pass(alike, own, matrix, floors, k), k).join(F.broadcast(ids), "q").select("query_id", "rank", "vec_id", "score")
+            late = spark.sparkContext.broadcast((own, matrix, floors))
+            found = _first(_pass(alike, late, dims, k), k).join(F.broadcast(ids), "q").select("query_id", "rank", "vec_id", "score")
             result = result.unionByName(materialize(found, "topk-found"))
+            late.destroy()  # executors hold one chunk of queries at a time
     return result
 
 

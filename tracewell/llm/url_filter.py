@@ -4,7 +4,8 @@ Dated list entries (add or remove a key at a time) become validity intervals: an
 entry of the same list and key. Every capture is decided against the entries that are active at its fetch time. Of the
 active entries the one with the longest key decides; at equal length ``block`` wins over ``allow``.
 
-Each key's intervals become a timeline: at every time at which one begins or ends, the entry that decides from then on.
+Each key's intervals become a timeline by a sweep over their begins and ends: at every time at which one begins or ends,
+the entry that decides from then on.
 Captures meet the timelines by an as-of join: both are put together, sorted by time within a key, and each capture
 takes the last entry of the timeline before it; no capture is ever paired with more than one entry of a key. Keys with
 more than ``PER_TASK`` captures are dealt over several values of a salt, for each of which their timeline (small, it
@@ -21,6 +22,10 @@ of the captures, whatever their names, are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,14 +61,47 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def timelines(entries: DataFrame) -> DataFrame:
-    """key, at and entry: from ``at`` on, until the key's next row, ``entry`` decides (null: none is active). What is
-    joined here is the entries of a key with the times of that key, not captures."""
-    held = intervals(entries)
-    times = held.select(F.col("key").alias("of"), F.explode(F.array("valid_from", "valid_to")).alias("time")).filter("time IS NOT NULL").distinct()
-    active = (F.col("of") == F.col("key")) & (F.col("valid_from") <= F.col("time")) & (F.col("valid_to").isNull() | (F.col("time") < F.col("valid_to")))
-    entry = F.struct((F.col("kind") == "block").alias("block"), "list", "valid_from")
-    met = times.join(held, active, "left").select(F.col("of").alias("key"), F.col("time").alias("at"), F.when(F.col("valid_from").isNotNull(), entry).alias("entry"))
-    return met.groupBy("key", "at").agg(F.max("entry").alias("entry"))
+    """key, at and entry: from ``at`` on, until the key's next row, ``entry`` decides (null: none is active). The begins
+    and ends of a key's intervals are swept in order of time; a task keeps the entries that are active, one a list and
+    kind, so a key with n entries costs n steps."""
+    held, marks = intervals(entries), F.unix_micros(F.col("at").cast("timestamp"))
+    of = lambda c, begins: held.filter(F.col(c).isNotNull()).select("key", F.col(c).alias("at"), F.lit(begins).alias("begins"), (F.col("kind") == "block").alias("block"), "list", F.col("valid_from").alias("since"))
+    events = of("valid_from", 1).unionByName(of("valid_to", 0)).withColumn("at", marks).withColumn("since", F.unix_micros(F.col("since").cast("timestamp")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, now, active, order = None, None, {}, []  # order: the active (block, list), least first
+
+        def row() -> tuple:
+            return (key, now, *(((*order[-1], active[order[-1]])) if order else (None, None, None)))
+
+        for b in batches:
+            out = []
+            for k, at, begins, block, name, since in zip(*(b.column(c).to_pylist() for c in ("key", "at", "begins", "block", "list", "since"))):
+                if key is not None and (k, at) != (key, now):
+                    out.append(row())
+                if k != key:
+                    active, order = {}, []
+                key, now = k, at
+                place = (block, name or "")
+                if begins:
+                    if place not in active:
+                        insort(order, place)
+                    active[place] = since
+                elif active.get(place) == since:
+                    del active[place]
+                    del order[bisect_left(order, place)]
+            if out:
+                yield made(out)
+        if key is not None:
+            yield made([row()])
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "at", "block", "list", "since"])
+
+    swept = events.repartition("key").sortWithinPartitions("key", "at", "begins").mapInArrow(run, "key string, at long, block boolean, list string, since long")
+    entry = F.struct("block", "list", F.timestamp_micros("since").alias("valid_from"))
+    return swept.select("key", F.timestamp_micros("at").alias("at"), F.when(F.col("since").isNotNull(), entry).alias("entry"))
 
 
 def decide(captures: DataFrame, entries: DataFrame, per_task: int = PER_TASK) -> DataFrame:
