@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small, texts_of
+from .common import materialize, small, texts_of, tidy
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("account", "iban", "national_phone", "secret")
@@ -215,6 +215,7 @@ def scan(docs: DataFrame) -> DataFrame:
     voted = pa.struct([*span, places])
     seen = pa.struct([("kind", pa.int32()), ("votes", pa.string()), places])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             columns: tuple[list, list, list] = ([], [], [])
@@ -308,6 +309,7 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     scanned = materialize(scan(docs), "pii-scan")
     weights = fit(scanned)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             rows = []
@@ -353,6 +355,7 @@ def map_text(docs: DataFrame, change: Callable[[str], str]) -> DataFrame:
     at, size = docs.columns.index("text"), next((i for i, c in enumerate(docs.columns) if c == "n_chars"), None)
     long_type = docs.schema["n_chars"].dataType.simpleString() if size is not None else ""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             texts = [None if t is None else change(t) for t in b.column(at).to_pylist()]

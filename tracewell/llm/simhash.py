@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sieve, small, texts_of
+from .common import materialize, sieve, small, texts_of, tidy
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 SEGMENTS, DENSE = 6, 1_000
@@ -73,6 +73,7 @@ def row_key(docs: DataFrame) -> Column:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, row key and the fingerprint as a (signed) long, one row per row of ``docs``."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             fp = np.array([fingerprint(t, shingle) for t in texts_of(b)], np.uint64).view(np.int64)

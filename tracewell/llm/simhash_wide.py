@@ -35,7 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, marked, materialize, sieve, small, texts_of
+from .common import bitmap, marked, materialize, sieve, small, texts_of, tidy
 from .simhash import _forest_of, components, keep, name_components, pivot, row_key
 
 SHINGLE, SEED = 5, 42
@@ -83,6 +83,7 @@ def tables_for(rows: int) -> tuple[int, int]:
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, row key, fp (the id of the set), n (its size) and print (its fingerprint) of every row."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             sets = [shingles(t) for t in texts_of(b)]
@@ -106,6 +107,7 @@ def pivot_tables(distinct: DataFrame, bits: int, tables: int, crowded: Broadcast
     base = (refs & masks[:, None, :]).sum(2).reshape(-1).astype(np.float32)
     salt = np.array([pivot(3_000 + t) for t in range(tables)], np.uint64)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 256):
             raw = np.frombuffer(b"".join(b.column("print").to_pylist()), np.uint8).reshape(b.num_rows, -1)
@@ -161,6 +163,7 @@ def met_in_cells(cells: DataFrame) -> DataFrame:
         keep = np.bincount(of, minlength=len(of))[of] > 1
         return tuple(c[keep] for c in (cell, fp[of], fp, w0, w1, fp[up]))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: list[tuple[np.ndarray, ...]] = []
 
@@ -190,6 +193,7 @@ def met_in_cells(cells: DataFrame) -> DataFrame:
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """fp and hashes of the rows with the wanted keys (and of a few that share their bit of the sieve), once a set."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 64):
             sets = [shingles(t) for t in texts_of(b)]

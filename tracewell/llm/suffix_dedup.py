@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, marked, materialize, sieve, text_edges
+from .common import bitmap, marked, materialize, sieve, text_edges, tidy
 from .suffix_array import LIMIT, repeated
 
 LENGTH, GRAM = 200, 64
@@ -112,6 +112,7 @@ def spans(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 def anchors(docs: DataFrame) -> DataFrame:
     """key, n: how often each anchor occurs in a batch."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, _, _, starts, ends in spans(b):
@@ -133,6 +134,7 @@ def pieces(docs: DataFrame, repeats: Broadcast) -> DataFrame:
     """The pieces whose anchor the bitmap marks, of each row's text (named a, b); of a text that a task meets more than
     twice, those of the first two rows."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, met = repeats.value, {}
         for batch in batches:
@@ -172,6 +174,7 @@ def halves(off: int, gram: int, data: bytes) -> list[tuple[int, int, int, int]]:
 def halved(rows: DataFrame, crowded: Broadcast) -> DataFrame:
     """The pieces with crowded anchors in two parts each, by longer anchors."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = batch.filter(pa.array(marked(crowded.value, batch.column("key").to_numpy())))
@@ -187,6 +190,7 @@ def halved(rows: DataFrame, crowded: Broadcast) -> DataFrame:
 
 
 def without(distinct: DataFrame, crowded: Broadcast) -> DataFrame:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(~marked(crowded.value, b.column("key").to_numpy())))
@@ -220,6 +224,7 @@ def repeated_runs(distinct: DataFrame) -> DataFrame:
         p, q, lo, hi = zip(*flat)
         return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(q, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["p", "q", "lo", "hi"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
@@ -288,6 +293,7 @@ def merged(runs: np.ndarray) -> np.ndarray:
 
 
 def _cut(rows: DataFrame) -> DataFrame:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, small, texts_of
+from .common import held_out, small, texts_of, tidy
 
 MAX_ROWS, THRESHOLD = 8_000, 0.3
 #: A learned terminal's least count and share of toxic texts, least log-odds, and least log-odds over their error.
@@ -291,6 +291,7 @@ def learned_terms(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[str, floa
     """Words and beginnings that stand in toxic texts for certain more often than in others, with their log-odds. What
     is collected is bounded by the rows: each term stands in ``MIN_SHARE`` of the toxic texts at least."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
         found = (Counter(), Counter())
@@ -350,6 +351,7 @@ def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
     as likely as a clean one."""
     grammar = Grammar(insults, DEFAULT_WEIGHTS)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = grammar.reader()
         for b in small(batches):
@@ -378,6 +380,7 @@ def output_weights(rows: DataFrame, insults: dict[str, float]) -> np.ndarray:
 def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
     """doc_id and score (0 to 1) for every row of ``docs``."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = grammar.reader()
         for b in small(batches):
@@ -390,6 +393,7 @@ def keep_clean(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD)
     """The rows of ``docs`` that score below the threshold, with all their columns."""
     at = docs.columns.index("text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = grammar.reader()
         for b in small(batches):
