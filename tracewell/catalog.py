@@ -189,9 +189,13 @@ def e5_permuted_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s8_synthetic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Made-up records over the axes of this catalogue: sizes of what was drawn."""
-    made = synthetic_detections(spark, _spec(spark, sf_dir, "c_acctbal", "l_discount", "l_extendedprice"), 32, 20.0)
-    return made.select("iter_idx", "topo_idx", "seed_run", F.size("det_t").cast("long").alias("n_spikes"), F.array_max("det_ch").alias("last_channel"), F.array_max("det_t").alias("last_time"))
+    """Made-up records over the axes of this catalogue: sizes of what was drawn, and labels drawn from the tables' box."""
+    spec = _spec(spark, sf_dir, "c_acctbal", "l_discount", "l_extendedprice")
+    made = synthetic_detections(spark, spec, 32, 20.0)
+    drawn = [(F.get("theta", F.lit(k)), lo, hi) for k, (lo, hi) in zip(spec.active_indices, spec.bounds_theta)]
+    inside = F.array(*[(v >= lo) & (v <= hi) for v, lo, hi in drawn])
+    label = F.array(*[F.round(v, 9) for v, _, _ in drawn])
+    return made.withColumn("label", F.array_join(F.transform(label, lambda v: v.cast("string")), ",")).withColumn("in_box", F.forall(inside, lambda x: x)).select("label", "in_box", "iter_idx", "topo_idx", "seed_run", F.size("det_t").cast("long").alias("n_spikes"), F.array_max("det_ch").alias("last_channel"), F.array_max("det_t").alias("last_time"))
 
 
 def _windows(spark: SparkSession, sf_dir: str, stride: int) -> DataFrame:
@@ -453,14 +457,21 @@ def s2_topology_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s3_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a run takes from the two documents of a campaign, and from none."""
-    at = f"{_fixture(spark, sf_dir)}/nations"
-    rows = []
-    for name, (m, j) in {"given": (settings.read_json(spark, f"{at}/manifest.json"), settings.read_json(spark, f"{at}/job_args.json")), "none": (settings.read_json(spark, f"{at}/no.json"), {})}.items():
-        axes, group = settings.active_axes(m, Registry([], [], [], [], list(KERNEL), {"usual": [1, 2]}), "usual")
+    """What runs take from the two documents of a campaign: those of every region, written from its row, and none."""
+    store, at, rows = Store(spark), scratch(spark, "settings"), []
+    registry = Registry([], [], [], [], list(KERNEL), {"usual": [1, 2]})
+    for r in _table(spark, sf_dir, "region").select("r_regionkey", "r_name").orderBy("r_regionkey").collect():
+        k = int(r["r_regionkey"])
+        store.write_text(f"{at}/{k}/manifest.json", json.dumps({"active_indices": list(range(k + 1)), "sweep_group": r["r_name"]}))
+        store.write_text(f"{at}/{k}/job_args.json", json.dumps({"simtime": k + 2.5, "conn_prob_lo": (k + 1) / 100, "p0_hi": k + 1.5} if k else {}))
+        rows.append((r["r_name"], *(settings.read_json(spark, f"{at}/{k}/{n}.json") for n in ("manifest", "job_args"))))
+    rows.append(("none", settings.read_json(spark, f"{at}/no.json"), {}))
+    out = []
+    for name, m, j in rows:
+        axes, group = settings.active_axes(m, registry, "usual")
         lo, hi = settings.conn_prob_bounds(j)
-        rows.append((name, len(axes), group, lo, hi, settings.kernel_bounds(j, KERNEL)[0][1], settings.duration(j)))
-    return spark.createDataFrame(rows, "campaign string, n_axes long, sweep_group string, lo double, hi double, p0_hi double, duration double")
+        out.append((name, len(axes), group, lo, hi, settings.kernel_bounds(j, KERNEL)[0][1], settings.duration(j)))
+    return spark.createDataFrame(out, "campaign string, n_axes long, sweep_group string, lo double, hi double, p0_hi double, duration double")
 
 
 def s10_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -557,7 +568,7 @@ SELECT campaign_id, CASE reason WHEN '' THEN 'PUBLISHED' ELSE 'REJECTED' END AS
         "j5_launch_plan": "WITH o AS (SELECT o_custkey, count(*) FILTER (o_totalprice > 300000) AS n FROM orders GROUP BY 1), r AS (SELECT c_custkey, c_mktsegment, CASE WHEN NOT c_acctbal > 0 THEN 'no detections' WHEN o_custkey IS NULL THEN 'no sweep tree of that name' WHEN n = 0 THEN 'no sweep output' ELSE '' END AS reason FROM customer LEFT JOIN o ON c_custkey = o_custkey) SELECT c_custkey::VARCHAR AS campaign, CASE WHEN reason = '' THEN 'RUN' ELSE 'SKIP' END AS status, reason, c_mktsegment AS tree FROM r",
         "s1_detection_scan": "SELECT 'topo_' || n_regionkey AS topo_dir, n_regionkey::BIGINT AS topo_idx, n_nationkey::BIGINT AS iter_idx, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 10 ELSE -1 END::BIGINT AS seed_run, 4::BIGINT AS n_electrodes, n_nationkey::BIGINT + 1 AS n_spikes, n_nationkey * 0.25::DOUBLE AS last_t, least(n_nationkey, 3)::BIGINT AS last_ch, 8 + n_nationkey / 2.0::DOUBLE AS last_theta, true AS no_params FROM nation",
         "s2_topology_scan": "SELECT 'topo_' || n_regionkey AS topo_dir, n_nationkey::BIGINT AS iter_idx, n_nationkey / 100.0::DOUBLE AS conn_prob, 0.5::DOUBLE AS p0_conn, 50.0::DOUBLE + n_nationkey AS d0_conn, CASE WHEN n_nationkey % 5 = 0 THEN -1.0::DOUBLE ELSE n_nationkey / 10.0::DOUBLE END AS beta_conn FROM nation",
-        "s3_settings": "SELECT * FROM (VALUES ('given', 3::BIGINT, 'usual', 0.05::DOUBLE, 0.6::DOUBLE, 1.5::DOUBLE, 12.5::DOUBLE), ('none', 2::BIGINT, 'usual', 0.1::DOUBLE, 0.6::DOUBLE, 1.0::DOUBLE, 180.0::DOUBLE)) v(campaign, n_axes, sweep_group, lo, hi, p0_hi, duration)",
+        "s3_settings": "WITH r AS (SELECT r_name, r_regionkey::BIGINT AS k FROM region) SELECT r_name AS campaign, k + 1 AS n_axes, r_name AS sweep_group, CASE WHEN k > 0 THEN (k + 1) / 100 ELSE 0.1 END::DOUBLE AS lo, 0.6::DOUBLE AS hi, CASE WHEN k > 0 THEN k + 1.5 ELSE 1.0 END::DOUBLE AS p0_hi, CASE WHEN k > 0 THEN k + 2.5 ELSE 180.0 END::DOUBLE AS duration FROM r UNION ALL VALUES ('none', 2::BIGINT, 'usual', 0.1::DOUBLE, 0.6::DOUBLE, 1.0::DOUBLE, 180.0::DOUBLE)",
         "s6_registry": f"WITH {_AXES} SELECT (row_number() OVER (ORDER BY name) - 1)::INTEGER AS axis, name, round(CASE WHEN is_log THEN ln(lo) ELSE lo END, 9) AS lo_theta, round(CASE WHEN is_log THEN ln(hi) ELSE hi END, 9) AS hi_theta, is_log, lo = hi AS is_frozen FROM ruled",
         "s7_config_drift": "SELECT n_name AS key, CASE WHEN n_regionkey = 3 THEN 'have' WHEN n_nationkey = 0 THEN 'want' END AS only_in FROM nation WHERE (n_regionkey = 3 AND n_nationkey > 0) OR n_regionkey = 2 OR (n_nationkey = 0 AND n_regionkey <> 3)",
         "s10_inventory": "SELECT 'nations' AS campaign, count(*) AS n_detections, count(*) AS n_topology, 1::BIGINT AS n_trees, min_by('mea_iter_' || lpad(n_nationkey::VARCHAR, 5, '0') || '.npz', n_regionkey * 100 + n_nationkey) AS first, 'READY' AS verdict, 12.5::DOUBLE AS simtime, 'weibull' AS conn_rule, 3::BIGINT AS n_active, '3' AS manifest_version, 9::BIGINT AS theta_width, 4::BIGINT AS n_electrodes, 'det_ch,det_t,electrode_centers' || CASE WHEN min_by(n_nationkey, n_regionkey * 100 + n_nationkey) % 2 = 0 THEN ',seed_run' ELSE '' END || ',theta' AS detection_keys, '' AS detection_missing, CASE WHEN min_by(n_nationkey, n_regionkey * 100 + n_nationkey) % 5 = 0 THEN 'beta_conn' ELSE '' END AS topology_missing FROM nation",
