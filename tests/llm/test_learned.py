@@ -58,6 +58,7 @@ def outputs(text):
         ("you are such a clown", "addressed", 3),
         ("clown you", "addressed", 3),
         ("an idiot. a fine day. a loser. well. the idiot.", "spread", 8),
+        ("an idiot. a fine day. the trash. well. the idiot.", "spread", 8),
         ("you are not an idiot", "negated", 8),
         ("i will not kill you", "negated", 8),
         ("not today. you idiot", "addressed", 8),
@@ -84,9 +85,14 @@ def test_isolated_words_do_not_match(text):
     assert not any(outputs(text).values()) and grammar().reader().score(text) < 0.3
 
 
+def test_everyday_insults_continue_a_spread_but_do_not_make_one():
+    assert outputs("an idiot. a loser. the trash.")["spread"] == outputs("an idiot. the trash. a loser. the trash")["spread"] - 5 == 3
+    assert not any(outputs("an idiot. the trash. a clown. a pig.").values())
+
+
 def enumerated(symbols):
     """Matches of a text by looking at the surroundings of every attack, without any transducer."""
-    out, clauses, spread = [], [[]], 0
+    out, clauses, bare = [], [[]], []  # bare: the first bare insult of each clause that had no other before
     for a in symbols:
         if a == ".":
             clauses.append([])
@@ -128,10 +134,10 @@ def enumerated(symbols):
             elif a[0] in "ih":
                 if had:
                     out.append("p" + a)
-                elif a != "h":
-                    if spread == toxicity.SPREAD:
+                else:
+                    bare.append(a)
+                    if len(bare) > toxicity.SPREAD and sum(b != "h" for b in bare) >= toxicity.SPREAD:
                         out.append("s" + a)
-                    spread = min(toxicity.SPREAD, spread + 1)
                 had = True
     return sorted(out)
 
@@ -149,7 +155,7 @@ def test_composed_transducers_against_enumeration_and_cascade(symbols):
 
 MACHINE = toxicity.grammar_machine()
 _ALL = [*toxicity.TERMINALS, *(c + a for c in "rnab" for a in toxicity.ATTACKS)]
-CASCADE = [toxicity.Transducer.build(s, f, _ALL) for s, f in (((0, ""), toxicity._report), (0, toxicity._negation), ((0, "", False), toxicity._target), ((False, 0), toxicity._pile))]
+CASCADE = [toxicity.Transducer.build(s, f, _ALL) for s, f in (((0, ""), toxicity._report), (0, toxicity._negation), ((0, "", False), toxicity._target), ((False, 0, 0), toxicity._pile))]
 
 
 def test_toxicity_without_labels_and_on_awkward_rows(spark):

@@ -11,7 +11,8 @@ states:
 * *target* marks as addressed: insults near a target, before or after; threats with a target soon after; everyday
   insults that links join to a target, and everyday insults and verbs right before one. Other insults are bare;
 * *pile* passes on a bare insult that follows another insult in its clause (piled), and drops the first of a clause,
-  unless ``SPREAD`` clauses before it had a bare insult that is no everyday word (spread: the text goes on insulting).
+  unless ``SPREAD`` clauses before it had a bare insult too, and ``SPREAD`` of these clauses and its own one that is
+  no everyday word (spread: the text goes on insulting).
 
 The composed machine turns a text into weighted matches: addressed, piled, spread, negated and reported ones. A clause
 ends all marks, quotations included. So one or two lone insults without a target match nothing, however strong.
@@ -170,24 +171,25 @@ def _target(state: tuple[int, str, bool], a: Symbol) -> tuple[tuple[int, str, bo
     return (0, "", False), (*(lapsed if reach else ()), *out)
 
 
-def _pile(state: tuple[bool, int], a: Symbol) -> tuple[tuple[bool, int], tuple[Symbol, ...]]:
+def _pile(state: tuple[bool, int, int], a: Symbol) -> tuple[tuple[bool, int, int], tuple[Symbol, ...]]:
     """State: whether the clause had an insult that is neither negated nor reported, and in how many clauses (up to
-    SPREAD) the first one was bare. Puts out p + insult or s + insult."""
-    had, clauses = state
+    SPREAD each) the first one was bare, and bare and no everyday word. Puts out p + insult or s + insult."""
+    had, clauses, hard = state
     if a == ".":
-        return (False, clauses), (a,)
+        return (False, clauses, hard), (a,)
     if a[0] == "b":
-        if had or a == "bh":
-            return (True, clauses), ("p" + a[1:],) if had else ()
-        return (True, min(SPREAD, clauses + 1)), ("s" + a[1:],) if clauses == SPREAD else ()
-    return (had or a[:2] in ("ai", "ah"), clauses), (a,)
+        if had:
+            return state, ("p" + a[1:],)
+        strong = min(SPREAD, hard + (a != "bh"))
+        return (True, min(SPREAD, clauses + 1), strong), ("s" + a[1:],) if clauses == SPREAD and strong == SPREAD else ()
+    return (had or a[:2] in ("ai", "ah"), clauses, hard), (a,)
 
 
 def grammar_machine() -> Transducer:
     """The four transducers composed."""
     machine = Transducer.build((0, ""), _report, TERMINALS)
     marked = [*TERMINALS, *["r" + a for a in ATTACKS]]
-    for start, step in ((0, _negation), ((0, "", False), _target), ((False, 0), _pile)):
+    for start, step in ((0, _negation), ((0, "", False), _target), ((False, 0, 0), _pile)):
         machine = machine.then(Transducer.build(start, step, marked))
         marked += [c + a for a in ATTACKS for c in "nab" if c + a not in marked]
     return machine
