@@ -21,6 +21,7 @@ from tracewell.operators.encoder import EncoderSpec, LinearHead, config_drift, d
 from tracewell.operators.labels import LabelSpec, assemble_labels, build_label_spec, coord_violations
 from tracewell.operators.neighbours import nearest
 from tracewell.operators.registry import Registry, is_log_axis, log_set_drift, roundtrip, with_rules
+from tracewell.operators.rules import record_rules, rule_counts, setting_rules, window_rules
 from tracewell.operators.smoothing import segment_windows, smooth_rows, smooth_segments
 from tracewell.operators.summaries import axis_summary, content_digest, described_axes, merged
 from tracewell.operators.traces import traces_from_counts
@@ -363,6 +364,54 @@ def a6_coord_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").filter(F.size(off) > 0).select("p_partkey", "p_size", F.array_join(off, ",").alias("axes"))
 
 
+def v_setting_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as campaigns with settings made of their rows, and how many break each rule."""
+    k = F.col("c_custkey")
+    pair = F.array(F.lit(0.1), F.lit(1.0))
+    settings = _table(spark, sf_dir, "customer").select(
+        F.when(k % 11 == 0, F.lit(float("nan"))).when(k % 12 == 0, None).otherwise((F.col("c_acctbal") / 100).cast("double")).alias("duration"),
+        F.when(k % 7 == 0, 0.0).otherwise((k % 5 + 1) * 0.5).alias("dt"),
+        (k % 6).alias("n_electrodes"),
+        ((k % 9 - 1) * 0.25).alias("sigma_s"),
+        ((k % 13) * 0.25).alias("window_s"),
+        F.when(k % 4 > 0, k % 3).alias("stride"),
+        F.when(k % 14 == 0, F.array().cast("array<bigint>")).otherwise(F.array(k % 9, k % 8, F.lit(8))).alias("active_indices"),
+        (k % 3 + 7).alias("n_axes"),
+        F.when(k % 10 == 0, F.array(pair, pair)).when(k % 10 == 1, F.array(pair, pair, F.array(F.lit(1.0)))).otherwise(F.array(pair, pair, pair)).alias("kernel_bounds"),
+    )
+    return rule_counts(settings, setting_rules())
+
+
+def v_record_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as records with defects by their key: times, widths, connectivity, coordinates."""
+    spec = _spec(spark, sf_dir, "p_size", "p_retailprice")
+    k, nan = F.col("p_partkey"), F.lit(float("nan"))
+    params = [F.col(n).cast("double") if n[:2] == "p_" else F.lit(0.5) for n in AXES]
+    theta = [to_theta(v, F.lit(j in spec.registry.log_axes)) + F.when(k % 29 == 0, 1e-6).otherwise(0.0) for j, v in enumerate(params)]
+    rows = _table(spark, sf_dir, "part").select(
+        F.array(F.col("p_size").cast("double"), F.when(k % 13 == 0, nan).otherwise(F.lit(1.0))).alias("det_t"),
+        F.when(k % 17 == 0, F.slice(F.array(*theta), 2, len(AXES))).when(k % 31 == 0, None).otherwise(F.array(*theta)).alias("theta"),
+        F.when(k % 19 == 0, F.slice(F.array(*params), 2, len(AXES))).when(k % 5 == 0, None).otherwise(F.array(*params)).alias("params"),
+        F.lit(0.3).alias("conn_prob"),
+        F.when(k % 23 != 0, 0.5).alias("p0_conn"),
+        F.when(k % 37 == 0, F.lit(float("inf"))).otherwise(F.lit(100.0)).alias("d0_conn"),
+        F.lit(1.0).alias("beta_conn"),
+    )
+    return rule_counts(rows, record_rules(spec))
+
+
+def v_window_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as windows of 64 samples with outputs of 64, with defects by their id."""
+    k, e = F.col("vec_id"), F.col("embedding")
+    windows = _table(spark, sf_dir, "embeddings").select(
+        F.when(k % 7 == 0, F.slice(e, 1, 63)).when(k % 11 == 0, F.concat(F.slice(e, 1, 63), F.array(F.lit(float("nan")).cast("float")))).when(k % 41 != 0, e).alias("xw"),
+        F.when(k % 13 == 0, F.slice(e, 1, 8)).otherwise(e).alias("z"),
+        F.when(k % 17 != 0, e).alias("zraw"),
+        F.when(k % 19 == 0, F.array(F.lit(1.0))).when(k % 23 != 0, F.array(F.lit(1.0), F.lit(2.0))).alias("theta_a"),
+    )
+    return rule_counts(windows, window_rules(EncoderSpec(LinearHead(np.eye(64)), 64, 64.0, 1.0), 2))
+
+
 def a7_unit_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     off = F.abs(l2_norm(F.col("embedding")) - 1.0)
     return _table(spark, sf_dir, "embeddings").agg(F.count("*").alias("n_rows"), F.count_if(off >= UNIT_TOLERANCE).alias("n_off"), (F.max(off) < UNIT_TOLERANCE).alias("holds"))
@@ -497,6 +546,7 @@ QUERIES: tuple[Query, ...] = (
     a1_roundtrip, p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index,
     s1_detection_scan, s2_topology_scan, s3_settings, s5_digest, s6_registry, s7_config_drift, s8_synthetic_source, s10_inventory, g13_digest_audit, g12_campaign_summary,
     a10_content_digest, a5_pooled_axes, e3_nearest_on_sphere, e4_two_sample, e5_permuted_sums, k1_grouped_publication, w1_segments, w2_segment_windows, e6_streamed_windows, l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
+    v_setting_rules, v_record_rules, v_window_rules,
 )
 
 
@@ -516,6 +566,11 @@ _RANGE = "SELECT '{c}' AS name, min({c})::DOUBLE + 0.0 AS lo, max({c})::DOUBLE A
 _AXES = "axes AS (" + " UNION ALL ".join(_RANGE.format(c=c, t=t) for t, cs in (("lineitem", ("l_quantity", "l_extendedprice", "l_discount", "l_tax")), ("part", ("p_size", "p_retailprice")), ("customer", ("c_acctbal",))) for c in cs) + " UNION ALL VALUES ('frozen', 2.0::DOUBLE, 2.0::DOUBLE), ('decade', 0.1::DOUBLE, 1.0::DOUBLE)), ruled AS (SELECT *, CASE WHEN lo > 0 AND hi > 0 THEN log10(hi / lo) >= 1 ELSE false END AS is_log FROM axes)"
 
 
+def _counted(rows: str, **rules: str) -> str:
+    """SQL that counts the rows on which each condition is false or null."""
+    return f"WITH t AS ({rows}) " + " UNION ALL ".join(f"SELECT '{r}' AS rule, count(*) FILTER (NOT coalesce({holds}, false)) AS n_broken, count(*) AS n_rows FROM t" for r, holds in rules.items())
+
+
 def oracle_sql() -> dict[str, str]:
     """All but the source that draws records, which a test checks instead."""
     heads = ", ".join("[" + ", ".join(f"{w!r}::DOUBLE" for w in row) + "]" for row in HEAD)
@@ -556,6 +611,13 @@ SELECT campaign_id, CASE reason WHEN '' THEN 'PUBLISHED' ELSE 'REJECTED' END AS
         "a5_box_violations": " UNION ALL ".join(f"SELECT '{c}' AS axis, count(*) FILTER ({c} < {lo}::DOUBLE OR {c} > {hi}::DOUBLE) AS n_outside FROM lineitem" for c, (lo, hi) in BOX.items()),
         "a6_coord_check": "SELECT p_partkey, p_size, 'p_size' AS axes FROM part WHERE p_partkey % 97 = 0",
         "a7_unit_norm": "WITH n AS (SELECT abs(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) - 1) AS off FROM embeddings) SELECT count(*) AS n_rows, count(*) FILTER (off >= 1e-5) AS n_off, max(off) < 1e-5 AS holds FROM n",
+        "v_setting_rules": _counted(
+            "SELECT c_custkey AS k, CASE WHEN k % 11 = 0 OR k % 12 = 0 THEN NULL ELSE c_acctbal::DOUBLE / 100 END AS duration, CASE WHEN k % 7 <> 0 THEN (k % 5 + 1) * 0.5::DOUBLE END AS dt, (k % 9 - 1) * 0.25::DOUBLE AS sigma, round_even((k % 13) * 0.25::DOUBLE / dt, 0) AS length, k % 9 AS a, k % 8 AS b FROM customer",
+            V1="floor(duration / dt) >= 1", V2="k % 6 >= 1 AND sigma >= 0", V3="length >= 1 AND (k % 4 = 0 OR k % 3 >= 1)", V5="k % 14 <> 0 AND a <> b AND a <> 8 AND k % 3 = 2 AND b <= 8 AND a < 9",
+            V6="k % 10 > 1", V10="floor(duration / dt) >= length", V13="sigma = 0 OR sigma >= dt",
+        ),
+        "v_record_rules": _counted("SELECT p_partkey AS k, (k % 17 = 0 OR k % 31 = 0 OR k % 19 = 0) AS wide FROM part", V4="k % 13 <> 0", V7="NOT wide", V8="k % 23 <> 0 AND k % 37 <> 0", A6="wide OR k % 5 = 0 OR k % 29 <> 0"),
+        "v_window_rules": _counted("SELECT vec_id AS k FROM embeddings", V9="k % 19 <> 0 AND k % 23 <> 0", V11="k % 7 <> 0 AND k % 11 <> 0 AND k % 41 <> 0", V12="k % 13 <> 0 AND k % 17 <> 0"),
         "a9_finite": "SELECT vec_id FROM embeddings WHERE vec_id % 50 IN (0, 1)",
         "x1_linear_head": f"WITH h AS (SELECT vec_id, list_transform([{heads}], lambda w: list_sum(list_transform(list_zip(embedding, w), lambda p: p[1]::DOUBLE * p[2]))) AS zraw FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(zraw, lambda x: x * x))) AS n FROM h) SELECT vec_id, j::BIGINT AS j, round(zraw[j + 1]::FLOAT::DOUBLE, 6) AS zraw, round((zraw[j + 1] / n)::FLOAT::DOUBLE, 6) AS z FROM n, range(0, 8) t(j)",
         "p2_flatten": "SELECT vec_id, " + ", ".join(f"embedding[{j + 1}]::DOUBLE AS z_{j:03d}" for j in range(64)) + " FROM embeddings",

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.functions.expr import all_finite, close_to, to_theta
+from tracewell.functions.expr import close_to, finite, to_theta
 from tracewell.operators.registry import TOPOLOGY_AXES, TOPOLOGY_UNITS, Registry
 
+#: How near a stored theta must be to the coordinate rule (A6).
+RTOL, ATOL = 1e-8, 1e-10
+
 
 @dataclass(frozen=True)
 class LabelSpec:
@@ -79,11 +84,7 @@ def build_label_spec(registry: Registry, active_indices: Sequence[int], sweep_gr
     return LabelSpec(names, ["ln" if k in logs else "linear" for k in active] + ["linear"] * 4, bounds, [registry.units[k] for k in active] + list(TOPOLOGY_UNITS), active, registry, sweep_group)
 
 
-def _must(ok: Column, message: Column | str) -> Column:
-    return F.when(ok, True).otherwise(F.raise_error(F.lit(message) if isinstance(message, str) else message).cast("boolean"))
-
-
-def coord_violations(spec: LabelSpec, theta: Column, params: Column, rtol: float = 1e-8, atol: float = 1e-10) -> Column:
+def coord_violations(spec: LabelSpec, theta: Column, params: Column, rtol: float = RTOL, atol: float = ATOL) -> Column:
     """A6: names of the active axes on which stored theta is not the coordinate rule applied to the natural value;
     empty where there are no params."""
     logs = set(spec.registry.log_axes)
@@ -94,6 +95,36 @@ def coord_violations(spec: LabelSpec, theta: Column, params: Column, rtol: float
     return F.filter(F.array(*off), lambda x: x.isNotNull())
 
 
+def label_rules(spec: LabelSpec, verify_coords: bool = True) -> dict[str, tuple[Column, Column]]:
+    """What a record's label must meet, in the order in which it is judged: whether the rule holds (never null), and
+    what to say where it doesn't. ``verify_coords`` needs a column of params; without a sound width A6 isn't judged.
+    The conditions name the axes one by one, so that they stay in generated code."""
+    width = len(spec.registry.names)
+    theta, params = F.col("theta"), F.col("params")
+    sized = lambda v: F.coalesce(F.size(v) == width, F.lit(False))
+    wide = lambda v: F.lit(f"{v} must have {width} entries, the width of the registry")
+    present = reduce(and_, [finite(F.col(a).cast("double")) for a in TOPOLOGY_AXES])
+    out = {"V7": (sized(theta), wide("theta")), "V8": (present, F.lit("a connectivity value is missing or not finite; a campaign with the flat rule has none"))}
+    if verify_coords:
+        logs = set(spec.registry.log_axes)
+        near = reduce(and_, [close_to(F.get(theta, F.lit(k)), to_theta(F.get(params, F.lit(k)), F.lit(k in logs)), RTOL, ATOL) for k in spec.active_indices])
+        both = sized(theta) & (params.isNull() | sized(params))
+        out["V7"] = (both, F.when(sized(theta), wide("params")).otherwise(wide("theta")))
+        off = F.array_join(coord_violations(spec, theta, params), ", ")
+        out["A6"] = (~both | params.isNull() | near, F.concat(F.lit("A6: stored theta breaks the coordinate rule on "), off))
+    return out
+
+
+def label_problem(spec: LabelSpec, verify_coords: bool = True) -> Column:
+    """What is wrong with a record's label, by the first rule that it breaks, or null."""
+    return F.coalesce(*[F.when(~ok, why) for ok, why in label_rules(spec, verify_coords).values()])
+
+
+def label_vector(spec: LabelSpec) -> Column:
+    """The active axes of theta, then connectivity."""
+    return F.array(*[F.get("theta", F.lit(k)) for k in spec.active_indices], *[F.col(a).cast("double") for a in TOPOLOGY_AXES])
+
+
 def assemble_labels(rows: DataFrame, spec: LabelSpec, verify_coords: bool = True, out: str = "theta_a") -> DataFrame:
     """``rows`` (theta, params or none, and the four connectivity columns) with the label vector.
 
@@ -103,14 +134,7 @@ def assemble_labels(rows: DataFrame, spec: LabelSpec, verify_coords: bool = True
     missing = [a for a in TOPOLOGY_AXES if a not in rows.columns]
     if missing:
         raise KeyError(f"connectivity columns are missing: {missing}")
-    width = len(spec.registry.names)
-    theta, topology = F.col("theta"), F.array(*[F.col(a).cast("double") for a in TOPOLOGY_AXES])
-    sound = _must(F.coalesce(F.size(theta) == width, F.lit(False)), f"theta must have {width} entries, the width of the registry")
-    rows = rows.filter(sound).filter(_must(all_finite(topology), "a connectivity value is missing or not finite; a campaign with the flat rule has none"))
-    if verify_coords and "params" in rows.columns:
-        params = F.col("params")
-        off = coord_violations(spec, theta, params)
-        rows = rows.filter(_must(params.isNull() | (F.size(params) == width), f"params must have {width} entries, the width of the registry"))
-        rows = rows.filter(_must(F.size(off) == 0, F.concat(F.lit("A6: stored theta breaks the coordinate rule on "), F.array_join(off, ", "))))
-    head = F.transform(F.array(*[F.lit(k) for k in spec.active_indices]), lambda k: F.get(theta, k))
-    return rows.withColumn(out, F.concat(head, topology))
+    rules = label_rules(spec, verify_coords and "params" in rows.columns)
+    holds = reduce(and_, [ok for ok, _ in rules.values()])
+    why = F.coalesce(*[F.when(~ok, why) for ok, why in rules.values()])
+    return rows.filter(F.when(holds, True).otherwise(F.raise_error(why).cast("boolean"))).withColumn(out, label_vector(spec))

@@ -26,11 +26,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewell.functions.expr import all_finite, finite, reassembled
+from tracewell.functions.expr import finite, reassembled
 from tracewell.operators.checks import metric_columns, verdict
 from tracewell.operators.encoder import EncoderSpec
-from tracewell.operators.labels import LabelSpec, coord_violations
-from tracewell.operators.registry import TOPOLOGY_AXES
+from tracewell.operators.labels import LabelSpec, label_problem, label_vector
 from tracewell.operators.traces import build_traces
 from tracewell.operators.unique_join import key_violations
 from tracewell.operators.windows import check_window
@@ -180,19 +179,6 @@ def _of_campaign(files: DataFrame, trees: DataFrame) -> DataFrame:
     return files.withColumn("tree", F.regexp_replace("path", "/[^/]+/[^/]+$", "")).join(trees, "tree").drop("tree")
 
 
-def label_problem(spec: LabelSpec, verify_coords: bool = True) -> Column:
-    """What is wrong with a record's label, or null: the rules of ``assemble_labels`` without stopping."""
-    width = len(spec.registry.names)
-    topology = F.array(*[F.col(a).cast("double") for a in TOPOLOGY_AXES])
-    out = F.when(F.coalesce(F.size("theta"), F.lit(-1)) != width, F.lit(f"theta must have {width} entries, the width of the registry"))
-    out = out.when(~all_finite(topology), F.lit("a connectivity value is missing or not finite"))
-    if verify_coords:
-        off = coord_violations(spec, F.col("theta"), F.col("params"))
-        out = out.when(F.col("params").isNotNull() & (F.size("params") != width), F.lit(f"params must have {width} entries, the width of the registry"))
-        out = out.when(F.size(off) > 0, F.concat(F.lit("A6: stored theta breaks the coordinate rule on "), F.array_join(off, ", ")))
-    return out
-
-
 def pooled_rows(spark: SparkSession, runs: Sequence[CampaignRun], encoder: EncoderSpec, window_stride: int | None = None, want_zraw: bool = True, verify_coords: bool = True) -> DataFrame:
     """Encoded windows of all campaigns of one family as one table. The plan is the same for any number of them: one scan
     of each kind of archive, a join to the campaigns' settings, one shuffle for the sweep records. A record with a
@@ -213,8 +199,6 @@ def pooled_rows(spark: SparkSession, runs: Sequence[CampaignRun], encoder: Encod
         F.when(~F.forall("det_t", finite), F.lit("a spike time is not finite")),
         label_problem(spec, verify_coords),
     )
-    head = F.transform(F.array(*[F.lit(k) for k in spec.active_indices]), lambda k: F.get(F.col("theta"), k))
-    label = F.concat(head, F.array(*[F.col(a).cast("double") for a in TOPOLOGY_AXES]))
     held = met.withColumn("problem", problem)
     sound = F.col("problem").isNull()
     rows = held.select(
@@ -222,7 +206,7 @@ def pooled_rows(spark: SparkSession, runs: Sequence[CampaignRun], encoder: Encod
         F.when(sound, F.coalesce("given", "centers")).otherwise(1).alias("n_electrodes"),
         F.when(sound, F.col("det_t")).otherwise(F.array().cast("array<double>")).alias("det_t"),
         F.when(sound, F.col("det_ch")).otherwise(F.array().cast("array<bigint>")).alias("det_ch"),
-        F.when(sound, label).otherwise(F.array_repeat(F.lit(0.0), spec.p)).alias("theta_a"),
+        F.when(sound, label_vector(spec)).otherwise(F.array_repeat(F.lit(0.0), spec.p)).alias("theta_a"),
     )
     traces = build_traces(rows, "duration", encoder.dt, encoder.sigma_s).drop("duration", "n_electrodes")
     # a record with a problem is one window of silence, so that what is wrong reaches the grouped check
