@@ -28,7 +28,7 @@ from tracewell.operators.traces import traces_from_counts
 from tracewell.operators.two_sample import kernel_sums, sound_rows, statistic
 from tracewell.operators.unique_join import key_violations, unique_join
 from tracewell.operators.windows import cut_windows, short_summary, window_rows
-from tracewell.plans.audit import digest_audit
+from tracewell.plans.audit import compatibility, digest_audit
 from tracewell.plans.campaign import launch_plan
 from tracewell.plans.export import export_embeddings
 from tracewell.plans.grouped import commit, read_published
@@ -451,6 +451,13 @@ def g13_digest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_audit(_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.to_json(block).alias("text")))
 
 
+def a10_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as descriptions of shards: how many values each compared part of a description has, and who has the first ones."""
+    text = F.struct(F.array("p_brand").alias("param_names"), F.array(F.lit("ln")).alias("coord"), F.array(F.array("p_size", F.lit(90))).alias("bounds_theta"), F.struct("p_type").alias("embedding"), F.when(F.col("p_partkey") % 10 > 0, F.struct("p_name")).alias("observable"))
+    found = compatibility(_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), F.to_json(text).alias("text")))
+    return found.select("part", "n_values", F.size("examples").cast("long").alias("n_examples"), F.get("examples", F.lit(0)).alias("first"))
+
+
 def g12_campaign_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files, hosts as campaigns."""
     kind = F.element_at(F.array(*[F.lit(k) for k in ("detections", "topology", "manifest", "job_args")]), (F.col("page_id") % 4 + 1).cast("int"))
@@ -546,7 +553,7 @@ QUERIES: tuple[Query, ...] = (
     a1_roundtrip, p3_label_assembly, a4_constant_columns, a5_box_violations, a6_coord_check, a7_unit_norm, a9_finite, x1_linear_head, p2_flatten, p1_trailing_index,
     s1_detection_scan, s2_topology_scan, s3_settings, s5_digest, s6_registry, s7_config_drift, s8_synthetic_source, s10_inventory, g13_digest_audit, g12_campaign_summary,
     a10_content_digest, a5_pooled_axes, e3_nearest_on_sphere, e4_two_sample, e5_permuted_sums, k1_grouped_publication, w1_segments, w2_segment_windows, e6_streamed_windows, l2_ordered_limit, u3_missing_keys, j5_launch_plan, k1_export_shard,
-    v_setting_rules, v_record_rules, v_window_rules,
+    v_setting_rules, v_record_rules, v_window_rules, a10_compatibility,
 )
 
 
@@ -617,6 +624,8 @@ SELECT campaign_id, CASE reason WHEN '' THEN 'PUBLISHED' ELSE 'REJECTED' END AS
             V6="k % 10 > 1", V10="floor(duration / dt) >= length", V13="sigma = 0 OR sigma >= dt",
         ),
         "v_record_rules": _counted("SELECT p_partkey AS k, (k % 17 = 0 OR k % 31 = 0 OR k % 19 = 0) AS wide FROM part", V4="k % 13 <> 0", V7="NOT wide", V8="k % 23 <> 0 AND k % 37 <> 0", A6="wide OR k % 5 = 0 OR k % 29 <> 0"),
+        "a10_compatibility": "WITH t AS (" + " UNION ALL ".join(f"SELECT '{part}' AS part, {v}::VARCHAR AS v, p_partkey::VARCHAR AS path FROM part" for part, v in (("param_names", "p_brand"), ("coord", "'ln'"), ("bounds_theta", "p_size"), ("embedding", "p_type"), ("observable", "CASE WHEN p_partkey % 10 > 0 THEN p_name ELSE '' END")))
+        + ") SELECT part, count(DISTINCT v) AS n_values, least(10, count(DISTINCT v)) AS n_examples, min(path) AS first FROM t GROUP BY 1",
         "v_window_rules": _counted("SELECT vec_id AS k FROM embeddings", V9="k % 19 <> 0 AND k % 23 <> 0", V11="k % 7 <> 0 AND k % 11 <> 0 AND k % 41 <> 0", V12="k % 13 <> 0 AND k % 17 <> 0"),
         "a9_finite": "SELECT vec_id FROM embeddings WHERE vec_id % 50 IN (0, 1)",
         "x1_linear_head": f"WITH h AS (SELECT vec_id, list_transform([{heads}], lambda w: list_sum(list_transform(list_zip(embedding, w), lambda p: p[1]::DOUBLE * p[2]))) AS zraw FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(zraw, lambda x: x * x))) AS n FROM h) SELECT vec_id, j::BIGINT AS j, round(zraw[j + 1]::FLOAT::DOUBLE, 6) AS zraw, round((zraw[j + 1] / n)::FLOAT::DOUBLE, 6) AS z FROM n, range(0, 8) t(j)",
