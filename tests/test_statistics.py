@@ -72,6 +72,28 @@ def test_kernel_sums_and_relabellings_against_brute_force(spark):
         two_sample.kernel_sums(rows.filter("x"), 1.0)
 
 
+def shuffled(spark):
+    """Bytes that the stages of this session have written to shuffles so far."""
+    sc = spark.sparkContext
+    none = sc._gateway.new_array(sc._jvm.double, 0)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, none, None)
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_shuffled_kernel_sums_grow_with_the_rows(spark):
+    held, sent = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large to broadcast
+    for n in (1_024, 8_192):
+        rows = sample(spark, np.random.default_rng(5), n, 0.0).cache()
+        assert rows.count() == n
+        before = shuffled(spark)
+        two_sample.kernel_sums(rows, 1.0, 1, block=32).collect()
+        sent.append(shuffled(spark) - before)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert 0 < sent[1] < 10 * sent[0]
+
+
 def test_the_permutation_test_tells_a_shift_from_none(spark):
     same, p_same = two_sample.permutation_test(sample(spark, np.random.default_rng(3), 120, 0.0), 2.0, 39, block=64)
     far, p_far = two_sample.permutation_test(sample(spark, np.random.default_rng(3), 120, 1.0), 2.0, 39, block=64)

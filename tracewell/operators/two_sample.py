@@ -1,10 +1,11 @@
 """Two-sample tests by kernel means (maximum mean discrepancy), with a permutation null.
 
-Exact: all pairs of vectors, block by block. Rows are packed into blocks of about ``BLOCK``; every pair of blocks is one
-row, made by giving each block the numbers of the blocks it is paired with (an equi-join, not a product), and one
-matrix product in a task. The unbiased statistic needs three sums of kernel values (within x, within y, across). The
-cost is the square of the number of rows, which is the method's; ``linear`` is for tables too large for it: rows are
-paired up, every pair of an x-pair and a y-pair is used once, and the mean comes with its standard error.
+Exact: all pairs of vectors. Rows are dealt to ``TILES`` tiles, every pair of tiles is one group of a shuffle, and its
+task multiplies the two tiles ``BLOCK`` rows at a time. A row is sent once for each tile, so what is shuffled grows with
+the rows, not with their square; only tables of over ``TILES * LARGEST`` rows get more tiles, so that a group stays
+bounded (two tiles). The unbiased statistic needs three sums of kernel values (within x, within y, across). The time is
+the square of the number of rows, which is the method's; ``linear`` is for tables too large for it: rows are paired up,
+every pair of an x-pair and a y-pair is used once, and the mean comes with its standard error.
 
 The null: ``permutations`` seeded relabellings that keep the group sizes, all in the same pass over the kernel values, as
 vectors of partial sums. A relabelling gives x to the rows with the smallest digests of (seed, id); its threshold is
@@ -21,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.expr import all_finite
 
-BLOCK, DIGITS = 512, 4
+BLOCK, TILES, LARGEST, DIGITS = 512, 16, 65_536, 4
 
 
 def sound_rows(rows: DataFrame, id_col: str, vector: str, group: Column) -> DataFrame:
@@ -41,6 +43,23 @@ def kernel(a: np.ndarray, b: np.ndarray, bandwidth: float) -> np.ndarray:
     return np.exp(-np.maximum(square, 0.0) / (2 * bandwidth * bandwidth))
 
 
+def pair_sums(u: np.ndarray, x: np.ndarray, w: np.ndarray, y: np.ndarray, same: bool, bandwidth: float, block: int = BLOCK) -> np.ndarray:
+    """xx, yy and xy for each labelling (columns of x and y, 1 or 0) over ordered pairs of a row of u and a row of w;
+    ``same``: w is u, and a row is not paired with itself."""
+    sums = np.zeros((x.shape[1], 3))
+    for p in range(0, len(u), block):
+        for q in range(p if same else 0, len(w), block):
+            values, own = kernel(u[p : p + block], w[q : q + block], bandwidth), same and p == q
+            if own:
+                np.fill_diagonal(values, 0.0)
+            a, b = x[p : p + block], y[q : q + block]
+            twice, to_x, to_y = 1.0 if own else 2.0, values @ b, values @ (1 - b)
+            sums[:, 0] += twice * (a * to_x).sum(0)
+            sums[:, 1] += twice * ((1 - a) * to_y).sum(0)
+            sums[:, 2] += (a * to_y).sum(0) + (0.0 if own else ((1 - a) * to_x).sum(0))
+    return sums
+
+
 def _digest(seed: int, row_id: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
 
@@ -85,36 +104,23 @@ def kernel_sums(rows: DataFrame, bandwidth: float, permutations: int = 0, block:
     seeds = list(range(permutations))
     limit = thresholds(rows, seeds, m) if seeds else {}
     labels = F.array(F.col("x"), *[_digest(s, F.col("id")) <= F.lit(limit[s]) for s in seeds])
-    blocks = -(-(m + n) // block)
-    packs = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), F.struct("v", labels.alias("x")).alias("r")).groupBy("block").agg(F.collect_list("r").alias("p"))
-    left = packs.select(F.col("block").alias("i"), F.col("p").alias("a"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("j"))
-    pairs = left.join(packs.select(F.col("block").alias("j"), F.col("p").alias("b")), "j")
+    tiles = max(min(TILES, -(-(m + n) // block)), -(-(m + n) // LARGEST))
+    tile, other = F.pmod(F.xxhash64("id", "v"), F.lit(tiles)).cast("int"), F.sequence(F.lit(0), F.lit(tiles - 1))
+    dealt = rows.select(tile.alias("tile"), "v", labels.alias("x")).withColumn("other", F.explode(other))
+    cells = dealt.select(F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "v", "x").repartition(tiles * (tiles + 1) // 2, "i", "j")
     width = permutations + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((width, 3))
-        for batch in batches:
-            for k in range(batch.num_rows):
-                sides = []
-                for c in ("a", "b"):
-                    held = batch.column(c)[k].values
-                    count = len(held)
-                    v = held.field("v").flatten().to_numpy(zero_copy_only=False).reshape(count, -1)
-                    x = held.field("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(count, width)
-                    sides.append((v, x))
-                (u, x), (w, y) = sides
-                values = kernel(u, w, bandwidth)
-                same = batch.column("i")[k].as_py() == batch.column("j")[k].as_py()
-                if same:
-                    np.fill_diagonal(values, 0.0)
-                twice = 1.0 if same else 2.0
-                to_x, to_y = values @ y, values @ (1 - y)
-                sums[:, 0] += twice * (x * to_x).sum(0)
-                sums[:, 1] += twice * ((1 - x) * to_y).sum(0)
-                sums[:, 2] += (x * to_y).sum(0) + (0.0 if same else ((1 - x) * to_x).sum(0))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32) - 1), *(pa.array(sums[:, c]) for c in range(3))], ["permutation", "xx", "yy", "xy"])
-
-    found = pairs.select("i", "j", "a", "b").mapInArrow(run, "permutation int, xx double, yy double, xy double")
+    def run(key: tuple[pa.Scalar, pa.Scalar], cell: pa.Table) -> pa.Table:
+        i, j = (k.as_py() for k in key)
+        sides = []
+        for t in (i, j):
+            held = cell.filter(pc.equal(cell["tile"], t)).combine_chunks()
+            sides.append(tuple(held[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(held.num_rows, -1) if held.num_rows else None for c in ("v", "x")))
+        (u, x), (w, y) = sides
+        sums = np.zeros((width, 3)) if u is None or w is None else pair_sums(u, x, w, y, i == j, bandwidth, block)
+        return pa.table([pa.array(np.arange(width, dtype=np.int32) - 1), *(pa.array(sums[:, c]) for c in range(3))], ["permutation", "xx", "yy", "xy"])
+
+    found = cells.groupBy("i", "j").applyInArrow(run, "permutation int, xx double, yy double, xy double")
     out = found.groupBy("permutation").agg(*[F.sum(c).alias(c) for c in ("xx", "yy", "xy")])
     return out.select("permutation", "xx", "yy", "xy", F.lit(m).cast("long").alias("m"), F.lit(n).cast("long").alias("n")).to(spark.createDataFrame([], schema).schema)
 
