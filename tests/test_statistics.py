@@ -94,6 +94,15 @@ def test_shuffled_kernel_sums_grow_with_the_rows(spark):
     assert 0 < sent[1] < 10 * sent[0]
 
 
+def test_kernel_sums_in_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(two_sample, "LARGEST", 3)  # 31 tiles for 91 rows, some of them empty
+    rows = sample(spark, np.random.default_rng(6), 91, 0.5)
+    few = {r["permutation"]: r for r in two_sample.kernel_sums(rows, 1.1, 2, block=2).collect()}
+    monkeypatch.undo()
+    for s, r in {r["permutation"]: r for r in two_sample.kernel_sums(rows, 1.1, 2).collect()}.items():
+        assert np.allclose([few[s][c] for c in ("xx", "yy", "xy", "m", "n")], [r[c] for c in ("xx", "yy", "xy", "m", "n")], rtol=1e-10)
+
+
 def test_the_permutation_test_tells_a_shift_from_none(spark):
     same, p_same = two_sample.permutation_test(sample(spark, np.random.default_rng(3), 120, 0.0), 2.0, 39, block=64)
     far, p_far = two_sample.permutation_test(sample(spark, np.random.default_rng(3), 120, 1.0), 2.0, 39, block=64)
