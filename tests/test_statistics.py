@@ -45,6 +45,23 @@ def test_neighbours_against_brute_force(spark, tmp_path, monkeypatch, k):
     assert neighbours.nearest(df.limit(0), k, store=str(tmp_path / "e")).count() == 0
 
 
+def test_neighbours_send_each_vector_once_a_tile(spark, tmp_path, monkeypatch):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name, value in (("BLOCK", 32), ("PACK", 16), ("PIVOTS", 4), ("ROWS", 20), ("HITS", 50)):
+        monkeypatch.setattr(neighbours, name, value, raising=False)
+    rng, sent = np.random.default_rng(7), []
+    for n in (512, 2_048):  # so many dimensions that nothing is pruned
+        rows = [(i, rng.normal(size=24).tolist()) for i in range(n)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        before = shuffled(spark)
+        got = sorted((r["id"], r["rank"], r["neighbour"], round(r["angle"], 9)) for r in neighbours.nearest(df, 3, store=str(tmp_path / str(n))).collect())
+        sent.append(shuffled(spark) - before)
+        assert got == brute_neighbours(rows, 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert 0 < sent[1] < 6 * sent[0]
+
+
 def sample(spark, rng, n, shift):
     rows = [(i, (rng.normal(size=4) + (shift if i % 2 else 0.0)).tolist()) for i in range(n)]
     rows += [(n, None), (n + 1, [float("nan")] * 4)]
