@@ -120,6 +120,22 @@ def test_kernel_sums_in_many_tiles(spark, monkeypatch):
         assert np.allclose([few[s][c] for c in ("xx", "yy", "xy", "m", "n")], [r[c] for c in ("xx", "yy", "xy", "m", "n")], rtol=1e-10)
 
 
+def test_kernel_sums_of_rows_that_come_in_another_order_each_time(spark):
+    def stirred(batches):
+        for b in batches:
+            yield b.take(np.random.default_rng().permutation(b.num_rows))
+
+    rows = sample(spark, np.random.default_rng(8), 300, 0.5)
+    v, x = (np.array(c) for c in zip(*[(r["v"], r["x"]) for r in rows.collect()]))
+    k = np.exp(-((v[:, None] - v) ** 2).sum(2) / (2 * 1.2**2))
+    np.fill_diagonal(k, 0.0)
+    held = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")  # executors that fetch blocks in another order do the same
+    got = two_sample.kernel_sums(rows.coalesce(1).mapInArrow(stirred, rows.schema), 1.2, block=32).first()
+    spark.conf.set("spark.sql.exchange.reuse", held)
+    assert np.allclose([got[c] for c in ("xx", "yy", "xy")], [k[np.ix_(a, b)].sum() for a, b in ((x, x), (~x, ~x), (x, ~x))], rtol=1e-10)
+
+
 def test_the_permutation_test_tells_a_shift_from_none(spark):
     same, p_same = two_sample.permutation_test(sample(spark, np.random.default_rng(3), 120, 0.0), 2.0, 39, block=64)
     far, p_far = two_sample.permutation_test(sample(spark, np.random.default_rng(3), 120, 1.0), 2.0, 39, block=64)
